@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash
+from . import bpe, chat, licenses, packing, quality, simhash
 from .common import table
 
 
@@ -24,9 +24,23 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with the licenses that its text names or carries."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.license_summary(docs)
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.preference_pairs(table(spark, sf_dir, "conversations"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op5_packing, op7_bpe)}
+    return {f.__name__: f for f in (op2_simhash, op5_packing, op6_licenses, op7_bpe, op8_chat, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_licenses": licenses.SQL, "op8_chat": chat.SQL, "op10_quality": quality.SQL}

@@ -55,7 +55,17 @@ def shingles(words: str) -> Column:
 
 def minima(window: Column) -> Column:
     """The minimum of each band's hash function over a window, as array<struct<band, low>>."""
-    return F.array(*(F.struct(F.lit(b).alias("band"), F.array_min(F.transform(window, lambda x, b=b: F.xxhash64(F.lit(b), x))).alias("low")) for b in range(BANDS)))
+
+    def band(b: Column) -> Column:
+        return F.struct(b.alias("band"), F.array_min(F.transform(window, lambda x: F.xxhash64(b, x))).alias("low"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)
+
+
+def windows_of(size_class: int) -> Column:
+    """Windows of twice the class at each multiple of it, as array<struct<size_class, first_word, window>>."""
+    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(size_class))
+    return F.transform(starts, lambda s: F.struct(F.lit(size_class).alias("size_class"), s.alias("first_word"), F.slice("all", s + 1, 2 * size_class).alias("window")))
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
@@ -84,12 +94,12 @@ def license_matches(docs: DataFrame, keep: list[str] | None = None, templates: l
     anchors = sorted({r.g for r in single.select("g", "m.band", "m.low").collect() if (r.band, r.low) in lows})
     names = [f"__keep_{k}" for k in range(len(keep))]
     rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)), license_words(F.col("text").cast("string")).alias("words"))
-    rows = rows.select(*names, F.when(F.size("words") >= 0, shingles("words")).alias("all"))
-    rows = rows.where(F.exists("all", lambda h: h.isin(anchors)) & (F.size("all") > 0))
-    starts = F.flatten(F.array(*(F.transform(F.sequence(F.lit(0), F.size("all") - 1, F.lit(c)), lambda s, c=c: F.struct(F.lit(c).alias("size_class"), s.alias("first_word"), F.slice("all", s + 1, 2 * c).alias("window"))) for c in sorted(classes))))
-    windows = rows.select(*names, F.explode(starts).alias("w")).select(*names, "w.*")
-    windows = windows.where(F.exists("window", lambda h: h.isin(anchors)))
-    hits = windows.withColumn("m", F.explode(minima(F.col("window")))).select(*names, "size_class", "first_word", "window", "m.band", "m.low")
+    # A filter on these arrays would be pushed below them and have them computed again for each element; a null window has no such effect.
+    rows = rows.select(*names, shingles("words").alias("all"))
+    some = F.exists("all", lambda h: h.isin(anchors))
+    windows = F.filter(F.flatten(F.array(*map(windows_of, sorted(classes)))), lambda w: F.exists(w["window"], lambda h: h.isin(anchors)))
+    found = rows.select(*names, F.explode_outer(F.when(some, windows)).alias("w")).where("w is not null").select(*names, "w.*")
+    hits = found.select(*names, "size_class", "first_word", "window", F.explode_outer(minima(F.col("window"))).alias("m")).select(*names, "size_class", "first_word", "window", "m.band", "m.low")
     found = hits.join(F.broadcast(bands), ["size_class", "band", "low"]).dropDuplicates([*names, "size_class", "first_word", "template", "window"])
     containment = F.size(F.array_intersect("grams", "window")) / F.size("grams")
     found = found.withColumn("containment", containment).where(F.col("containment") >= MIN_CONTAINMENT)

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licenses, packing, quality, simhash
+from . import bpe, chat, licenses, packing, quality, rpforest, simhash
 from .common import table
 
 
+def op1_rpforest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rpforest.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -39,7 +43,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op5_packing, op6_licenses, op7_bpe, op8_chat, op10_quality)}
+    return {f.__name__: f for f in (op1_rpforest, op2_simhash, op5_packing, op6_licenses, op7_bpe, op8_chat, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

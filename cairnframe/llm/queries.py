@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licenses, packing, quality, rpforest, simhash
+from . import bpe, chat, licenses, packing, quality, rpforest, simhash, toxicity
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_rpforest, op2_simhash, op5_packing, op6_licenses, op7_bpe, op8_chat, op10_quality)}
+    return {f.__name__: f for f in (op1_rpforest, op2_simhash, op3_toxicity, op5_packing, op6_licenses, op7_bpe, op8_chat, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

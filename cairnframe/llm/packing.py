@@ -16,17 +16,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .bpe import byte_characters
 from .common import staged, text_batches
 
 WINDOW, END_ID = 1024, 0
-#: Words kept in a task's cache; it is emptied when it is full.
-CACHE_WORDS = 400_000
-#: Texts of these characters alone are split into words here; any other text is encoded whole by the library.
+#: Texts of these characters alone are split alike by all libraries and Unicode versions.
 PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ‐-‧‰-⁞]*+")
 
 
@@ -37,12 +37,11 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class CachedEncoder:
-    """The tokenizers library behind a cache of words.
+class Encoder:
+    """Ids as the tokenizers library gives them, at the speed of tiktoken where both agree.
 
-    A byte-level encoding is the concatenation of its words' encodings, so a word is encoded by the
-    library once and looked up afterwards. Texts with special tokens or with characters on whose
-    class Unicode versions differ are encoded whole.
+    Both read the same vocabulary file. Texts with special tokens or with characters on whose class
+    Unicode versions differ are encoded by the tokenizers library, all others by tiktoken.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,33 +50,23 @@ class CachedEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.split = regex.compile(public_tokenizers.PATTERN)
         added = sorted((t.content for t in self.library.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, added))) if added else None
+        byte_of = {c: b for b, c in byte_characters().items()}
+        ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in self.library.get_vocab(with_added_tokens=False).items()}
+        self.fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.kind = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian integers of `kind`."""
-        plain = [PLAIN.fullmatch(t) is not None and not (self.special and self.special.search(t)) for t in texts]
-        words = [self.split.findall(t) if p else None for t, p in zip(texts, plain, strict=True)]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        cache = self.cache
-        new = list({w for ws in words if ws for w in ws if w not in cache})
-        for k in range(0, len(new), 20_000):
-            block = new[k : k + 20_000]
-            for w, e in zip(block, self.library.encode_batch(block, add_special_tokens=False), strict=True):
-                cache[w] = self._bytes(e.ids)
-        return [self._bytes(self.library.encode(t, add_special_tokens=False).ids) if ws is None else b"".join([cache[w] for w in ws]) for t, ws in zip(texts, words, strict=True)]
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text as little-endian integers of `kind`."""
+        if PLAIN.fullmatch(text) and not (self.special and self.special.search(text)):
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype(self.kind)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind)
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> CachedEncoder:
-    return CachedEncoder(path)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
@@ -88,7 +77,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         enc, part, total = encoder(path), TaskContext.get().partitionId(), 0
         end = np.array([END_ID], enc.kind).tobytes()
         for batch in batches:
-            ids = [x + end for x in enc.encode_batch([t or "" for t in batch.column("text").to_pylist()])]
+            ids = [enc.encode(t or "").tobytes() + end for t in batch.column("text").to_pylist()]
             n = np.fromiter((len(x) // enc.kind.itemsize for x in ids), np.int64, len(ids))
             before = total + np.cumsum(n) - n
             total += int(n.sum())

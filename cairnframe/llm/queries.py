@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licenses, packing, quality, rpforest, simhash, toxicity
+from . import bpe, chat, html, licenses, packing, quality, rpforest, simhash, toxicity
 from .common import table
 
 
@@ -42,12 +42,16 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.preference_pairs(table(spark, sf_dir, "conversations"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_rpforest, op2_simhash, op3_toxicity, op5_packing, op6_licenses, op7_bpe, op8_chat, op10_quality)}
+    return {f.__name__: f for f in (op1_rpforest, op2_simhash, op3_toxicity, op5_packing, op6_licenses, op7_bpe, op8_chat, op9_html, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

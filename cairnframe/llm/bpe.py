@@ -16,6 +16,7 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -24,8 +25,11 @@ from tokenizers import Tokenizer
 
 from .common import text_batches
 
-#: Words kept in a task's cache; it is emptied when it is full.
+#: Words in a task's cache; when it is full, it becomes the older of two, and only words that are met again move on.
 CACHE_WORDS = 300_000
+#: Bits for an id where two share a number.
+SHIFT = 20
+MASK = (1 << SHIFT) - 1
 #: Texts of these characters alone need no library call: no Unicode version splits, folds or composes them otherwise.
 PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‧‰-⁞]*+")
 
@@ -56,43 +60,47 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.merge = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(pairs) if a in self.ids and b in self.ids}
-        self.pair_of = {rank: pair for pair, (rank, _) in self.merge.items()}
+        # A pair of symbols is one number, and so is a merge: its rank and what it makes.
+        self.merge = {self.ids[a] << SHIFT | self.ids[b]: rank << SHIFT | self.ids[a + b] for rank, (a, b) in enumerate(pairs) if a in self.ids and b in self.ids}
+        self.pair_of = {merge >> SHIFT: pair for pair, merge in self.merge.items()}
+        self.pairs = np.array(sorted(self.merge), np.int64)
+        self.start = {c: i for c, i in self.ids.items() if len(c) == 1}
+        self.end = {c: self.ids[c + self.suffix] for c in self.start if c + self.suffix in self.ids}
         self.bytes = byte_characters()
         self.library = Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.cache: dict[str, tuple[int, bytes, str]] = {}
+        self.cache: dict[str | int, tuple[int, bytes, str]] = {}
+        self.older: dict[str | int, tuple[int, bytes, str]] = {}
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each byte-level word (its bytes as printable characters)."""
         symbols: list[int] = []
         after: list[int] = []
-        before: list[int] = []
         first: list[int] = []
+        start, last = self.start, self.end
         for word in words:
-            start = len(symbols)
-            first.append(start)
-            symbols += [self.ids[c] for c in word[:-1]]
-            symbols.append(self.ids[word[-1] + self.suffix])
-            end = len(symbols)
-            after += range(start + 1, end)
+            first.append(len(symbols))
+            symbols += [start[c] for c in word[:-1]]
+            symbols.append(last[word[-1]])
+            after += range(len(after) + 1, len(symbols))
             after.append(-1)
-            before.append(-1)
-            before += range(start, end - 1)
-        merge, index = self.merge, {}
-        for p, n in enumerate(after):
-            if n >= 0 and (pair := (symbols[p], symbols[n])) in merge:
-                index.setdefault(pair, []).append(p)
-        ranks = [merge[pair][0] for pair in index]
+        before = [-1] + [p if n >= 0 else -1 for p, n in enumerate(after[:-1])]
+        merge, pair_of = self.merge, self.pair_of
+        # The index as it starts: the pairs that have a merge, each with its positions from left to right.
+        laid = np.array(symbols, np.int64)
+        keys = laid[:-1] << SHIFT | laid[1:]
+        at = np.flatnonzero((np.array(after[:-1]) >= 0) & (self.pairs[np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)] == keys))
+        at = at[np.argsort(keys[at], kind="stable")]
+        cuts = np.flatnonzero(np.diff(keys[at])) + 1
+        index: dict[int, list[int]] = {int(keys[x[0]]): x.tolist() for x in np.split(at, cuts) if len(x)}
+        ranks = [merge[pair] >> SHIFT for pair in index]
         heapq.heapify(ranks)
         while ranks:
-            pair = self.pair_of[heapq.heappop(ranks)]
-            positions = index.pop(pair, None)
-            if positions is None:
-                continue
-            left, right = pair
-            made = merge[pair][1]
+            pair = pair_of[heapq.heappop(ranks)]
+            positions = index.pop(pair)
+            left, right = pair >> SHIFT, pair & MASK
+            made = merge[pair] & MASK
             positions.sort()
             for p in positions:
                 n = after[p]
@@ -100,19 +108,21 @@ class WordBpe:
                     continue  # an earlier merge took one of the two
                 symbols[p], symbols[n] = made, -1
                 after[p] = n = after[n]
+                b = before[p]
                 if n >= 0:
                     before[n] = p
-                    if (new := (made, symbols[n])) in merge:
-                        if new not in index:
-                            index[new] = []
-                            heapq.heappush(ranks, merge[new][0])
-                        index[new].append(p)
-                b = before[p]
-                if b >= 0 and (new := (symbols[b], made)) in merge:
-                    if new not in index:
-                        index[new] = []
-                        heapq.heappush(ranks, merge[new][0])
-                    index[new].append(b)
+                    if (new := made << SHIFT | symbols[n]) in merge:
+                        if new in index:
+                            index[new].append(p)
+                        else:
+                            index[new] = [p]
+                            heapq.heappush(ranks, merge[new] >> SHIFT)
+                if b >= 0 and (new := symbols[b] << SHIFT | made) in merge:
+                    if new in index:
+                        index[new].append(b)
+                    else:
+                        index[new] = [b]
+                        heapq.heappush(ranks, merge[new] >> SHIFT)
         out = []
         for p in first:
             ids = []
@@ -149,13 +159,17 @@ class WordBpe:
         """For each text its words' (number of ids, ids in decimal, decoded tokens)."""
         split = [self.pieces(t) for t in texts]
         if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        cache = self.cache
-        new = list({w for words in split for w in words if w not in cache})
+            self.cache, self.older = {}, self.cache
+        cache, older, new = self.cache, self.older, []
+        for w in {w for words in split for w in words if w not in cache}:
+            if w in older:
+                cache[w] = older[w]
+            else:
+                new.append(w)
         for k in range(0, len(new), CACHE_WORDS):
             block = new[k : k + CACHE_WORDS]
             plain = [w for w in block if isinstance(w, str)]
-            for w, ids in zip(plain, self.encode_words([self.byte_level(w) for w in plain]), strict=True):
+            for w, ids in zip(plain, plain and self.encode_words([self.byte_level(w) for w in plain]), strict=True):
                 cache[w] = (len(ids), " ".join(map(str, ids)).encode(), " ".join([self.tokens[i] for i in ids]))
             for w in block:
                 if isinstance(w, int):

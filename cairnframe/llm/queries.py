@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html, licenses, packing, quality, rpforest, simhash, toxicity
+from . import bpe, chat, html, licenses, packing, quality, repeats, rpforest, simhash, toxicity
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_rpforest, op2_simhash, op3_toxicity, op5_packing, op6_licenses, op7_bpe, op8_chat, op9_html, op10_quality)}
+    return {f.__name__: f for f in (op1_rpforest, op2_simhash, op3_toxicity, op4_suffix_array, op5_packing, op6_licenses, op7_bpe, op8_chat, op9_html, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch for operators that handle whole texts in Python: documents may be long.
 TEXT_BATCH_ROWS = 1000
@@ -50,3 +51,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/cairn-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a few numbers that may be broadcast, when counting has shown that there are no more (some 30 MB).
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(rows: DataFrame) -> DataFrame:
+    """Cut the lineage of `rows` of a few numbers, count them, and mark them for a broadcast if they are few.
+
+    The other side then needs no shuffle of its texts; beyond the bound the join stays a shuffle join.
+    """
+    rows = cut_lineage(rows)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows

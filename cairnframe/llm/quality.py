@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import broadcast_if_small
+
 SPACE = r"[\x20\x09-\x0D]+"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW_WORDS = 20, 30, 8
 #: A line that more distinct texts of a host hold is boilerplate; a document that loses more percent of its words is rejected.
@@ -54,7 +56,9 @@ def base_features(docs: DataFrame, keep: list[str]) -> DataFrame:
     gaps = F.transform("__twins", lambda i, k: F.coalesce(F.least(F.lit(WINDOW_WORDS), F.get("__twins", k + 1) - i), F.lit(WINDOW_WORDS)))
     rows = rows.withColumn("n_repeat_words", F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    return rows.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"))
+    features = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"))
+    # A caller's filter on a feature must not move below the arrays, where it would compute them again for each element; it can't pass a generator.
+    return rows.select(*keep, F.explode_outer(F.array(features)).alias("f")).select(*keep, "f.*")
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -85,7 +89,7 @@ def quality_rules(docs: DataFrame, keep: list[str] | None = None, max_documents:
     rows = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__content"), F.col("source").alias("__source"), *(F.col(f"`{c}`").alias(f"__keep_{k}") for k, c in enumerate(keep or ["doc_id"])), "text")
     kept = [f"__keep_{k}" for k in range(len(keep or ["doc_id"]))]
     base = base_features(rows, ["__doc", "__content", "__source", *kept])
-    gone = depleted(docs.select("doc_id", "text", "source"), max_documents, max_removed_percent).withColumn("__gone", F.lit(True))
+    gone = broadcast_if_small(depleted(docs.select("doc_id", "text", "source"), max_documents, max_removed_percent).withColumn("__gone", F.lit(True)))
     same = F.col("__doc").eqNullSafe(F.col("doc_id")) & (F.col("__content") == F.col("content")) & F.col("__source").eqNullSafe(F.col("source"))
     out = base.join(gone, same, "left").withColumn("depleted", F.coalesce("__gone", F.lit(False)))
     return out.select(

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, text_batches
+from .common import broadcast_if_small, cut_lineage, text_batches
 from .components import connected_components
 
 SEED, SHINGLE_WORDS, MAX_BITS = 42, 3, 2
@@ -163,7 +163,9 @@ def fingerprint_links(classes: DataFrame) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id, kept) for each row of `docs` (doc_id, text; more columns are ignored).
+    """(doc_id, fp, class_id, component_id, kept) for each row of `docs` (doc_id, text; more columns are ignored).
+
+    class_id is the least fingerprint of the component, component_id its least doc_id.
 
     Null and blank texts have fingerprint zero and link like any other. Repeated rows and ties stay
     as they are: the smallest doc_id of a component is its id. Rows with a null doc_id get their
@@ -173,5 +175,31 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     classes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = connected_components(fingerprint_links(classes).select("a", "b"))
     joined = classes.join(found, classes.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
-    by_class = joined.join(joined.groupBy("c").agg(F.min("least").alias("component_id")), "c").select("fp", "component_id")
-    return rows.join(by_class, "fp").select("doc_id", "fp", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    by_class = joined.join(joined.groupBy("c").agg(F.min("least").alias("component_id")), "c").select("fp", F.col("c").alias("class_id"), "component_id")
+    return rows.join(by_class, "fp").select("doc_id", "fp", "class_id", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each component the row with its least doc_id stays.
+
+    Rows that share this doc_id, or have none where no row of the component has one, leave one row.
+    """
+    found = simhash_components(docs).select("doc_id", "fp", "class_id", "component_id")
+    found = cut_lineage(found)
+    winner = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # What goes is known by doc_id, but for rows that tie for their component; these few are told apart by a number.
+    ties = found.where(winner).groupBy("class_id").agg(F.count("*").alias("n"), F.first("component_id").alias("id")).where("n > 1 or id is null")
+    tied = broadcast_if_small(ties.select("id").where("id is not null").distinct())
+    losers = found.where(~winner & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__lost")).distinct()
+    named = docs.where("doc_id is not null").join(broadcast_if_small(losers.join(found.where(winner), F.col("__lost") == F.col("doc_id"), "left_anti")), F.col("doc_id") == F.col("__lost"), "left_anti")
+    single = named.join(tied, named.doc_id == tied.id, "left_anti")
+    double = named.join(tied, named.doc_id == tied.id, "left_semi").dropDuplicates(["doc_id"])
+    nameless = docs.where("doc_id is null")
+    out = single.unionByName(double)
+    if nameless.limit(1).count():
+        open_ = found.where("component_id is null").select("fp", "class_id").distinct()
+        codes = nameless.withColumn("__text", F.xxhash64("text"))
+        texts = nameless.groupBy(F.xxhash64("text").alias("doc_id")).agg(F.first("text").alias("text"))
+        of_text = fingerprints(texts).join(open_, "fp").select(F.col("doc_id").alias("__text"), "class_id")
+        out = out.unionByName(codes.join(of_text, "__text").dropDuplicates(["class_id"]).drop("__text", "class_id"))
+    return out

@@ -1,15 +1,447 @@
-"""The registered queries over the driver's tables and their DuckDB SQL."""
+"""The registered queries: each operator of the catalogue engine applied to the driver's tables, with DuckDB SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from ..functions import dates, geometry, ids, projection, text
+from ..operators import allocation, best, matching, profile, refs, resolver
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def register(sql: str) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Best measurement ------------------------------------------------------------------------------
+
+EVENT_PRIORITY = "CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3 ELSE 5 END"
+BEST_SQL = f"SELECT user_id, event_id AS best_event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY {EVENT_PRIORITY}, ts DESC, value, event_id) = 1"
+
+
+def event_order() -> list[Column]:
+    return [F.expr(EVENT_PRIORITY), -F.unix_micros(F.col("ts").cast("timestamp")), F.col("value"), F.col("event_id")]
+
+
+@register(BEST_SQL)
+def best_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best.best_per_key(table(spark, sf_dir, "events"), ["user_id"], event_order(), "event_id", "best_event_id")
+
+
+@register("SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL HAVING bool_and(event_type = 'error')")
+def rejected_only_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day"))
+    return rows.agg(F.count("*").alias("n"), F.bool_and(F.col("event_type") == "error").alias("rejected")).where("rejected").drop("rejected")
+
+
+@register(f"""
+WITH computed AS ({BEST_SQL}), declared AS (SELECT user_id, event_id AS declared_event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT user_id, declared_event_id, best_event_id FROM declared JOIN computed USING (user_id) WHERE declared_event_id <> best_event_id
+""")
+def auto_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared and computed best in one aggregation."""
+    order = F.struct(*(c.alias(f"o{k}") for k, c in enumerate(event_order())))
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("declared_event_id"), F.min_by("event_id", order).alias("best_event_id"))
+    return rows.where("declared_event_id <> best_event_id")
+
+
+# Projection and geometry -----------------------------------------------------------------------
+
+LAT, LON = "(49.18 + (c_acctbal + 1000) / 11000 * 0.11)", "(19.75 + (c_custkey % 1000) / 1000.0 * 0.35)"
+
+
+def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", F.expr(LAT).cast("double").alias("lat"), (F.lit(19.75) + (F.col("c_custkey") % 1000) / F.lit(1000.0) * F.lit(0.35)).alias("lon"))
+
+
+POINTS_CTE = f"WITH p AS (SELECT c_custkey, CAST({LAT} AS DOUBLE) AS lat, CAST(19.75 AS DOUBLE) + (c_custkey % 1000) / CAST(1000.0 AS DOUBLE) * CAST(0.35 AS DOUBLE) AS lon FROM customer)"
+_X, _Y = projection.plane_sql("lat", "lon")
+_LAT, _LON = projection.degrees_sql("x", "y")
+
+
+@register(f"{POINTS_CTE} SELECT c_custkey, round({_X}, 3) AS x_1992, round({_Y}, 3) AS y_1992 FROM p")
+def project_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y = projection.to_plane(F.col("lat"), F.col("lon"))
+    return customer_points(spark, sf_dir).select("c_custkey", F.round(x, 3).alias("x_1992"), F.round(y, 3).alias("y_1992"))
+
+
+@register(f"""
+{POINTS_CTE}, q AS (SELECT c_custkey, lat, lon, {_X} AS x, {_Y} AS y FROM p), r AS (SELECT *, {_LAT} AS lat2, {_LON} AS lon2 FROM q)
+SELECT c_custkey, round(abs(lat2 - lat), 8) AS lat_error, round(abs(lon2 - lon), 8) AS lon_error, c_custkey % 10 = 0 AS mismatch FROM r
+""")
+def roundtrip_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inverse after forward, and the consistency rule on coordinates of which every tenth is shifted by 25 m."""
+    x, y = projection.to_plane(F.col("lat"), F.col("lon"))
+    q = customer_points(spark, sf_dir).select("*", x.alias("x"), y.alias("y"))
+    lat2, lon2 = projection.to_degrees(F.col("x"), F.col("y"))
+    shifted = F.col("x") + F.when(F.col("c_custkey") % 10 == 0, 25.0).otherwise(0.0)
+    wrong = ~projection.is_consistent(F.col("lat"), F.col("lon"), shifted, F.col("y"))
+    return q.select("c_custkey", F.round(F.abs(lat2 - F.col("lat")), 8).alias("lat_error"), F.round(F.abs(lon2 - F.col("lon")), 8).alias("lon_error"), wrong.alias("mismatch"))
+
+
+# Three regions over (c_acctbal, c_custkey): a square with a hole, a triangle that overlaps it, and a wide fallback.
+REGIONS = [
+    (0, 0, "ring", "RN", [[(0.0, 100.0), (4000.0, 100.0), (4000.0, 900.0), (0.0, 900.0)], [(1000.0, 300.0), (2000.0, 300.0), (2000.0, 600.0), (1000.0, 600.0)]]),
+    (0, 1, "triangle", "TR", [[(1500.0, 50.0), (9000.0, 400.0), (2500.0, 1200.0)]]),
+    (1, 0, "land", "LD", [[(-500.0, 0.0), (8000.0, 0.0), (8000.0, 1400.0), (-500.0, 1400.0)]]),
+]
+_EDGES = ", ".join(
+    f"({t}, {o}, '{name}', '{prefix}', {r}, {x1!r}, {y1!r}, {x2!r}, {y2!r})"
+    for t, o, name, prefix, rings in REGIONS
+    for r, ring in enumerate(rings)
+    for (x1, y1), (x2, y2) in zip(ring, ring[-1:] + ring[:-1], strict=True)
+)
+
+
+def region_polygons(spark: SparkSession) -> DataFrame:
+    rows = []
+    for t, o, name, prefix, rings in REGIONS:
+        xs, ys = [x for r in rings for x, _ in r], [y for r in rings for _, y in r]
+        rows.append((t, o, name, prefix, min(xs), min(ys), max(xs), max(ys), rings))
+    return spark.createDataFrame(rows, resolver.POLYGON_SCHEMA)
+
+
+@register(f"""
+WITH e(tier, ordinal, name, prefix, ring, ax, ay, bx, by_) AS (VALUES {_EDGES}),
+p AS (SELECT c_custkey, c_acctbal AS x, CAST(c_custkey AS DOUBLE) AS y FROM customer),
+t AS (
+  SELECT c_custkey, tier, ordinal, name, prefix, ring,
+    bool_or(abs((x - ax) * (by_ - ay) - (y - ay) * (bx - ax)) <= 1e-9 AND x >= least(ax, bx) - 1e-9 AND x <= greatest(ax, bx) + 1e-9 AND y >= least(ay, by_) - 1e-9 AND y <= greatest(ay, by_) + 1e-9) AS on_edge,
+    sum(CASE WHEN (ay > y) <> (by_ > y) AND x < (bx - ax) * (y - ay) / nullif(by_ - ay, 0) + ax THEN 1 ELSE 0 END) AS crossings
+  FROM p, e GROUP BY ALL
+), inside AS (
+  SELECT c_custkey, tier, ordinal, name, prefix FROM t GROUP BY ALL HAVING sum(CASE WHEN on_edge OR crossings % 2 = 1 THEN 1 ELSE 0 END) % 2 = 1
+), first AS (SELECT * FROM inside QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY tier, ordinal) = 1)
+SELECT c_custkey, coalesce(name, 'outside') AS region, prefix, CASE WHEN tier = 0 THEN 'ok' WHEN tier IS NOT NULL THEN 'warning' ELSE 'error' END AS status
+FROM customer LEFT JOIN first USING (c_custkey)
+""")
+def point_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("x"), F.col("c_custkey").cast("double").alias("y"))
+    found = resolver.first_polygon(points, region_polygons(spark), "c_custkey", "x", "y")
+    status = F.when(F.col("tier") == 0, "ok").when(F.col("tier").isNotNull(), "warning").otherwise("error")
+    return points.join(found, "c_custkey", "left").select("c_custkey", F.coalesce("name", F.lit("outside")).alias("region"), "prefix", status.alias("status"))
+
+
+@register("SELECT s_suppkey, 'POINT(' || CAST(CAST(s_acctbal AS DECIMAL(12, 2)) AS VARCHAR) || ' ' || CAST(s_suppkey AS VARCHAR) || ')' AS wkt FROM supplier")
+def wkt_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select("s_suppkey", geometry.wkt_point(F.col("s_acctbal").cast("decimal(12,2)"), F.col("s_suppkey")).alias("wkt"))
+
+
+@register("""
+SELECT a.s_suppkey AS left_key, b.s_suppkey AS right_key, round(sqrt((a.s_acctbal - b.s_acctbal) ** 2 + (a.s_suppkey - b.s_suppkey) ** 2), 3) AS distance
+FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey
+WHERE sqrt((a.s_acctbal - b.s_acctbal) ** 2 + (a.s_suppkey - b.s_suppkey) ** 2) > 100
+""")
+def far_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_acctbal")
+    other = s.select("s_nationkey", F.col("s_suppkey").alias("k2"), F.col("s_acctbal").alias("b2"))
+    d = projection.distance(F.col("s_acctbal"), F.col("s_suppkey"), F.col("b2"), F.col("k2"))
+    return s.join(other, "s_nationkey").where("s_suppkey < k2").withColumn("d", d).where("d > 100").select(F.col("s_suppkey").alias("left_key"), F.col("k2").alias("right_key"), F.round("d", 3).alias("distance"))
+
+
+# Profiles --------------------------------------------------------------------------------------
+
+
+@register("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1")
+
+
+@register("""
+SELECT p_name AS value, count(*) AS n, array_to_string(list_slice(list(p_partkey ORDER BY p_partkey), 1, 20), ',') AS first_rows
+FROM part WHERE trim(p_name) <> '' GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, value LIMIT 10
+""")
+def duplicate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = profile.duplicate_examples(table(spark, sf_dir, "part").select("p_name", "p_partkey"), "p_name", "p_partkey")
+    return top.select("value", "n", F.array_join(F.col("first_rows").cast("array<string>"), ",").alias("first_rows"))
+
+
+BLANKED = {"o_orderpriority": "CASE WHEN o_orderkey % 7 = 0 THEN '  ' ELSE o_orderpriority END", "o_orderstatus": "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END", "o_clerk": None}
+
+
+@register("""
+SELECT 'o_orderpriority' AS column_name, count(*) FILTER (o_orderkey % 7 = 0) AS missing FROM orders
+UNION ALL SELECT 'o_orderstatus', count(*) FILTER (o_orderkey % 11 = 0) FROM orders
+UNION ALL SELECT 'o_clerk', count(*) FROM orders
+""")
+def missing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").selectExpr(*(f"{e} AS {c}" for c, e in BLANKED.items() if e))
+    return profile.missing_counts(rows, list(BLANKED))
+
+
+@register("""
+WITH t AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'bad' WHEN o_orderkey % 11 = 0 THEN ' ' ELSE replace(CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS VARCHAR), '.', ',') END AS v FROM orders),
+n AS (SELECT v, try_cast(replace(v, ',', '.') AS DOUBLE) AS d FROM t)
+SELECT 'price' AS column_name, count(d) AS numeric, count(*) FILTER (trim(v) = '') AS missing, count(*) FILTER (trim(v) <> '' AND d IS NULL) AS non_numeric, min(d) AS min_value, max(d) AS max_value FROM n
+""")
+def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = "CASE WHEN o_orderkey % 7 = 0 THEN 'bad' WHEN o_orderkey % 11 = 0 THEN ' ' ELSE replace(CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS STRING), '.', ',') END AS price"
+    return profile.numeric_profile(table(spark, sf_dir, "orders").selectExpr(price), ["price"])
+
+
+# Integrity, counts and flags -------------------------------------------------------------------
+
+
+@register("SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority LIKE '1%')")
+def customers_without_urgent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%'")
+    return c.join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
+
+
+@register("""
+SELECT s AS status, count(o_orderkey) AS n FROM (VALUES ('F'), ('O'), ('P'), ('X')) v(s) LEFT JOIN orders ON o_orderstatus = s GROUP BY 1
+""")
+def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a fixed list of values in one pass, zeros included."""
+    names = ["F", "O", "P", "X"]
+    row = table(spark, sf_dir, "orders").agg(*(F.count_if(F.col("o_orderstatus") == s).alias(s) for s in names))
+    return row.select(F.explode(F.array(*(F.struct(F.lit(s).alias("status"), F.col(s).alias("n")) for s in names))).alias("p")).select("p.*")
+
+
+COUNTED = ["customer", "nation", "orders", "part", "supplier"]
+
+
+@register(" UNION ALL ".join(f"SELECT '{t}_count' AS key, CAST(count(*) AS VARCHAR) AS value FROM {t}" for t in COUNTED))
+def catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for t in COUNTED:
+        one = table(spark, sf_dir, t).agg(F.count("*").cast("string").alias("value")).select(F.lit(f"{t}_count").alias("key"), "value")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("""
+SELECT 'ACCOUNT_NEGATIVE' AS code, 'warning' AS severity, c_custkey AS key FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT 'SEGMENT_UNKNOWN', 'error', c_custkey FROM customer WHERE c_mktsegment IS NULL OR c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
+UNION ALL SELECT 'CUSTOMER_WITHOUT_ORDERS', 'warning', c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT 'ORDER_OPEN', 'warning', o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 400000
+UNION ALL SELECT 'ORDER_DATE_EARLY', 'error', o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1992-02-01'
+""")
+def validation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules as data: a union of filters, each with its code, severity and key."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    lonely = c.join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    segments = "'AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'"
+    rules = [
+        ("ACCOUNT_NEGATIVE", "warning", c.where("c_acctbal < 0"), "c_custkey"),
+        ("SEGMENT_UNKNOWN", "error", c.where(f"c_mktsegment IS NULL OR c_mktsegment NOT IN ({segments})"), "c_custkey"),
+        ("CUSTOMER_WITHOUT_ORDERS", "warning", lonely, "c_custkey"),
+        ("ORDER_OPEN", "warning", o.where("o_orderstatus = 'O' AND o_totalprice > 400000"), "o_orderkey"),
+        ("ORDER_DATE_EARLY", "error", o.where("o_orderdate < TIMESTAMP_NTZ '1992-02-01'"), "o_orderkey"),
+    ]
+    out = None
+    for code, severity, rows, key in rules:
+        one = rows.select(F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.col(key).cast("long").alias("key"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# Matching and identifiers ----------------------------------------------------------------------
+
+_PART = "p_partkey, p_brand || '/' || p_type || '/' || CAST(p_size AS VARCHAR) AS nr, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS name_norm, p_retailprice AS x, CAST(p_size AS DOUBLE) AS y"
+_DISTANCE = "sqrt((s.x - c.x) ** 2 + (s.y - c.y) ** 2)"
+
+
+@register(f"""
+WITH s AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 5 = 0 THEN p_partkey + 1 END AS g, * FROM (SELECT {_PART} FROM part) WHERE p_partkey % 2 = 0),
+c AS (SELECT p_partkey AS k, * FROM (SELECT {_PART} FROM part) WHERE p_partkey % 2 = 1),
+counts AS (SELECT nr, count(*) AS source_nr FROM s GROUP BY 1),
+one AS (SELECT s.k, count(*) AS n, min(c.k) AS ck, min({_DISTANCE}) AS d FROM s JOIN c ON s.g = c.k GROUP BY 1),
+r1 AS (SELECT k, CASE n WHEN 1 THEN 'matched' ELSE 'unresolved' END AS status, CASE n WHEN 1 THEN 'globalid' END AS strategy, CASE n WHEN 1 THEN ck END AS ck, CASE n WHEN 1 THEN d END AS d, CASE WHEN n > 1 THEN 'GLOBALID_AMBIGUOUS' END AS issue FROM one),
+two AS (
+  SELECT s.k, any_value(source_nr) AS sn, count(*) AS n, min(c.k) AS ck, min({_DISTANCE}) AS d,
+    count(*) FILTER ({_DISTANCE} <= 25) AS nc, min(c.k) FILTER ({_DISTANCE} <= 25) AS cc, arg_min({_DISTANCE}, c.k) FILTER ({_DISTANCE} <= 25) AS dc,
+    count(*) FILTER ({_DISTANCE} <= 25 AND s.name_norm = c.name_norm) AS nn, min(c.k) FILTER ({_DISTANCE} <= 25 AND s.name_norm = c.name_norm) AS cn, arg_min({_DISTANCE}, c.k) FILTER ({_DISTANCE} <= 25 AND s.name_norm = c.name_norm) AS dn
+  FROM s JOIN c USING (nr) JOIN counts USING (nr) WHERE s.k NOT IN (SELECT k FROM r1) GROUP BY 1
+),
+st AS (SELECT *, CASE WHEN sn > 1 AND nn = 1 THEN 'nr_inwent_name_distance' WHEN sn > 1 THEN NULL WHEN n = 1 THEN 'nr_inwent' WHEN nn = 1 THEN 'nr_inwent_name_distance' WHEN nc = 1 THEN 'nr_inwent_distance' END AS strategy FROM two),
+r2 AS (SELECT k, CASE WHEN strategy IS NULL THEN 'unresolved' ELSE 'matched' END AS status, strategy,
+  CASE strategy WHEN 'nr_inwent' THEN ck WHEN 'nr_inwent_name_distance' THEN cn WHEN 'nr_inwent_distance' THEN cc END AS ck,
+  CASE strategy WHEN 'nr_inwent' THEN d WHEN 'nr_inwent_name_distance' THEN dn WHEN 'nr_inwent_distance' THEN dc END AS d,
+  CASE WHEN strategy IS NULL THEN 'NR_INWENT_AMBIGUOUS' END AS issue FROM st),
+three AS (SELECT s.k, count(*) AS n, min(c.k) AS ck, arg_min({_DISTANCE}, c.k) AS d FROM s JOIN c USING (name_norm) WHERE name_norm <> '' AND {_DISTANCE} <= 25 AND s.k NOT IN (SELECT k FROM r1) AND s.k NOT IN (SELECT k FROM r2) GROUP BY 1),
+r3 AS (SELECT k, CASE n WHEN 1 THEN 'matched' ELSE 'unresolved' END AS status, CASE n WHEN 1 THEN 'name_distance' END AS strategy, CASE n WHEN 1 THEN ck END AS ck, CASE n WHEN 1 THEN d END AS d, CASE WHEN n > 1 THEN 'NAME_DISTANCE_AMBIGUOUS' END AS issue FROM three),
+r AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3)
+SELECT s.k AS record_number, coalesce(status, 'new') AS status, strategy, ck AS candidate_id, round(d, 3) AS distance_m, issue FROM s LEFT JOIN r ON s.k = r.k
+""")
+def match_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("/", "p_brand", "p_type", F.col("p_size").cast("string")).alias("nr"), text.normalize_name(F.col("p_name")).alias("name_norm"), F.col("p_retailprice").alias("x"), F.col("p_size").cast("double").alias("y"))
+    source = part.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("record_number"), F.when(F.col("p_partkey") % 5 == 0, (F.col("p_partkey") + 1).cast("string")).alias("globalid"), "nr", "name_norm", "x", "y")
+    candidates = part.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("candidate_id"), F.col("p_partkey").cast("string").alias("globalid"), "nr", "name_norm", "x", "y")
+    return matching.match_cascade(source, candidates).withColumn("distance_m", F.round("distance_m", 3))
+
+
+@register("""
+WITH seed AS (SELECT s_nationkey AS k, count(*) AS seed FROM supplier GROUP BY 1)
+SELECT c_custkey, upper(left(n_name, 3)) || '-' || lpad(CAST(coalesce(seed, 0) + row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) AS VARCHAR), CAST(greatest(4, length(CAST(coalesce(seed, 0) + row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) AS VARCHAR))) AS INT), '0') AS new_id
+FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN seed ON k = n_nationkey
+""")
+def allocate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seeds = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.count("*").alias("seed"))
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("key"), F.upper(F.substring("n_name", 1, 3)).alias("code"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("key"))
+    numbered = allocation.allocate_by_prefix(rows, "key", ["c_custkey"], seeds)
+    return numbered.join(nation, "key").select("c_custkey", F.concat("code", F.lit("-"), F.split_part("new_id", F.lit("-"), F.lit(2))).alias("new_id"))
+
+
+@register("SELECT o_orderkey, 'C-' || lpad(CAST(n AS VARCHAR), CAST(greatest(4, length(CAST(n AS VARCHAR))) AS INT), '0') AS cave_id FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders WHERE o_orderstatus = 'F')")
+def allocate_cave_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey")
+    return allocation.running_number(rows, "o_orderkey", "n").select("o_orderkey", ids.numbered_id(F.lit("C"), F.col("n")).alias("cave_id"))
+
+
+@register("""
+WITH f AS (SELECT user_id, event_type, min(ROW(ts, event_id)) AS first FROM events GROUP BY ALL)
+SELECT user_id, string_agg(event_type, ';' ORDER BY first) AS joined FROM f GROUP BY 1
+""")
+def joined_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values in the order of their first occurrence: one row a user and value meets, never all events of a user."""
+    first = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min(F.struct("ts", "event_id")).alias("first"))
+    ordered = first.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("first", "event_type"))).alias("v"))
+    return ordered.select("user_id", text.joined_values(F.transform("v", lambda x: x["event_type"])).alias("joined"))
+
+
+_ORDER_RANK = "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 0 WHEN '2' THEN 1 WHEN '3' THEN 2 WHEN '4' THEN 3 ELSE 4 END"
+
+
+@register(f"""
+WITH b AS (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY {_ORDER_RANK}, o_orderdate DESC, o_orderkey) = 1)
+SELECT c_custkey, c_name, n_name, o_orderkey AS best_orderkey, o_orderpriority AS best_priority, o_totalprice AS best_price
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN b ON o_custkey = c_custkey
+""")
+def best_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.struct(F.expr(_ORDER_RANK).alias("r"), (-F.unix_micros(F.col("o_orderdate").cast("timestamp"))).alias("t"), F.col("o_orderkey").alias("k"))
+    chosen = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min_by(F.struct("o_orderkey", "o_orderpriority", "o_totalprice"), order).alias("b"))
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    rows = table(spark, sf_dir, "customer").join(nation, "c_nationkey", "left").join(chosen, "c_custkey", "left")
+    return rows.select("c_custkey", "c_name", "n_name", F.col("b.o_orderkey").alias("best_orderkey"), F.col("b.o_orderpriority").alias("best_priority"), F.col("b.o_totalprice").alias("best_price"))
+
+
+# Text, dates, references -----------------------------------------------------------------------
+
+
+@register("SELECT doc_id, trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g')) AS name_norm FROM documents")
+def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.normalize_name(F.col("text")).alias("name_norm"))
+
+
+@register("""
+SELECT p_partkey, CASE WHEN contains(t, 'steel') THEN 'sztolnia' WHEN contains(t, 'tin') OR contains(t, 'brass') THEN 'wywierzysko' WHEN contains(t, 'copper') THEN 'ponor' ELSE 'jaskinia_otwor' END AS category
+FROM (SELECT p_partkey, lower(p_name || ' ' || p_type) AS t FROM part)
+""")
+def infer_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .categories import category_by_keywords
+
+    rules = [("sztolnia", ["steel"]), ("wywierzysko", ["tin", "brass"]), ("ponor", ["copper"])]
+    named = text.normalize_name(F.concat_ws(" ", "p_name", "p_type"))
+    return table(spark, sf_dir, "part").select("p_partkey", category_by_keywords(named, rules, "jaskinia_otwor").alias("category"))
+
+
+@register("""
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' WHEN o_orderkey % 4 = 0 THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00') WHEN o_orderkey % 4 = 1 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN o_orderkey % 4 = 2 THEN strftime(o_orderdate, '%d.%m.%Y') ELSE strftime(o_orderdate, '%d-%m-%Y') END AS s FROM orders)
+SELECT o_orderkey, CAST(coalesce(try_strptime(s, '%Y-%m-%d %H:%M:%S'), try_strptime(s, '%Y-%m-%d'), try_strptime(s, '%d.%m.%Y'), try_strptime(s, '%d-%m-%Y')) AS DATE) AS parsed FROM t
+""")
+def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+    shown = F.when(key % 13 == 0, "n/a").when(key % 4 == 0, F.date_format(day, "yyyy-MM-dd 00:00:00")).when(key % 4 == 1, F.date_format(day, "yyyy-MM-dd")).when(key % 4 == 2, F.date_format(day, "dd.MM.yyyy")).otherwise(F.date_format(day, "dd-MM-yyyy"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.parse_date(shown).alias("parsed"))
+
+
+@register("SELECT l_orderkey, 'm-' || lpad(CAST(max(l_linenumber) + 1 AS VARCHAR), 3, '0') AS next_id FROM lineitem GROUP BY 1")
+def next_local_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_linenumber").alias("n"))
+    return rows.select("l_orderkey", ids.next_measurement_id(F.array(F.format_string("m-%03d", "n"), F.lit("x-999"))).alias("next_id"))
+
+
+_URL = "CASE page_id % 5 WHEN 0 THEN url WHEN 1 THEN 'ftp' || substr(url, 5) WHEN 2 THEN 'https://' WHEN 3 THEN 'local/path' ELSE upper(url) END"
+
+
+@register(f"SELECT page_id, contains(u, '://') AS url_like, regexp_matches(u, '^(?i:https?)://[^/?#]+') AS valid FROM (SELECT page_id, {_URL} AS u FROM pages)")
+def url_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages").select("page_id", F.expr(_URL).alias("u"))
+    return rows.select("page_id", text.is_url_like(F.col("u")).alias("url_like"), text.is_http_url(F.col("u")).alias("valid"))
+
+
+@register("""
+SELECT p_partkey, array_to_string(list_concat([p_brand || '|' || p_type], CASE WHEN p_partkey % 3 = 0 THEN [] ELSE [p_type || '|' || p_brand] END, CASE WHEN p_partkey % 2 = 0 THEN ['extra|' || CAST(p_size AS VARCHAR)] ELSE [] END), ';') AS joined FROM part
+""")
+def append_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref = lambda s, t: F.struct(s.alias("system"), t.alias("ref_type"))
+    brand, kind = F.col("p_brand"), F.col("p_type")
+    spaced = F.concat(F.lit(" "), brand, F.lit(" "))
+    more = F.array(ref(spaced, kind), ref(F.when(F.col("p_partkey") % 3 == 0, brand).otherwise(kind), F.when(F.col("p_partkey") % 3 == 0, kind).otherwise(brand)), ref(F.when(F.col("p_partkey") % 2 == 0, F.lit("extra")).otherwise(brand), F.when(F.col("p_partkey") % 2 == 0, F.col("p_size").cast("string")).otherwise(kind)))
+    out = refs.append_unique(F.array(ref(brand, kind)), more, ("system", "ref_type"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.transform(out, lambda r: F.concat_ws("|", r["system"], r["ref_type"])), ";").alias("joined"))
+
+
+@register("""
+WITH e AS (SELECT *, min(CASE WHEN event_type = 'view' THEN ROW(ts, event_id) END) OVER (PARTITION BY user_id) AS created FROM events)
+SELECT event_id, user_id, CASE
+  WHEN event_type = 'view' AND ROW(ts, event_id) = created THEN 'materialized' WHEN event_type = 'view' THEN 'ALREADY_EXISTS'
+  WHEN event_type IN ('click', 'purchase') AND (created IS NULL OR ROW(ts, event_id) < created) THEN 'TARGET_MISSING'
+  WHEN event_type IN ('click', 'purchase') THEN 'materialized' WHEN event_type = 'error' THEN 'skipped' ELSE 'DECISION_ACTION_INVALID' END AS outcome
+FROM e
+""")
+def review_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ordered fold without an ordered fold: what a decision needs to know is the first creation of its target."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.struct("ts", "event_id").alias("at"))
+    created = e.where("event_type = 'view'").groupBy("user_id").agg(F.min("at").alias("created"))
+    kind, at, first = F.col("event_type"), F.col("at"), F.col("created")
+    outcome = (
+        F.when((kind == "view") & (at == first), "materialized").when(kind == "view", "ALREADY_EXISTS")
+        .when(kind.isin("click", "purchase") & (first.isNull() | (at < first)), "TARGET_MISSING")
+        .when(kind.isin("click", "purchase"), "materialized").when(kind == "error", "skipped").otherwise("DECISION_ACTION_INVALID")
+    )
+    return e.join(created, "user_id", "left").select("event_id", "user_id", outcome.alias("outcome"))
+
+
+@register("SELECT conv_id, turn, CASE WHEN starts_with(t, 'staging: ') THEN 'final: ' || substr(t, 10) ELSE t END AS note FROM (SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'staging: ' || text WHEN role = 'assistant' THEN 'x staging: ' || text ELSE text END AS t FROM conversations)")
+def finalize_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.review import final_note
+
+    t = F.when(F.col("role") == "user", F.concat(F.lit("staging: "), "text")).when(F.col("role") == "assistant", F.concat(F.lit("x staging: "), "text")).otherwise(F.col("text"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", final_note(t, "staging: ", "final: ").alias("note"))
+
+
+@register("""
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN true WHEN 1 THEN true ELSE false END AS matches FROM customer
+""")
+def path_matches_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    record = F.when(key % 4 == 1, ids.numbered_id(F.lit("C"), key)).otherwise(ids.numbered_id(F.lit("KSW"), key))
+    kind = F.when(key % 4 == 1, "cave").otherwise("object")
+    path = F.concat(F.lit("/data/"), F.when(key % 4 == 0, "objects/KSW/").when(key % 4 == 1, "caves/").when(key % 4 == 2, "objects/XXX/").otherwise("objects/"), record, F.when(key % 3 == 0, ".yaml").otherwise(".yml"))
+    return table(spark, sf_dir, "customer").select("c_custkey", ids.path_matches(kind, path, record).alias("matches"))
+
+
+# Ranked windows over the same keys, for callers that want rows instead of an arg-best.
+
+
+@register(f"SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY {EVENT_PRIORITY}, ts DESC, value, event_id) AS position FROM events QUALIFY position <= 3")
+def best_three_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = W.partitionBy("user_id").orderBy(*event_order())
+    return table(spark, sf_dir, "events").withColumn("position", F.row_number().over(w)).where("position <= 3").select("user_id", "event_id", F.col("position").cast("long").alias("position"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

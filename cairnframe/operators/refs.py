@@ -42,6 +42,6 @@ def pig_urls(refs: Column) -> Column:
 
 
 def tpn_globalids(refs: Column, measurements: Column) -> Column:
-    """TPN ids of the references, then those in the source references TPN:{...} of all measurements."""
+    """TPN global ids of the references, then those in the source references TPN:{...} of all measurements."""
     named = F.transform(measurements, lambda m: F.regexp_extract(F.coalesce(m["source_ref"], F.lit("")), r"^TPN:(\{.*\})$", 1))
-    return F.concat(reference_ids(refs, "TPN"), F.filter(named, lambda v: v != ""))
+    return F.concat(reference_ids(refs, "TPN", "source_globalid"), F.filter(named, lambda v: v != ""))

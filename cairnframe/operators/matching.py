@@ -23,14 +23,15 @@ from ..functions.projection import distance
 RADIUS_M = 25.0
 
 
-def match_cascade(rows: DataFrame, candidates: DataFrame, radius: float = RADIUS_M) -> DataFrame:
+def match_cascade(rows: DataFrame, candidates: DataFrame, radius: float = RADIUS_M, source_counts: DataFrame | None = None) -> DataFrame:
     """`rows` (record_number, globalid, nr, name_norm, x, y) against `candidates` (candidate_id, globalid, nr, name_norm, x, y).
 
     Gives (record_number, status, strategy, candidate_id, distance_m, issue): matched, unresolved or
     new. Blank and null keys match nothing. A candidate may have several rows (one for each global id).
+    `source_counts` (nr, source_nr) tells how often the source has a number; without it `rows` are counted.
     """
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    counted = rows.where(~blank("nr")).groupBy("nr").agg(F.count("*").alias("source_nr"))
+    counted = source_counts if source_counts is not None else rows.where(~blank("nr")).groupBy("nr").agg(F.count("*").alias("source_nr"))
     rows = rows.select("record_number", "globalid", "nr", "name_norm", "x", "y")
     people = candidates.select("candidate_id", "nr", "name_norm", "x", "y").distinct()
     cand = people.select("candidate_id", F.col("nr").alias("c_nr"), F.col("name_norm").alias("c_name"), F.col("x").alias("cx"), F.col("y").alias("cy"))

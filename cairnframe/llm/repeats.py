@@ -20,6 +20,7 @@ Hashes have 64 bits; a segment is identified by two of them.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -144,21 +145,41 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K, shard_byt
     texts = docs.select("rid", "text").join(wanted, "rid").mapInArrow(take, "a long, s long, many boolean, sure boolean, piece binary")
     if classes.where(F.col("classes") > max_classes).limit(1).count():
         texts = staged(texts, "pieces")
-        found = sorted_shards(texts.where("not many"), length, shard_bytes).unionByName(counted_windows(texts.where("many"), length))
+        found = sorted_shards(texts.where("not many"), length, k, shard_bytes).unionByName(counted_windows(texts.where("many"), length))
     else:
-        found = sorted_shards(texts, length, shard_bytes)
+        found = sorted_shards(texts, length, k, shard_bytes)
     covered = whole.unionByName(found)
     spans = places.select("rid", "a", "s", "start").join(covered, ["a", "s"])
     shift = F.transform("runs", lambda x, i: F.col("start") + x + F.when(i % 2 == 1, length - 1).otherwise(0))
     return spans.select("rid", shift.alias("part")).groupBy("rid").agg(F.flatten(F.collect_list("part")).alias("covered"))
 
 
-def sorted_shards(texts: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+def alike(group: list[tuple[int, int, bool, bytes]], length: int, k: int) -> list[tuple[int, int, bool, bytes]]:
+    """The segments of one minimizer, less those of which no window can occur in another.
+
+    Around its minimizer a window reaches half of the other bytes to the left or to the right at
+    least; so equal windows share that many bytes on one side. Where a segment holds its minimizer
+    more than once, all stay.
+    """
+    if all(sure for _, _, sure, _ in group):
+        return []
+    half, sides = (length - k + 1) // 2, []
+    for a, _, _, piece in group:
+        at = np.flatnonzero(window_hashes(np.frombuffer(piece, np.uint8), k).view(np.int64) == a)
+        if len(at) != 1:
+            return group
+        p = int(at[0])
+        sides.append((piece[p - half : p] if p >= half else None, piece[p + k : p + k + half] if p + k + half <= len(piece) else None))
+    left, right = (Counter(x) for x in zip(*sides, strict=True))
+    return [row for row, (x, y) in zip(group, sides, strict=True) if x is not None and left[x] > 1 or y is not None and right[y] > 1]
+
+
+def sorted_shards(texts: DataFrame, length: int, k: int, shard_bytes: int) -> DataFrame:
     """(a, s, runs) of classes with repeated windows, by suffix arrays; whole minimizers stay together."""
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, bool, bytes]] = []
-        size, last = 0, None
+        group: list[tuple[int, int, bool, bytes]] = []
 
         def done() -> Iterator[pa.RecordBatch]:
             out = []
@@ -169,15 +190,21 @@ def sorted_shards(texts: DataFrame, length: int, shard_bytes: int) -> DataFrame:
                 a, s, runs = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(s), pa.array(runs, pa.list_(pa.int64()))], names=["a", "s", "runs"])
 
+        size = 0
         for batch in batches:
-            for a, s, sure, piece in zip(*(batch.column(c).to_pylist() for c in ("a", "s", "sure", "piece")), strict=True):
-                if (a, s) == last:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("a", "s", "sure", "piece")), strict=True):
+                if group and row[:2] == group[-1][:2]:
                     continue  # repeated rows of a document give their segments again
-                if held and size >= shard_bytes and a != last[0]:
-                    yield from done()
-                    held, size = [], 0
-                held.append((a, s, sure, piece))
-                size, last = size + len(piece), (a, s)
+                if group and row[0] != group[0][0]:
+                    kept = alike(group, length, k)
+                    held += kept
+                    size += sum(len(r[3]) for r in kept)
+                    group = []
+                    if size >= shard_bytes:
+                        yield from done()
+                        held, size = [], 0
+                group.append(row)
+        held += alike(group, length, k)
         if held:
             yield from done()
 

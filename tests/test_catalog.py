@@ -1,0 +1,223 @@
+"""Sources, validation, release and command line on a small hand-made catalogue."""
+
+import csv
+import io
+import json
+import os
+import sqlite3
+import struct
+import zipfile
+from pathlib import Path
+
+import pytest
+import yaml
+
+from cairnframe import __main__ as cli
+from cairnframe.operators import json_schema
+from cairnframe.operators.resolver import polygon_resolver
+from cairnframe.operators.validation import CatalogInvalidError, validate
+from cairnframe.sinks import release
+from cairnframe.sources import shapes, tables
+from cairnframe.sources.catalog import CatalogLoadError, load_catalog
+
+NOW = "2026-01-01T00:00:00Z"
+X, Y = 156826.50, 578327.52
+
+
+def measurement(mid="m-001", **more):
+    base = {"id": mid, "lat": 49.27391671, "lon": 20.07713884, "x_1992": X, "y_1992": Y, "source": "TPN", "source_ref": "TPN:{A}", "observed_date": "2020-01-01", "method": "source_record", "verification_status": "nieweryfikowany", "horizontal_accuracy_m": 1.0, "tags": ["a", "ż"], "created_at": NOW, "created_by": "t"}
+    return base | more
+
+
+def thing(oid="KSW-0001", **more):
+    base = {
+        "schema_version": 1, "id": oid, "category": "jaskinia_otwor", "name_local": "Dziura", "cave_id": "C-0001",
+        "id_assignment": {"method": "auto", "assigned_from_measurement_id": "m-001", "assigned_prefix": "KSW"},
+        "measurements": [measurement()], "best_measurement": {"mode": "auto", "measurement_id": "m-001", "updated_at": NOW, "updated_by": "t"},
+        "created_at": NOW, "created_by": "t", "updated_at": NOW, "updated_by": "t",
+    }
+    return base | more
+
+
+def cave(cid="C-0001", **more):
+    return {"schema_version": 1, "id": cid, "name": "Jaskinia", "object_ids": ["KSW-0001"], "external_refs": [{"system": "NR_INWENT", "ref_type": "inventory_number", "external_id": "T.1"}], "created_at": NOW, "created_by": "t", "updated_at": NOW, "updated_by": "t"} | more
+
+
+def write(root: Path, files: dict):
+    for path, data in files.items():
+        target = root / path
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_text(data if isinstance(data, str) else yaml.safe_dump(data, allow_unicode=True, sort_keys=False), encoding="utf-8")
+    return str(root)
+
+
+def codes(spark, root, **more):
+    return sorted((r.code, r.path.split("/")[-1]) for r in validate(load_catalog(spark, root), **more).collect())
+
+
+def test_good_catalogue_and_defaults(spark, tmp_path):
+    root = write(tmp_path, {"objects/KSW/KSW-0001.yml": thing(), "caves/C-0001.yaml": cave()})
+    assert codes(spark, root) == []
+    o = load_catalog(spark, root).objects.first()
+    assert o.attachments == [] and o.external_refs == [] and o.measurements[0].tags == ["a", "ż"] and "attachments" not in o.present
+
+
+def test_broken_yaml_is_the_only_issue(spark, tmp_path):
+    root = write(tmp_path, {"objects/KSW/KSW-0001.yml": "id: [open", "caves/C-0001.yml": cave(), "caves/C-0002.yml": "- a\n- b\n"})
+    assert [c for c, _ in codes(spark, root)] == ["YAML_INVALID", "YAML_INVALID"]
+    with pytest.raises(CatalogLoadError, match="invalid YAML|no mapping"):
+        load_catalog(spark, root).check()
+
+
+def test_each_rule(spark, tmp_path):
+    far = measurement("m-002", lat=49.28, x_1992=1.0, horizontal_accuracy_m=None, source_ref=None)
+    refs = [{"system": "NR_INWENT", "ref_type": "inventory_number", "external_id": "x"}, {"system": "PIG", "ref_type": "url", "external_id": "u"}, {"system": "TPN", "ref_type": "source_globalid", "external_id": "{A}"}, {"system": "TPN", "ref_type": "source_globalid", "external_id": "{A}"}]
+    attachments = [{"id": "a-001", "kind": "inne", "path": "ftp://x/y", "measurement_id": "m-9"}, {"id": "a-002", "kind": "inne", "path": "no/file"}]
+    root = write(
+        tmp_path,
+        {
+            "objects/KSW/KSW-0001.yml": thing(cave_id="C-0009", measurements=[measurement(), far], external_refs=refs, attachments=attachments),
+            "objects/KSW/KSW-0002.yml": thing("KSW-0002", cave_id="", best_measurement={"mode": "manual", "measurement_id": "m-7", "reason": ""}),
+            "objects/XXX/KSW-0003.yml": thing("KSW-0003", schema_version=2, measurements=[measurement(verification_status="odrzucony"), measurement("m-000", verification_status="odrzucony")]),
+            "objects/KSW/KSW-0004.yml": thing("KSW-0003"),
+            "caves/C-0001.yml": cave(object_ids=["KSW-0001", "KSW-0099"]),
+            "relations/R-0001.yml": {"schema_version": 1, "id": "R-0001", "from_object_id": "KSW-0001", "to_object_id": "KSW-0098", "relation_type": "inne"},
+        },
+    )
+    files = spark.createDataFrame([("other/file",)], "file string")
+    assert codes(spark, root, files=files) == sorted([
+        ("CAVE_REFERENCE_MISSING", "KSW-0001.yml"), ("COORDINATE_MISMATCH", "KSW-0001.yml"), ("MISSING_HORIZONTAL_ACCURACY", "KSW-0001.yml"), ("MISSING_SOURCE_REF", "KSW-0001.yml"),
+        ("MEASUREMENT_DISTANCE_OUTLIER", "KSW-0001.yml"), ("NR_INWENT_ON_OBJECT_REFERENCE", "KSW-0001.yml"), ("PIG_CATALOG_REFERENCE_ON_OBJECT", "KSW-0001.yml"),
+        ("DUPLICATE_TPN_GLOBALID", "KSW-0001.yml"), ("DUPLICATE_TPN_GLOBALID", "KSW-0001.yml"), ("ATTACHMENT_URL_INVALID", "KSW-0001.yml"), ("ATTACHMENT_MEASUREMENT_MISSING", "KSW-0001.yml"), ("ATTACHMENT_PATH_MISSING", "KSW-0001.yml"),
+        ("CAVE_ID_MISSING_FOR_CAVE_OPENING", "KSW-0002.yml"), ("BEST_MEASUREMENT_MISSING", "KSW-0002.yml"), ("BEST_MEASUREMENT_MANUAL_REASON_REQUIRED", "KSW-0002.yml"),
+        ("SCHEMA_VERSION_INVALID", "KSW-0003.yml"), ("FILE_ID_MISMATCH", "KSW-0003.yml"), ("DUPLICATE_OBJECT_ID", "KSW-0003.yml"), ("BEST_MEASUREMENT_AUTO_MISMATCH", "KSW-0003.yml"), ("BEST_MEASUREMENT_REJECTED_FALLBACK", "KSW-0003.yml"),
+        ("FILE_ID_MISMATCH", "KSW-0004.yml"), ("DUPLICATE_OBJECT_ID", "KSW-0004.yml"), ("CAVE_OBJECT_REFERENCE_MISSING", "C-0001.yml"), ("RELATION_OBJECT_REFERENCE_MISSING", "R-0001.yml"),
+    ])
+    with pytest.raises(CatalogInvalidError):
+        release.build_release(spark, load_catalog(spark, root), str(tmp_path / "out"), NOW)
+    assert not (tmp_path / "out").exists()
+
+
+def box(x0, y0, x1, y1):
+    return [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+
+
+def shapefile(path: Path, polygons, names=None):
+    records = b""
+    for k, rings in enumerate(polygons, 1):
+        points = [p for r in rings for p in r]
+        starts = [sum(map(len, rings[:i])) for i in range(len(rings))]
+        xs, ys = [p[0] for p in points], [p[1] for p in points]
+        body = struct.pack("<i4d2i", 5, min(xs), min(ys), max(xs), max(ys), len(rings), len(points)) + struct.pack(f"<{len(rings)}i", *starts) + b"".join(struct.pack("<2d", *p) for p in points)
+        records += struct.pack(">2i", k, len(body) // 2) + body
+    path.with_suffix(".shp").write_bytes(bytes(100) + records)
+    if names:
+        cells = b"".join(b" " + n.encode().ljust(40) for n in names)
+        path.with_suffix(".dbf").write_bytes(struct.pack("<4BIHH20x", 3, 100, 1, 1, len(names), 65, 41) + b"NAME".ljust(11, b"\0") + b"C" + bytes(4) + bytes([40, 0]) + bytes(14) + b"\r" + cells)
+
+
+def test_resolver_from_shapefiles(spark, tmp_path):
+    shapefile(tmp_path / "v", [[box(Y - 50, X - 50, Y + 50, X + 50), box(Y + 20, X + 20, Y + 30, X + 30)], [box(Y - 500, X - 500, Y + 500, X + 500)]], ["Mała", "Duża"])
+    shapefile(tmp_path / "pl", [[box(Y - 5000, X - 5000, Y + 5000, X + 5000)]])
+    shapefile(tmp_path / "sk", [[box(Y - 9000, X - 9000, Y + 9000, X + 9000)]])
+    (tmp_path / "p.yml").write_text("valley_prefixes: {Mała: AA, Duża: BB}\nfallback_prefixes: {polska: PL, slowacja: SK}\n", encoding="utf-8")
+    polygons = shapes.load_polygons(spark, *(str(tmp_path / n) for n in ("v", "pl", "sk")), str(tmp_path / "p.yml"))
+    resolve = polygon_resolver(polygons)
+    degree = 1 / 111_000
+    points = [(k, 49.27391671 + up * degree, 20.07713884) for k, up in enumerate((0, 200, 2000, 8000, 20000))]
+    got = {r.point_id: (r.status, r.area, r.prefix, r.code, r.valley) for r in resolve(spark.createDataFrame(points, "point_id int, lat double, lon double")).collect()}
+    assert got[0] == ("ok", "valley", "AA", None, "Mała") and got[1] == ("ok", "valley", "BB", None, "Duża")
+    assert got[2][:4] == ("warning", "poland", "PL", "POINT_OUTSIDE_VALLEYS") and got[3][:3] == ("warning", "slovakia", "SK") and got[4][:4] == ("error", "outside_pl_sk", None, "POINT_OUTSIDE_PL_SK")
+    (tmp_path / "bad.yml").write_text("valley_prefixes: {}\nfallback_prefixes: {polska: PL}\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="slowacja"):
+        shapes.load_prefixes(spark, str(tmp_path / "bad.yml"))
+    with pytest.raises(ValueError, match="no prefix"):
+        (tmp_path / "few.yml").write_text("valley_prefixes: {Mała: AA}\nfallback_prefixes: {polska: PL, slowacja: SK}\n", encoding="utf-8")
+        shapes.load_polygons(spark, *(str(tmp_path / n) for n in ("v", "pl", "sk")), str(tmp_path / "few.yml"))
+    root = write(tmp_path / "data", {"objects/KSW/KSW-0001.yml": thing(), "caves/C-0001.yml": cave()})
+    assert codes(spark, root, resolver=resolve) == [("OBJECT_PREFIX_MISMATCH", "KSW-0001.yml")]
+
+
+def test_release_files(spark, tmp_path):
+    root = write(tmp_path / "data", {"objects/KSW/KSW-0001.yml": thing(notes="uwaga, \"x\""), "objects/KSW/KSW-0002.yml": thing("KSW-0002", cave_id=None, category="ponor"), "caves/C-0001.yml": cave()})
+    made = release.build_release(spark, load_catalog(spark, root), str(tmp_path / "out"), NOW)
+    assert [p.name for p in made.paths] == ["catalog.sqlite", "catalog.sqlite.zip", "best-measurements.geojson", "best-measurements.csv", "best-measurements.gpx", "best-measurements.shp.zip", "metadata.json"]
+    files = {p.name: p for p in made.paths}
+    features = json.loads(files["best-measurements.geojson"].read_text())["features"]
+    assert [f["id"] for f in features] == ["KSW-0001", "KSW-0002"] and features[0]["properties"]["nr_inwent"] == "T.1" and features[0]["properties"]["tpn_globalid"] == "{A}"
+    text = files["best-measurements.csv"].read_bytes().decode()
+    rows = list(csv.DictReader(io.StringIO(text)))
+    assert text.count("\r\n") == 3 and rows[0]["object_notes"] == 'uwaga, "x"' and rows[0]["x_1992"] == "156826.5" and rows[1]["nr_inwent"] == ""
+    assert '<wpt lat="49.27391671" lon="20.07713884">' in files["best-measurements.gpx"].read_text()
+    with zipfile.ZipFile(files["best-measurements.shp.zip"]) as z:
+        assert [n.split(".")[1] for n in z.namelist()] == ["shp", "shx", "dbf", "prj", "cpg"]
+        assert struct.unpack("<2d", z.read("best-measurements.shp")[112:128]) == (Y, X)
+        assert shapes.attribute(z.read("best-measurements.dbf"), "category") == ["jaskinia_otwor", "ponor"]
+        assert len(z.read("best-measurements.shp")) == 2 * struct.unpack(">i", z.read("best-measurements.shp")[24:28])[0]
+    db = sqlite3.connect(files["catalog.sqlite"])
+    assert db.execute("SELECT value FROM metadata WHERE key = 'object_count'").fetchone() == ("2",)
+    assert db.execute("SELECT tags_json, geom_1992 FROM measurements LIMIT 1").fetchone() == ('["a", "ż"]', "POINT(578327.52 156826.5)")
+    assert json.loads(files["metadata.json"].read_text())["counts"] == {"objects": 2, "caves": 1, "relations": 0, "measurements": 2, "validation_warnings": 0, "validation_errors": 0}
+
+
+def xlsx(path: Path, sheets: dict[str, str], shared: str = ""):
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name="{n}" sheetId="{k}" r:id="r{k}"/>' for k, n in enumerate(sheets)) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="r{k}" Target="worksheets/s{k}.xml"/>' for k in range(len(sheets))) + "</Relationships>")
+        for k, body in enumerate(sheets.values()):
+            z.writestr(f"xl/worksheets/s{k}.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
+        if shared:
+            z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}">{shared}</sst>')
+
+
+def test_source_tables(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("﻿A, B \r\n  1 ,\"x\r\ny\",surplus\r\n2\r\n".encode())
+    got = [tuple(r) for r in tables.read_source_table(spark, str(tmp_path / "a.csv")).orderBy("record_number").collect()]
+    assert got == [(1, "1", "x\r\ny"), (2, "2", "")]
+    body = '<row><c r="A1" t="s"><v>0</v></c><c r="B1"/><c r="C1" t="inlineStr"><is><t>K</t></is></c></row><row><c r="C2"><v> 7 </v></c><c r="B2"><v>9</v></c></row><row/><row><c r="A4" t="s"><v>99</v></c><c r="C4" t="s"><v>1</v></c></row>'
+    xlsx(tmp_path / "b.xlsx", {"Other": body}, "<si><t>Na</t><t>me</t></si><si><t>v</t></si>")
+    df = tables.read_source_table(spark, str(tmp_path / "b.xlsx"))
+    assert df.columns == ["record_number", "Name", "K"] and [tuple(r) for r in df.orderBy("record_number").collect()] == [(1, "", "7"), (2, "", "v")]
+    xlsx(tmp_path / "c.xlsx", {"Export": ""})
+    assert tables.read_source_table(spark, str(tmp_path / "c.xlsx")).count() == 0
+    xlsx(tmp_path / "d.xlsx", {})
+    with pytest.raises(ValueError, match="no readable sheet"):
+        tables.read_source_table(spark, str(tmp_path / "d.xlsx"))
+    assert [tables.column_index(x) for x in ("A1", "Z9", "AA1", "AB12", "", "7")] == [0, 25, 26, 27, 0, 0]
+
+
+def test_json_schema_rules():
+    schema = {
+        "type": "object", "additionalProperties": False, "required": ["id"],
+        "properties": {"id": {"$ref": "#/$defs/id"}, "n": {"type": "number", "minimum": 0, "maximum": 5}, "d": {"type": "string", "format": "date"}, "t": {"type": "array", "uniqueItems": True, "minItems": 1, "items": {"type": "string", "minLength": 1}}, "m": {"enum": ["a", None]}, "u": {"anyOf": [{"type": "string"}, {"type": "null"}]}, "r": {"type": ["string", "null"]}, "v": {"const": 1}},
+        "$defs": {"id": {"type": "string", "pattern": "^K-[0-9]+$"}},
+        "allOf": [{"if": {"properties": {"m": {"const": "a"}}, "required": ["m"]}, "then": {"required": ["r"], "properties": {"r": {"type": "string", "minLength": 1}}}}],
+    }
+    found = lambda v: sorted((".".join(map(str, p)), rule) for p, rule, _ in json_schema.violations(v, schema, schema))
+    assert found({"id": "K-1", "n": 5, "d": "2020-02-29", "t": ["x"], "m": None, "u": None, "v": 1}) == []
+    assert found({"n": True, "x": 1}) == [("", "additionalProperties"), ("", "required"), ("n", "type")]
+    assert found({"id": "k", "n": 6, "d": "2021-02-29", "t": [], "m": "b", "u": 3, "v": 2}) == [("d", "format"), ("id", "pattern"), ("m", "enum"), ("n", "maximum"), ("t", "minItems"), ("u", "anyOf"), ("v", "const")]
+    assert found({"id": "K-1", "m": "a", "r": None, "t": ["", ""]}) == [("r", "type"), ("t", "uniqueItems"), ("t.0", "minLength"), ("t.1", "minLength")]
+    assert found([]) == [("", "type")]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    root = write(tmp_path / "data", {"objects/KSW/KSW-0001.yml": thing(measurements=[measurement(horizontal_accuracy_m=None)]), "caves/C-0001.yml": cave()})
+    assert cli.main(["validate", "--data", root]) == 0
+    assert "MISSING_HORIZONTAL_ACCURACY\twarning" in capsys.readouterr().out
+    assert cli.main(["assign-id", "--data", root, "--prefix", "KSW", "--lat", "49.27", "--lon", "20.07"]) == 0
+    assert capsys.readouterr().out.startswith("KSW-0002")
+    assert cli.main(["export", "--data", root, "--output", str(tmp_path / "e"), "--generated-at", NOW]) == 0
+    write(tmp_path / "data", {"caves/C-0001.yml": "a: ["})
+    assert cli.main(["export", "--data", root, "--output", str(tmp_path / "f")]) == 1
+    assert cli.main(["validate", "--data", root]) == 1
+
+
+def test_own_corpus_has_no_errors(spark):
+    """With CAIRN_CORPUS set to a catalogue's data folder, that catalogue is checked as well."""
+    root = os.environ.get("CAIRN_CORPUS")
+    if not root:
+        pytest.skip("CAIRN_CORPUS is not set")
+    issues = validate(load_catalog(spark, root))
+    assert issues.where("severity = 'error'").count() == 0

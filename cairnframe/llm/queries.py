@@ -59,4 +59,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_licenses": licenses.SQL, "op8_chat": chat.SQL, "op10_quality": quality.SQL}
+    return {"op1_rpforest": rpforest.SQL, "op4_suffix_array": repeats.SQL, "op6_licenses": licenses.SQL, "op8_chat": chat.SQL, "op9_html": html.SQL, "op10_quality": quality.SQL}

@@ -270,3 +270,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None
     out = rows.join(covered, "rid", "left").select(*names, "text", "covered").mapInArrow(cut, schema + (", kept_text string" if with_text else ""))
     more = ["kept_text"] if with_text else []
     return out.select(*(F.col(n).alias(c) for c, n in zip(keep, names, strict=True)), "n_bytes", "n_removed", "n_spans", "kept_sha256", *more)
+
+
+#: Brute force over all windows, in hexadecimal digits.
+SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, unnest(list_transform(range(0, greatest(length(h) // 2 - 399, 0)), lambda i: hash(substring(h, 2 * i + 1, 800)))) AS g,
+    unnest(range(0, greatest(length(h) // 2 - 399, 0))) AS i FROM d
+), hit AS (
+  SELECT doc_id, i FROM w WHERE g IN (SELECT g FROM w GROUP BY g HAVING count(*) > 1)
+), edge AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM hit
+), span AS (
+  SELECT doc_id, k, min(i) AS a, max(i) + 400 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM edge) GROUP BY 1, 2
+), gap AS (
+  SELECT doc_id, k, b AS c, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY k), 1000000000) AS e FROM span
+  UNION ALL SELECT doc_id, 0, 0, min(a) FROM span GROUP BY 1
+), kept AS (
+  SELECT doc_id, string_agg(substring(h, 2 * c + 1, 2 * (e - c)), '' ORDER BY k) AS rest FROM gap JOIN d USING (doc_id) GROUP BY 1
+), sums AS (
+  SELECT doc_id, sum(b - a) AS r, count(*) AS s FROM span GROUP BY 1
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(r, 0)::BIGINT AS n_removed, coalesce(s, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""

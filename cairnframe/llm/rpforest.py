@@ -221,3 +221,18 @@ def embedding_components(vectors: DataFrame, trees: int = TREES, leaf_rows: int
     all_rows = rows.select("vec_id", "node").join(by_node, "node", "left")
     component = F.coalesce("component_id", "vec_id")
     return all_rows.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+
+
+#: Brute force over all pairs.
+SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), parts AS (SELECT a, min(b) AS c FROM reach GROUP BY 1), degrees AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c::BIGINT AS component_id, vec_id = c AS kept
+FROM embeddings JOIN parts ON parts.a = vec_id LEFT JOIN degrees ON degrees.a = vec_id
+"""

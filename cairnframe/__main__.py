@@ -39,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
         for o in ("valleys", "poland", "slovakia", "prefixes"):
             c.add_argument(f"--{o}", help="shapefiles without suffix, and the prefix configuration, for the resolver")
         c.add_argument("--prefix", help="one prefix for all points, instead of polygons")
-        c.add_argument("--schemas", help="folder with {object,cave,relation}.schema.json")
+        c.add_argument("--schemas", help="folder with {object,cave,relation}.schema.json; by default `schema` beside the data folder")
         for o in options:
             c.add_argument(f"--{o.rstrip('!')}", required=o.endswith("!"))
         return c
@@ -66,8 +66,8 @@ def resolver_of(spark: SparkSession, a: argparse.Namespace) -> Resolver | None:
 
 
 def schemas_of(a: argparse.Namespace) -> dict[str, dict] | None:
-    if not a.schemas:
-        return None
+    """The schemas of the given folder, else those in `schema` beside the data folder, if there are any."""
+    a.schemas = a.schemas or str(Path(a.data).resolve().parent / "schema")
     return {k: json.loads(p.read_text(encoding="utf-8")) for k in ("object", "cave", "relation") if (p := Path(a.schemas) / f"{k}.schema.json").exists()}
 
 

@@ -1,0 +1 @@
+"""Column builders: pure functions from columns to columns, without a session or a UDF."""

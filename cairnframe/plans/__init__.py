@@ -1,0 +1 @@
+"""Queries and pipelines made of the operators."""

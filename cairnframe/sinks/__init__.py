@@ -1,0 +1 @@
+"""Release rows, tables and files."""

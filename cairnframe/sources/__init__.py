@@ -1,0 +1 @@
+"""Readers of records, tables and shapes."""

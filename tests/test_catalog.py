@@ -209,6 +209,9 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["assign-id", "--data", root, "--prefix", "KSW", "--lat", "49.27", "--lon", "20.07"]) == 0
     assert capsys.readouterr().out.startswith("KSW-0002")
     assert cli.main(["export", "--data", root, "--output", str(tmp_path / "e"), "--generated-at", NOW]) == 0
+    (tmp_path / "schema").mkdir()
+    (tmp_path / "schema" / "cave.schema.json").write_text(json.dumps({"properties": {"name": {"const": "Other"}}}))
+    assert cli.main(["validate", "--data", root]) == 1 and "SCHEMA_VALIDATION\terror" in capsys.readouterr().out
     write(tmp_path / "data", {"caves/C-0001.yml": "a: ["})
     assert cli.main(["export", "--data", root, "--output", str(tmp_path / "f")]) == 1
     assert cli.main(["validate", "--data", root]) == 1

@@ -30,6 +30,8 @@ SEED, SHINGLE_WORDS, MAX_BITS = 42, 3, 2
 DEALS = [(agree, tuple(b for b in range(4) if b not in agree)) for agree in combinations(range(4), 2)]
 #: Fingerprints that a task gathers before it walks their tries, at the next change of the key.
 CHUNK = 200_000
+#: Rows with one key beyond which they are dealt once more.
+DENSE_ROWS = 4096
 
 
 def fingerprint(text: str | None) -> int:
@@ -107,6 +109,42 @@ def trie_pairs(keys: np.ndarray, rest: np.ndarray, budget: int = MAX_BITS) -> tu
     return np.minimum(i, j), np.maximum(i, j)
 
 
+def shard_pairs(keys: np.ndarray, rest: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of `trie_pairs` in parts, with bounded node pairs also where very many rows share a key.
+
+    Rows of such a key are dealt once more, by two of the four octets of their rests: each pair within
+    the budget agrees in two, and at most 65,536 rows then share all but 16 bits.
+    """
+    edge = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    size = np.diff(np.r_[edge, len(keys)])
+    dense = np.repeat(size > DENSE_ROWS, size)
+    few = np.flatnonzero(~dense)
+    i, j = trie_pairs(keys[few], rest[few])
+    yield few[i], few[j]
+    for a, n in zip(edge[size > DENSE_ROWS].tolist(), size[size > DENSE_ROWS].tolist(), strict=True):
+        own = rest[a : a + n]
+        for k, (agree, other) in enumerate(DEALS):
+            part, left = (own >> np.uint32(8 * x[0]) & np.uint32(0xFF) | (own >> np.uint32(8 * x[1]) & np.uint32(0xFF)) << np.uint32(8) for x in (agree, other))
+            order = np.lexsort((left, part))
+            cuts = np.flatnonzero(np.diff(part[order])) + 1
+            for start in range(0, len(cuts) + 1, 4096):
+                ends = np.r_[0, cuts, n]
+                rows = order[ends[start] : ends[min(start + 4096, len(cuts) + 1)]]
+                i, j = trie_pairs(part[rows], left[rows])
+                i, j = rows[i], rows[j]
+                first = first_deal(own[i] ^ own[j], 8)
+                yield a + i[first == k], a + j[first == k]
+
+
+def first_deal(differ: np.ndarray, width: int) -> np.ndarray:
+    """The first deal in whose blocks of so many bits two values agree, from the bits in which they differ."""
+    first = np.full(len(differ), -1)
+    for k in range(len(DEALS) - 1, -1, -1):
+        mask = differ.dtype.type(sum(((1 << width) - 1) << width * b for b in DEALS[k][0]))
+        first[(differ & mask) == 0] = k
+    return first
+
+
 def _blocks(values: np.ndarray, pair: tuple[int, int]) -> np.ndarray:
     a, b = (values >> np.uint64(16 * k) & np.uint64(0xFFFF) for k in pair)
     return (a << np.uint64(16) | b).astype(np.uint32)
@@ -122,15 +160,11 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, rest = _blocks(own, agree), _blocks(own, other)
             order = np.lexsort((rest, keys))
             own, keys, rest = own[order], keys[order], rest[order]
-            i, j = trie_pairs(keys, rest)
-            differ = own[i] ^ own[j]
-            first = np.full(len(i), -1)
-            for k in range(len(DEALS) - 1, -1, -1):
-                mask = np.uint64(sum(0xFFFF << 16 * b for b in DEALS[k][0]))
-                first[(differ & mask) == 0] = k
-            i, j = i[first == d], j[first == d]
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(own[i].view(np.int64)), pa.array(own[j].view(np.int64))], names=["a", "b"])
+            for i, j in shard_pairs(keys, rest):
+                mine = first_deal(own[i] ^ own[j], 16) == d
+                i, j = i[mine], j[mine]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(own[i].view(np.int64)), pa.array(own[j].view(np.int64))], names=["a", "b"])
 
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     rows = 0

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from cairnframe.llm import simhash
@@ -44,6 +45,18 @@ def test_trie_pairs_are_all_pairs():
     assert len(i) == len(set(zip(i.tolist(), j.tolist(), strict=True))) and set(zip(i.tolist(), j.tolist(), strict=True)) == want
 
 
+@pytest.mark.parametrize("dense", [2, 50])
+def test_dense_keys_lose_nothing(monkeypatch, dense):
+    r = np.random.default_rng(5)
+    base = r.integers(0, 2**32, 30, dtype=np.uint32)
+    rows = sorted({(k, int(b) ^ (1 << int(x)) ^ (1 << int(y))) for k in (1, 2) for b in base[: 30 // k] for x, y in r.integers(0, 32, (14, 2))} | {(9, 5), (9, 4)})
+    keys, rest = (np.array(c, np.uint32) for c in zip(*rows, strict=True))
+    whole = set(zip(*(x.tolist() for x in simhash.trie_pairs(keys, rest)), strict=True))
+    monkeypatch.setattr(simhash, "DENSE_ROWS", dense)
+    found = [(min(p), max(p)) for i, j in simhash.shard_pairs(keys, rest) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert len(found) == len(set(found)) and set(found) == whole and len(whole) > 500
+
+
 def test_components_against_brute_force(spark):
     r = random.Random(2)
     words = ["".join(r.choices("abcdefg", k=4)) for _ in range(400)]

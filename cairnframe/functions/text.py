@@ -47,7 +47,9 @@ _MARKS = "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x300, 0x36F), (0x483,
 
 def normalize_name(value: Column) -> Column:
     """Lower case, no accents, runs of all but a-z and 0-9 as one space, trimmed. Letters without a decomposition, such as l with stroke, are dropped."""
-    folded = F.regexp_replace(F.translate(F.lower(F.coalesce(value, F.lit(""))), _MARKED, _PLAIN), _MARKS, "")
+    lower = F.lower(F.coalesce(value, F.lit("")))
+    # Most texts are ASCII; only the others need the table.
+    folded = F.when(lower.rlike(r"[^\x00-\x7f]"), F.regexp_replace(F.translate(lower, _MARKED, _PLAIN), _MARKS, "")).otherwise(lower)
     return F.trim(F.regexp_replace(folded, "[^a-z0-9]+", " "))
 
 

@@ -54,11 +54,12 @@ def duplicate_summary(table: DataFrame, columns: list[str]) -> DataFrame:
 
 def numeric_profile(table: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, numeric, missing, non_numeric, min_value, max_value) of decimal texts, in one pass."""
-    aggregates = []
+    aggregates, parsed = [], []
     for k, c in enumerate(columns):
         text = F.col(f"`{c}`") if c in table.columns else F.lit("")
-        value = parse_decimal(text)
-        aggregates += [F.count(value).alias(f"n{k}"), F.count_if(is_blank(text)).alias(f"b{k}"), F.count_if(~is_blank(text) & value.isNull()).alias(f"x{k}"), F.min(value).alias(f"lo{k}"), F.max(F.when(~F.isnan(value), value)).alias(f"hi{k}")]
-    row = table.agg(*aggregates)
+        parsed += [parse_decimal(text).alias(f"v{k}"), is_blank(text).alias(f"e{k}")]
+        value, empty = F.col(f"v{k}"), F.col(f"e{k}")
+        aggregates += [F.count(value).alias(f"n{k}"), F.count_if(empty).alias(f"b{k}"), F.count_if(~empty & value.isNull()).alias(f"x{k}"), F.min(value).alias(f"lo{k}"), F.max(F.when(~F.isnan(value), value)).alias(f"hi{k}")]
+    row = table.select(*parsed).agg(*aggregates)
     parts = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{k}").alias("numeric"), F.col(f"b{k}").alias("missing"), F.col(f"x{k}").alias("non_numeric"), F.col(f"lo{k}").alias("min_value"), F.col(f"hi{k}").alias("max_value")) for k, c in enumerate(columns)]
     return row.select(F.explode(F.array(*parts)).alias("p")).select("p.*")

@@ -97,10 +97,8 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         return 0
     if a.command == "apply-review":
         data = review.read_decisions(spark, a.decisions)
-        if not isinstance(data.get("decisions"), list):
-            raise review.DecisionFileError("decisions must be a list")
         reports = {"PIG": staging.read_report(spark, a.pig_staging or "/nonexistent"), "TPN": staging.read_report(spark, a.tpn_staging or "/nonexistent")}
-        found = review.apply_review(spark, catalog.check(), data["decisions"], reports, str(data.get("reviewed_at") or a.generated_at), str(data.get("reviewed_by") or a.reviewed_by or "operator:staging-review"))
+        found = review.review_file(spark, catalog, data, reports, a.generated_at, a.reviewed_by or "operator:staging-review")
         written = [] if a.dry_run else review.write_review(found, a.data)
         report = review.review_report(found, a.data, written)
         out = Path(a.output)

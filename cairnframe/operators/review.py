@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, positive_int
-from ..sources.catalog import Catalog, parse_yaml
+from ..sources.catalog import Catalog, CatalogLoadError, parse_yaml
 from ..sources.schemas import CAVE, MEASUREMENT, OBJECT, REF
 from .best import best_measurement_id
 from .materialize import cut_lineage
@@ -76,6 +76,26 @@ def read_decisions(spark: SparkSession, path: str) -> dict:
     return yaml.safe_load(text)
 
 
+def refused(spark: SparkSession, code: str, text: str, reviewed_at: str, reviewed_by: str) -> Review:
+    """A review of which nothing was applied, for one reason."""
+    nothing = spark.createDataFrame([], "key string")
+    applied = spark.createDataFrame([], "decision_index long, action string, status string, source string, record_number long, object_id string, cave_id string, description string")
+    issues = spark.createDataFrame([(None, code, "error", text)], "decision_index long, code string, severity string, description string")
+    return Review(applied, issues, nothing, nothing, reviewed_at, reviewed_by)
+
+
+def review_file(spark: SparkSession, catalog: Catalog, data: dict, reports: dict[str, dict[str, DataFrame]], reviewed_at: str, reviewed_by: str) -> Review:
+    """`apply_review` for the content of a decision file; its own time and author count before those given."""
+    at, by = str(data.get("reviewed_at") or reviewed_at), str(data.get("reviewed_by") or reviewed_by)
+    if not isinstance(data.get("decisions"), list):
+        return refused(spark, "DECISIONS_INVALID", "decisions must be a list", at, by)
+    try:
+        catalog.check()
+    except CatalogLoadError as e:
+        return refused(spark, "FINAL_DATA_INVALID", str(e), at, by)
+    return apply_review(spark, catalog, data["decisions"], reports, at, by)
+
+
 def decision_rows(spark: SparkSession, decisions: list) -> DataFrame:
     """decision_index from 1, is_mapping, and the trimmed fields; one row for each entry of the log."""
     names = [f.split(" ")[0] for f in DECISION.split(", ")]

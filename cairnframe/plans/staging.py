@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -296,9 +297,10 @@ REPORT = f"rows array<{STAGING_ROW}>, proposed_caves array<{CAVE}>, proposed_obj
 
 def read_report(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """rows, proposed_caves, proposed_objects and matched_measurements of a staging file; empty if there is none."""
-    from pyspark.errors import AnalysisException
-
     try:
+        head = spark.read.option("wholetext", True).text(path).select(F.substring(F.ltrim("value"), 1, 1)).first()
+        if head and head[0] != "{":
+            raise ValueError(f"{path}: a staging report must be a JSON object")
         whole = spark.read.schema(REPORT).option("multiLine", True).json(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):

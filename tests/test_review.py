@@ -81,3 +81,18 @@ def test_errors_forbid_all_writing(world):
         (13, "LINK_CAVE_MISSING"), (14, "STAGING_ROW_MISSING"), (15, "STAGING_CAVE_PROPOSAL_MISSING"),
     ]
     assert report["has_errors"] and report["written_paths"] == [] and not (data / "objects/KSW/KSW-0002.yml").exists()
+
+
+def test_refused_files(spark, world, tmp_path):
+    catalog = load_catalog(spark, str(tmp_path / "data"))
+    report = review.review_report(review.review_file(spark, catalog, {"decisions": {}}, {}, NOW, WHO), "d", [])
+    assert [i["code"] for i in report["issues"]] == ["DECISIONS_INVALID"] and report["has_errors"]
+    (tmp_path / "data" / "caves" / "C-0003.yml").write_text("a: [")
+    found = review.review_file(spark, load_catalog(spark, str(tmp_path / "data")), {"decisions": [], "reviewed_by": "x"}, {}, NOW, WHO)
+    assert [r.code for r in found.issues.collect()] == ["FINAL_DATA_INVALID"] and found.reviewed_by == "x" and review.write_review(found, "d") == []
+    (tmp_path / "list.json").write_text("[1]")
+    with pytest.raises(ValueError, match="JSON object"):
+        read_report(spark, str(tmp_path / "list.json"))
+    (tmp_path / "bad.yml").write_text("- 1")
+    with pytest.raises(review.DecisionFileError):
+        review.read_decisions(spark, str(tmp_path / "bad.yml"))

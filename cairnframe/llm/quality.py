@@ -2,9 +2,11 @@
 
 Base rules work inside a row. The method's verdict: lines are normalised and hashed, the distinct
 documents of a host (`source`) that hold a line are counted, lines above the limit are taken out,
-and documents of which too little is left are rejected. Exact copies of a text count as one
-document here, so that a text is not rejected for having been copied; removing copies is another
-operator's work. Counts cover all documents; line rows carry hashes, never texts.
+and documents of which too little is left are rejected. Documents count as distinct for a line if
+the least of their other lines (by hash) differs: copies and near copies of one text share it and
+count once, so that no text is rejected for having been copied, while a notice on otherwise
+different pages counts for each. Removing copies is another operator's work. Counts cover all
+documents; line rows carry hashes, never texts.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from .common import broadcast_if_small
 
 SPACE = r"[\x20\x09-\x0D]+"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW_WORDS = 20, 30, 8
-#: A line that more distinct texts of a host hold is boilerplate; a document that loses more percent of its words is rejected.
+#: A line that more distinct documents of a host hold is boilerplate; a document that loses more percent of its words is rejected.
 MAX_LINE_DOCUMENTS, MAX_REMOVED_PERCENT = 50, 70
 
 
@@ -62,17 +64,27 @@ def base_features(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, source, line, words): a row for each line with a word; `content` and `line` are hashes."""
-    lines = docs.select("doc_id", F.col("source"), F.xxhash64("text").alias("content"), F.explode(F.split(F.lower("text"), "\n")).alias("raw"))
-    lines = lines.withColumn("norm", F.btrim(F.regexp_replace("raw", SPACE, " "))).where("norm <> ''")
-    return lines.select("doc_id", "content", "source", F.xxhash64("norm").alias("line"), F.size(F.split("norm", " ")).cast("long").alias("words"))
+    """(doc_id, content, source, line, words, other): a row for each line with a word.
+
+    `line` is 60 bits of the normalised line's MD5, `content` a hash of the text, and `other` the
+    least `line` of the document besides this one (0 if it has none).
+    """
+    tidy = F.filter(F.transform(F.split(F.lower("text"), "\n"), lambda x: F.btrim(F.regexp_replace(x, SPACE, " "))), lambda x: x != "")
+    rows = docs.select("doc_id", "source", F.xxhash64("text").alias("content"), tidy.alias("tidy"))
+    key = lambda x: F.conv(F.substring(F.md5(x), 1, 15), 16, 10).cast("long")
+    rows = rows.select("doc_id", "source", "content", F.transform("tidy", lambda x: F.struct(key(x).alias("line"), F.size(F.split(x, " ")).cast("long").alias("words"))).alias("lines"))
+    rows = rows.select("*", F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("keys"))
+    first, second = F.get("keys", F.lit(0)), F.coalesce(F.get("keys", F.lit(1)), F.lit(0))
+    # An outer explode: an inner one has the arrays computed once more for a filter on their size.
+    lines = rows.select("doc_id", "content", "source", first.alias("a"), second.alias("b"), F.explode_outer("lines").alias("x")).where("x is not null")
+    return lines.select("doc_id", "content", "source", F.col("x.line").alias("line"), F.col("x.words").alias("words"), F.when(F.col("x.line") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
 
 
 def depleted(docs: DataFrame, max_documents: int = MAX_LINE_DOCUMENTS, max_removed_percent: int = MAX_REMOVED_PERCENT) -> DataFrame:
     """(doc_id, content) of documents that lose too many words with their host's frequent lines."""
     lines = line_rows(docs)
-    texts = lines.groupBy("source", "line", "content").agg(F.lit(1).alias("one"))
-    frequent = texts.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_documents)
+    distinct = lines.groupBy("source", "line", "other").agg(F.lit(1).alias("one"))
+    frequent = distinct.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_documents)
     frequent = frequent.select(F.col("source").alias("__s"), F.col("line").alias("__l"))
     marked = lines.join(frequent, F.col("source").eqNullSafe(F.col("__s")) & (F.col("line") == F.col("__l")), "left")
     totals = marked.groupBy("doc_id", "content", "source").agg(F.sum("words").alias("all"), F.sum(F.when(F.col("__l").isNotNull(), F.col("words")).otherwise(0)).alias("removed"))
@@ -117,8 +129,12 @@ WITH base AS (
   SELECT doc_id, sum(least({WINDOW_WORDS}, coalesce(nxt - i, {WINDOW_WORDS})))::BIGINT AS r FROM twins GROUP BY 1
 ), lines AS (
   SELECT doc_id, source, text, trim(regexp_replace(unnest(string_split(lower(text), chr(10))), '{SPACE}', ' ', 'g')) AS line FROM documents
+), keyed AS (
+  SELECT *, left(md5(line), 15) AS k FROM lines WHERE line <> ''
+), least AS (
+  SELECT doc_id, source, text, list_sort(list_distinct(list(k))) AS ks FROM keyed GROUP BY ALL
 ), counted AS (
-  SELECT source, line, count(DISTINCT text) AS n FROM lines WHERE line <> '' GROUP BY ALL
+  SELECT source, line, count(DISTINCT CASE WHEN k = ks[1] THEN coalesce(ks[2], '') ELSE ks[1] END) AS n FROM keyed JOIN least USING (doc_id, source, text) GROUP BY ALL
 ), gone AS (
   SELECT doc_id FROM (SELECT doc_id, len(string_split(line, ' ')) AS words, n FROM lines JOIN counted USING (source, line))
   GROUP BY 1 HAVING 100 * sum(CASE WHEN n > {MAX_LINE_DOCUMENTS} THEN words ELSE 0 END) > {MAX_REMOVED_PERCENT} * sum(words)

@@ -1,5 +1,6 @@
 """Quality rules, chat formatting and license scans against plain Python, and their plans."""
 
+import hashlib
 import math
 import random
 import re
@@ -22,9 +23,9 @@ def plain_quality(rows, limit, percent):
     held = defaultdict(set)
     norm = lambda line: " ".join(word_list(line.lower()))
     for _, text, source in rows:
-        for line in (text or "").split("\n"):
-            if norm(line):
-                held[source, norm(line)].add(text)
+        keys = {norm(x): hashlib.md5(norm(x).encode()).hexdigest()[:15] for x in (text or "").split("\n") if norm(x)}
+        for line, key in keys.items():
+            held[source, line].add(min((k for k in keys.values() if k != key), default=""))
     out = []
     for doc, text, source in rows:
         w = word_list(text)
@@ -56,6 +57,16 @@ def test_quality_against_plain_python(spark):
     assert quality.quality_rules(df.where("doc_id = -1")).count() == 0
 
 
+def test_copies_of_a_text_are_no_boilerplate(spark):
+    r = random.Random(9)
+    line = lambda n: " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(n))
+    text, notice = [line(12) for _ in range(9)], line(30)
+    near = [[line(12) if k == i % 9 else t for k, t in enumerate(text)] for i in range(200)]
+    rows = [(i, "\n".join(t), "s") for i, t in enumerate([text] * 100 + near)] + [(1000 + i, f"{line(8)}\n{notice}", "s") for i in range(80)]
+    got = {x.doc_id: x.kept for x in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i] for i in range(300)) and not any(got[1000 + i] for i in range(80))
+
+
 def plain_pairs(turns):
     by_pair = defaultdict(lambda: ([], []))
     for conv, turn, role, text in turns:

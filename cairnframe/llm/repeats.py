@@ -33,7 +33,7 @@ from .sais import permuted_prefixes, suffix_array
 
 LENGTH, K = 400, 64
 #: Bytes of segments in a shard, and classes of one minimizer that are sorted; more are counted by hashes.
-SHARD_BYTES, MAX_CLASSES = 2_000_000, 6000
+SHARD_BYTES, MAX_CLASSES = 1_000_000, 6000
 _U = np.uint64
 
 

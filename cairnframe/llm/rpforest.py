@@ -21,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -167,7 +166,6 @@ def embedding_components(vectors: DataFrame, trees: int = TREES, leaf_rows: int
     with nothing have their own id as component (null where vec_id is null). An empty table gives
     no rows. Columns besides these three are ignored.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("string"), F.col("embedding").cast("array<double>"))
     rows = rows.withColumn("node", F.when(F.col("label").isNotNull() & usable("embedding"), class_code()))
     copies = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))

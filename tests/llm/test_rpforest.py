@@ -19,7 +19,7 @@ def brute(rows):
     return sorted((rows[k][0], len(links.get(k, ())), label[k], rows[k][0] == label[k]) for k in label)
 
 
-def sample(n_base=300, dim=32, seed=4):
+def sample(n_base=120, dim=32, seed=4):
     r = np.random.default_rng(seed)
     rows = []
     for _ in range(n_base):

@@ -1,18 +1,22 @@
 """Embedding near-duplicates by a forest of random-projection trees with spill overlap (operator 1).
 
 Equal vectors of a label collapse to one class first. Each tree splits the space again and again
-along random directions at the median of a bounded sample; a vector that lies within the spill
-margin of a split goes to both sides. Classes that meet in a leaf and have the same label are
-compared exactly, in double precision. A pair counts only in the first leaf that both have in
-common over all trees, so links can be counted in the leaves without listing pairs; for the
+along random directions at the median of a bounded sample, as long as the sample says that a label
+has more than `LEAF_ROWS` classes in a node; a vector that lies within the spill margin of a split
+goes to both sides. Classes that meet in a leaf and have the same label are all compared exactly, in
+double precision and in blocks, however many they are: a leaf has no splits of its own. A pair
+counts only in the first leaf that both have in common over all trees, so links can be counted in
+the leaves without listing pairs, and a pair that one tree parts still counts in another; for the
 components each leaf hands on a spanning forest of its links, never all pairs.
 
 Loss: the chord of a linked pair is at most c = sqrt(2 - 2 * 0.98) = 0.2; along a random direction in
 d dimensions it is about normal with a deviation of c / sqrt(d). The margin is half of this deviation
-to each side. A split parts such a pair for good only if it is stretched over the whole spill zone,
-in the worst case (cosine just 0.98) with a probability of about 1.3 % a level, and less for
-closer pairs. With at most 12 levels a tree loses at most 15 % of the worst pairs and all trees
-together less than 0.15^TREES.
+to each side. A split parts such a pair for good only if it is stretched over the whole spill zone;
+in the worst case (cosine just 0.98) the probability is about a sixth of the share of the node's
+vectors that lie in the zone (some 8 % of widely spread vectors, about half of noisy near copies),
+and less for closer pairs. The shares of the splits above a leaf add up to less than `MAX_SPILL`, so
+dense groups stay whole, a tree loses about a sixth of the worst pairs at most, and all trees
+together about 6^-TREES.
 """
 
 from __future__ import annotations
@@ -30,44 +34,55 @@ from .components import connected_components
 MIN_COSINE, TREES = 0.98, 8
 #: Vectors that fit the splits, whatever the size of the table; all vectors are then dealt to leaves.
 SAMPLE_ROWS = 20_000
-#: Classes that a leaf should hold; larger leaves are split further where they are compared.
+#: Classes of a label that a leaf should hold; groups that can't be split without loss stay larger and are compared whole.
 LEAF_ROWS, MAX_LEVELS = 512, 12
+#: Shares of vectors in the spill zones that may add up on the way to a leaf.
+MAX_SPILL = 1.0
 #: Rows and columns of a block of cosines.
 BLOCK = 1024
 
 
 class Forest:
-    """The splits of all trees: one direction a level and tree, one threshold a node."""
+    """The splits of all trees: one direction a level and tree, one threshold a node, NaN where a node is a leaf.
 
-    def __init__(self, sample: np.ndarray, levels: int, trees: int = TREES, seed: int = 11) -> None:
+    Nodes are numbered as in a heap, from 1. `labels` are the sample's labels as small integers, and
+    `share` is the number of classes that a row of the sample stands for.
+    """
+
+    def __init__(self, sample: np.ndarray, labels: np.ndarray, share: float = 1.0, leaf_rows: int = LEAF_ROWS, trees: int = TREES, seed: int = 11) -> None:
         dim = sample.shape[1]
-        self.levels, self.trees, self.dim = levels, trees, dim
-        directions = np.random.default_rng(seed).standard_normal((trees, max(levels, 1), dim))
+        self.trees, self.levels = trees, 0
+        directions = np.random.default_rng(seed).standard_normal((trees, MAX_LEVELS, dim))
         self.directions = directions / np.linalg.norm(directions, axis=2, keepdims=True)
         self.margin = 0.5 * np.sqrt(2 - 2 * MIN_COSINE) / np.sqrt(dim)
-        self.thresholds = np.zeros((trees, max(levels, 1), 1 << max(levels - 1, 0)))
+        self.thresholds = np.full((trees, 2 << MAX_LEVELS), np.nan)
         for t in range(trees):
-            node = np.zeros(len(sample), np.int64)
-            for k in range(levels):
-                along = sample @ self.directions[t, k]
-                order = np.lexsort((along, node))
-                bounds = np.searchsorted(node[order], np.arange((1 << k) + 1))
-                for n in range(1 << k):
-                    own = along[order[bounds[n] : bounds[n + 1]]]
-                    self.thresholds[t, k, n] = np.median(own) if len(own) else 0.0
-                node = 2 * node + (along > self.thresholds[t, k, node])
+            heights = sample @ self.directions[t].T
+            todo = [(1, np.arange(len(sample)), 0, 0.0)]
+            while todo:
+                node, rows, level, spilt = todo.pop()
+                if level == MAX_LEVELS or len(rows) < 2 or np.bincount(labels[rows]).max() * share <= leaf_rows:
+                    continue
+                along = heights[rows, level]
+                middle = np.median(along)
+                left, right = along <= middle + self.margin, along >= middle - self.margin
+                spilt += float(np.mean(left & right))
+                if spilt >= MAX_SPILL:
+                    continue
+                self.thresholds[t, node], self.levels = middle, max(self.levels, level + 1)
+                todo += [(2 * node, rows[left], level + 1, spilt), (2 * node + 1, rows[right], level + 1, spilt)]
 
     def leaves(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) of unit vectors, a row for each leaf; leaf numbers differ between trees."""
         rows, leaves = [], []
         for t in range(self.trees):
-            row, node = np.arange(len(unit)), np.zeros(len(unit), np.int64)
+            row, node = np.arange(len(unit)), np.ones(len(unit), np.int64)
             for k in range(self.levels):
-                along = (unit @ self.directions[t, k])[row] - self.thresholds[t, k, node]
-                left, right = along <= self.margin, along >= -self.margin
-                row, node = np.r_[row[left], row[right]], np.r_[2 * node[left], 2 * node[right] + 1]
+                along = (unit @ self.directions[t, k])[row] - self.thresholds[t, node]
+                done, left, right = np.isnan(along), along <= self.margin, along >= -self.margin
+                row, node = np.r_[row[done], row[left], row[right]], np.r_[node[done], 2 * node[left], 2 * node[right] + 1]
             rows.append(row)
-            leaves.append(node + (t << self.levels))
+            leaves.append(node + t * (2 << MAX_LEVELS))
         return np.concatenate(rows), np.concatenate(leaves)
 
 
@@ -79,50 +94,35 @@ def unit_rows(vectors: list, dim: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
-def split_leaf(unit: np.ndarray, margin: float, leaf_rows: int, seed: int) -> list[np.ndarray]:
-    """Further random splits with spill of one large leaf: index arrays of at most `leaf_rows`, or unsplittable ones."""
-    rng, todo, done = np.random.default_rng(seed), [np.arange(len(unit))], []
-    while todo:
-        rows = todo.pop()
-        parts = None
-        if len(rows) > leaf_rows:
-            direction = rng.standard_normal(unit.shape[1])
-            along = unit[rows] @ (direction / np.linalg.norm(direction))
-            middle = np.median(along)
-            parts = rows[along <= middle + margin], rows[along >= middle - margin]
-        if parts and max(map(len, parts)) < 0.95 * len(rows):
-            todo += parts
-        else:
-            done.append(rows)  # a dense group: compared in blocks
-    return done
-
+def met_before(leaf: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether row i of `a` and row j of `b` share a leaf with a lesser number, for all (i, j); both hold leaf numbers, filled up with -1."""
+    shared = np.intersect1d(a[(a >= 0) & (a < leaf)], b[(b >= 0) & (b < leaf)])
+    if not len(shared):
+        return np.zeros((len(a), len(b)), bool)
+    held = []
+    for own in (a, b):
+        at = np.minimum(np.searchsorted(shared, own), len(shared) - 1)
+        row, k = np.nonzero(shared[at] == own)
+        one = np.zeros((len(own), len(shared)), np.float32)
+        one[row, at[row, k]] = 1
+        held.append(one)
+    return held[0] @ held[1].T > 0
 
-def first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least value that rows of `a` and `b` share; both hold leaf numbers, filled up with -1."""
-    equal = (a[:, :, None] == b[:, None, :]) & (a[:, :, None] >= 0)
-    return np.where(equal.any(axis=2), a, np.iinfo(np.int64).max).min(axis=1)
 
-
-def compare_leaf(leaf: int, unit: np.ndarray, leaves: np.ndarray, margin: float, leaf_rows: int = LEAF_ROWS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def compare_leaf(leaf: int, unit: np.ndarray, leaves: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs with a cosine of `MIN_COSINE` or more whose first common leaf is this one."""
-    parts = split_leaf(unit, margin, leaf_rows, leaf)
-    member = np.zeros((len(unit), len(parts)), bool)
-    for k, rows in enumerate(parts):
-        member[rows, k] = True
-    for k, rows in enumerate(parts):
-        for x in range(0, len(rows), BLOCK):
-            for y in range(x, len(rows), BLOCK):
-                i, j = np.nonzero(unit[rows[x : x + BLOCK]] @ unit[rows[y : y + BLOCK]].T >= MIN_COSINE)
-                i, j = rows[x + i], rows[y + j]
-                for z in range(0, len(i), 50_000):
-                    p, q = i[z : z + 50_000], j[z : z + 50_000]
-                    own = p < q if x == y else np.ones(len(p), bool)
-                    p, q = p[own], q[own]
-                    own = (member[p] & member[q]).argmax(axis=1) == k
-                    p, q = p[own], q[own]
-                    own = first_common(leaves[p], leaves[q]) == leaf
-                    if own.any():
-                        yield p[own], q[own]
+    for x in range(0, len(unit), BLOCK):
+        for y in range(x, len(unit), BLOCK):
+            near = unit[x : x + BLOCK] @ unit[y : y + BLOCK].T >= MIN_COSINE
+            if x == y:
+                near = np.triu(near, 1)
+            rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+            if not len(rows):
+                continue
+            new = near[np.ix_(rows, columns)] & ~met_before(leaf, leaves[x + rows], leaves[y + columns])
+            i, j = np.nonzero(new)
+            if len(i):
+                yield x + rows[i], y + columns[j]
 
 
 class Forests:
@@ -174,9 +174,9 @@ def embedding_components(vectors: DataFrame, trees: int = TREES, leaf_rows: int
     if not size[0]:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     dim = size[1]
-    sample = classes.orderBy(F.xxhash64("node")).limit(SAMPLE_ROWS).select("embedding")
-    levels = int(np.clip(np.ceil(np.log2(size[0] / leaf_rows)), 0, MAX_LEVELS))
-    forest = Forest(unit_rows([r.embedding for r in sample.collect()], dim), levels, trees)
+    sample = classes.orderBy(F.xxhash64("node")).limit(SAMPLE_ROWS).select("embedding", F.concat_ws("|", F.size("embedding"), "label").alias("label")).collect()
+    labels = np.unique([r.label for r in sample], return_inverse=True)[1]
+    forest = Forest(unit_rows([r.embedding for r in sample], dim), labels, size[0] / len(sample), leaf_rows, trees)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -199,7 +199,7 @@ def embedding_components(vectors: DataFrame, trees: int = TREES, leaf_rows: int
         for k, own in enumerate(pdf["leaves"]):
             leaves[k, : len(own)] = own
         unit, links = unit_rows(pdf["embedding"].tolist(), dim), Forests(len(node))
-        for p, q in compare_leaf(key[0], unit, leaves, forest.margin, leaf_rows):
+        for p, q in compare_leaf(key[0], unit, leaves):
             np.add.at(counts, p, n[q])
             np.add.at(counts, q, n[p])
             links.add(p, q)

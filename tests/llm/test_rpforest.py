@@ -56,6 +56,19 @@ def test_dense_group_is_counted_once(spark):
     assert {(x.n_links, x.component_id) for x in got} == {(299, 0)}
 
 
+def test_noisy_near_copies_beyond_a_leaf(spark):
+    """A label with more near copies than a leaf should hold, of which about half of the pairs are links."""
+    r = np.random.default_rng(0)
+    base = r.standard_normal(32)
+    near = base / np.linalg.norm(base) + r.standard_normal((700, 32)) * np.sqrt((1 / 0.98 - 1) / 32)
+    vectors = np.r_[near, r.standard_normal((1000, 32))]
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    got = {x.vec_id: x.n_links for x in rpforest.embedding_components(df).collect()}
+    assert want.sum() > 150_000 and [got[k] for k in range(len(vectors))] == want.tolist()
+
+
 def test_empty_and_unusable(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert rpforest.embedding_components(spark.createDataFrame([], schema)).count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch for operators that handle whole texts in Python: documents may be long.
@@ -57,10 +57,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(rows: DataFrame) -> DataFrame:
+def broadcast_if_small(rows: DataFrame, extra: Column | None = None) -> DataFrame:
     """Cut the lineage of `rows` of a few numbers, count them, and mark them for a broadcast if they are few.
 
-    The other side then needs no shuffle of its texts; beyond the bound the join stays a shuffle join.
+    `extra` counts the elements of an array that a row holds besides. The other side then needs no
+    shuffle of its texts; beyond the bound the join stays a shuffle join.
     """
     rows = cut_lineage(rows)
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    n = rows.count() if extra is None else rows.agg(F.sum(extra + 1)).first()[0] or 0
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows

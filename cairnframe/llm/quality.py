@@ -1,12 +1,12 @@
 """Quality rules with cross-document line frequency, in DataFrame operations only (operator 10).
 
 Base rules work inside a row. The method's verdict: lines are normalised and hashed, the distinct
-documents of a host (`source`) that hold a line are counted, lines above the limit are taken out,
-and documents of which too little is left are rejected. Documents count as distinct for a line if
-the least of their other lines (by hash) differs: copies and near copies of one text share it and
-count once, so that no text is rejected for having been copied, while a notice on otherwise
-different pages counts for each. Removing copies is another operator's work. Counts cover all
-documents; line rows carry hashes, never texts.
+documents of a host (`source`) that hold a line are counted, lines above the limit are taken out
+(`with_text` gives the text that is left), and documents of which too little is left are rejected.
+Documents count as distinct for a line if the least of their other lines (by hash) differs: copies
+and near copies of one text share it and count once, so that no text is rejected for having been
+copied, while a notice on otherwise different pages counts for each. Removing copies is another
+operator's work. Counts cover all documents; line rows carry hashes, never texts.
 """
 
 from __future__ import annotations
@@ -63,6 +63,16 @@ def base_features(docs: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select(*keep, F.explode_outer(F.array(features)).alias("f")).select(*keep, "f.*")
 
 
+def tidy_line(line: Column) -> Column:
+    """A line as it is compared: lower-cased, runs of white space as one space."""
+    return F.btrim(F.regexp_replace(F.lower(line), SPACE, " "))
+
+
+def line_key(tidy: Column) -> Column:
+    """60 bits of a normalised line's MD5."""
+    return F.conv(F.substring(F.md5(tidy), 1, 15), 16, 10).cast("long")
+
+
 def line_rows(docs: DataFrame) -> DataFrame:
     """(doc_id, content, source, line, words, other): a row for each line with a word.
 
@@ -71,8 +81,7 @@ def line_rows(docs: DataFrame) -> DataFrame:
     """
     tidy = F.filter(F.transform(F.split(F.lower("text"), "\n"), lambda x: F.btrim(F.regexp_replace(x, SPACE, " "))), lambda x: x != "")
     rows = docs.select("doc_id", "source", F.xxhash64("text").alias("content"), tidy.alias("tidy"))
-    key = lambda x: F.conv(F.substring(F.md5(x), 1, 15), 16, 10).cast("long")
-    rows = rows.select("doc_id", "source", "content", F.transform("tidy", lambda x: F.struct(key(x).alias("line"), F.size(F.split(x, " ")).cast("long").alias("words"))).alias("lines"))
+    rows = rows.select("doc_id", "source", "content", F.transform("tidy", lambda x: F.struct(line_key(x).alias("line"), F.size(F.split(x, " ")).cast("long").alias("words"))).alias("lines"))
     rows = rows.select("*", F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("keys"))
     first, second = F.get("keys", F.lit(0)), F.coalesce(F.get("keys", F.lit(1)), F.lit(0))
     # An outer explode: an inner one has the arrays computed once more for a filter on their size.
@@ -80,34 +89,52 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return lines.select("doc_id", "content", "source", F.col("x.line").alias("line"), F.col("x.words").alias("words"), F.when(F.col("x.line") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
 
 
-def depleted(docs: DataFrame, max_documents: int = MAX_LINE_DOCUMENTS, max_removed_percent: int = MAX_REMOVED_PERCENT) -> DataFrame:
-    """(doc_id, content) of documents that lose too many words with their host's frequent lines."""
+def removals(docs: DataFrame, max_documents: int = MAX_LINE_DOCUMENTS, with_keys: bool = False) -> DataFrame:
+    """(doc_id, content, source, all, removed) of documents: their words, and those in their host's frequent lines.
+
+    With `with_keys` also `keys`, the frequent lines that the document holds.
+    """
     lines = line_rows(docs)
     distinct = lines.groupBy("source", "line", "other").agg(F.lit(1).alias("one"))
     frequent = distinct.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_documents)
     frequent = frequent.select(F.col("source").alias("__s"), F.col("line").alias("__l"))
     marked = lines.join(frequent, F.col("source").eqNullSafe(F.col("__s")) & (F.col("line") == F.col("__l")), "left")
-    totals = marked.groupBy("doc_id", "content", "source").agg(F.sum("words").alias("all"), F.sum(F.when(F.col("__l").isNotNull(), F.col("words")).otherwise(0)).alias("removed"))
-    return totals.where(F.col("removed") * 100 > F.col("all") * max_removed_percent).select("doc_id", "content", "source")
+    keys = [F.collect_set("__l").alias("keys")] if with_keys else []
+    return marked.groupBy("doc_id", "content", "source").agg(F.sum("words").alias("all"), F.sum(F.when(F.col("__l").isNotNull(), F.col("words")).otherwise(0)).alias("removed"), *keys)
+
 
+def without_lines(text: Column, keys: Column) -> Column:
+    """`text` without the lines whose normalised form is among `keys`; the text itself where these are null."""
+    left = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(keys, line_key(tidy_line(x))))
+    return F.when(keys.isNotNull(), F.array_join(left, "\n")).otherwise(text)
 
-def quality_rules(docs: DataFrame, keep: list[str] | None = None, max_documents: int = MAX_LINE_DOCUMENTS, max_removed_percent: int = MAX_REMOVED_PERCENT) -> DataFrame:
+
+def quality_rules(docs: DataFrame, keep: list[str] | None = None, max_documents: int = MAX_LINE_DOCUMENTS, max_removed_percent: int = MAX_REMOVED_PERCENT, with_text: bool = False) -> DataFrame:
     """The columns in `keep` (doc_id unless given), the base features, base_failed, depleted and kept.
 
+    With `with_text` also kept_text, the text without its host's frequent lines.
+
     `docs` has doc_id, text and source. Null and empty texts have no words and fail the base rules.
     A null source is a host of its own. Repeated rows stay and count once; rows that share a doc_id
     and differ in text are judged by themselves. Texts are handled whole; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__content"), F.col("source").alias("__source"), *(F.col(f"`{c}`").alias(f"__keep_{k}") for k, c in enumerate(keep or ["doc_id"])), "text")
     kept = [f"__keep_{k}" for k in range(len(keep or ["doc_id"]))]
-    base = base_features(rows, ["__doc", "__content", "__source", *kept])
-    gone = broadcast_if_small(depleted(docs.select("doc_id", "text", "source"), max_documents, max_removed_percent).withColumn("__gone", F.lit(True)))
+    base = base_features(rows, ["__doc", "__content", "__source", *kept, *(["text"] if with_text else [])])
+    lost = removals(docs.select("doc_id", "text", "source"), max_documents, with_text)
+    gone = F.col("removed") * 100 > F.col("all") * max_removed_percent
+    if with_text:
+        lost = lost.where("removed > 0").select("doc_id", "content", "source", gone.alias("__gone"), "keys")
+        lost = broadcast_if_small(lost, F.size("keys"))
+    else:
+        lost = broadcast_if_small(lost.where(gone).select("doc_id", "content", "source", F.lit(True).alias("__gone")))
     same = F.col("__doc").eqNullSafe(F.col("doc_id")) & (F.col("__content") == F.col("content")) & F.col("__source").eqNullSafe(F.col("source"))
-    out = base.join(gone, same, "left").withColumn("depleted", F.coalesce("__gone", F.lit(False)))
+    out = base.join(lost, same, "left").withColumn("depleted", F.coalesce("__gone", F.lit(False)))
     return out.select(
         *(F.col(k).alias(c) for k, c in zip(kept, keep or ["doc_id"], strict=True)),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "depleted",
         (~F.col("base_failed") & ~F.col("depleted")).alias("kept"),
+        *([without_lines(F.col("text"), F.col("keys")).alias("kept_text")] if with_text else []),
     )
 
 

@@ -22,8 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or consist of their host's frequent lines go."""
-    return quality.quality_rules(docs, keep=COLUMNS).where("kept").select(*COLUMNS)
+    """Documents that fail the base rules or consist of their host's frequent lines go; the others lose these lines."""
+    judged = quality.quality_rules(docs, keep=["doc_id", "lang", "source"], with_text=True).where("kept")
+    return judged.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,16 @@ def test_stages_on_the_small_tables(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_frequent_lines_are_taken_out(spark):
+    own = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(60)]
+    rows = [(i, f"{t}\n\n Read \tOUR terms of use\r\n{t} end", "a") for i, t in enumerate(own)] + [(None, f"read our terms of use\n{own[0]} z", "a"), (100, f"{own[0]}\nread our terms of use", "b")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.apply_quality_rules(spark, docs, SF).collect()}
+    want = {i: f"{t}\n\n{t} end" for i, t in enumerate(own)} | {None: f"{own[0]} z", 100: rows[-1][1]}
+    assert {i: r.text for i, r in got.items()} == {i: t for i, t in want.items() if i in got} and 100 in got and None in got
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+
 def test_ties_and_rows_without_id(spark):
     rows = [(1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e"), (None, "a b c d e"), (None, "x y z"), (None, "x y z"), (None, "X y z"), (5, None), (6, "")]
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")

@@ -3,10 +3,12 @@
 Base rules work inside a row. The method's verdict: lines are normalised and hashed, the distinct
 documents of a host (`source`) that hold a line are counted, lines above the limit are taken out
 (`with_text` gives the text that is left), and documents of which too little is left are rejected.
-Documents count as distinct for a line if the least of their other lines (by hash) differs: copies
-and near copies of one text share it and count once, so that no text is rejected for having been
-copied, while a notice on otherwise different pages counts for each. Removing copies is another
-operator's work. Counts cover all documents; line rows carry hashes, never texts.
+Documents count as distinct for a line if the least of their other lines (by hash) differs: most
+copies and near copies of one text share it and count once, so that no text is rejected for having
+been copied. Different pages that share a second line with a low hash collapse as well, so this is
+less than a count of distinct documents and misses some frequent lines; the README has figures.
+Removing copies is another operator's work. Counts cover all documents; line rows carry hashes,
+never texts.
 """
 
 from __future__ import annotations

@@ -25,7 +25,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), passage=repeats.PASSAGE)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,18 +9,33 @@ import pytest
 from cairnframe.llm import repeats
 
 
-def brute(rows, length):
-    texts = [(t or "").encode() for _, t in rows]
+def covered(texts, length):
     seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
-    out = []
-    for (doc, _), t in zip(rows, texts, strict=True):
+    for t in texts:
         gone = bytearray(len(t))
         for i in range(len(t) - length + 1):
             if seen[t[i : i + length]] > 1:
                 gone[i : i + length] = b"\1" * length
-        rest = bytes(b for b, g in zip(t, gone, strict=True) if not g)
-        spans = sum(1 for i in range(len(t)) if gone[i] and not (i and gone[i - 1]))
-        out.append((doc, len(t), sum(gone), spans, hashlib.sha256(rest).hexdigest()))
+        yield gone
+
+
+def runs(gone):
+    at = [0, *gone, 0]
+    edges = [i for i in range(len(at) - 1) if at[i] != at[i + 1]]
+    return list(zip(edges[::2], edges[1::2], strict=True))
+
+
+def brute(rows, length, min_words=0, passage=None):
+    texts = [(t or "").encode() for _, t in rows]
+    out = []
+    short = covered(texts, passage) if passage else texts
+    for (doc, _), t, gone, marks in zip(rows, texts, covered(texts, length), short, strict=True):
+        spans = [(a, b) for a, b in runs(gone) if len(t[a:b].split()) >= min_words]
+        rest = t
+        for a, b in reversed(spans):
+            rest = rest[:a] + rest[b:]
+        passages = [sum(len(t[a:b].split()) > repeats.PASSAGE_WORDS for a, b in runs(marks))] if passage else []
+        out.append((doc, len(t), len(t) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), *passages))
     return sorted(out, key=str)
 
 
@@ -36,18 +51,38 @@ def corpus(seed=6):
     return rows
 
 
-@pytest.mark.parametrize(("max_classes", "shard_bytes"), [(6000, 2_000_000), (3, 500)])
-def test_against_all_windows(spark, max_classes, shard_bytes):
+@pytest.mark.parametrize(("hot_bytes", "shard_bytes", "passage"), [(2_000_000, 2_000_000, None), (200, 500, None), (900, 500, 24), (2_000_000, 500, 24)])
+def test_against_all_windows(spark, hot_bytes, shard_bytes, passage):
     rows = corpus()
     df = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, start long")
-    got = repeats.remove_repeats(df, length=40, k=8, max_classes=max_classes, shard_bytes=shard_bytes).collect()
-    assert sorted((tuple(x) for x in got), key=str) == brute(rows, 40)
+    got = repeats.remove_repeats(df, length=40, passage=passage, k=8, hot_bytes=hot_bytes, shard_bytes=shard_bytes).collect()
+    assert sorted((tuple(x) for x in got), key=str) == brute(rows, 40, passage=passage)
+
+
+@pytest.mark.parametrize("hot_bytes", [300, 2_000_000])
+def test_short_strings_of_long_ones(spark, hot_bytes):
+    """Ranges of both lengths, from one set of suffix arrays."""
+    rows = [(k, t) for k, (_, t) in enumerate(corpus(9))]
+    df = spark.createDataFrame([(k, -k, t) for k, t in rows], "r1 long, r2 long, text string")
+    got = {r.r1: r for r in repeats.repeated_ranges(df, 40, 24, k=8, hot_bytes=hot_bytes, shard_bytes=700).collect()}
+    texts = [(t or "").encode() for _, t in rows]
+    for name, length in (("covered", 40), ("short", 24)):
+        for k, gone in enumerate(covered(texts, length)):
+            mine = bytearray(len(gone))
+            spans = got[k][name] if k in got else []
+            for a, b in zip(spans[::2], spans[1::2], strict=True):
+                mine[a:b] = b"\1" * (b - a)
+            assert mine == gone
 
 
 def test_small_table_with_production_parameters(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    got = sorted((tuple(x) for x in repeats.remove_repeats(df).collect()), key=str)
-    assert got == brute([(r.doc_id, r.text) for r in df.collect()], 400)
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    got = sorted((tuple(x) for x in repeats.remove_repeats(df, passage=repeats.PASSAGE).collect()), key=str)
+    assert got == brute(rows, repeats.LENGTH, passage=repeats.PASSAGE)
+    assert any(x[2] for x in got) and any(x[5] for x in got)
+    got = sorted((tuple(x) for x in repeats.remove_repeats(df, length=240, min_words=51).collect()), key=str)
+    assert got == brute(rows, 240, min_words=51)
 
 
 def test_kept_text_and_empty_table(spark):

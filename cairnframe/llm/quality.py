@@ -3,12 +3,9 @@
 Base rules work inside a row. The method's verdict: lines are normalised and hashed, the distinct
 documents of a host (`source`) that hold a line are counted, lines above the limit are taken out
 (`with_text` gives the text that is left), and documents of which too little is left are rejected.
-Documents count as distinct for a line if the least of their other lines (by hash) differs: most
-copies and near copies of one text share it and count once, so that no text is rejected for having
-been copied. Different pages that share a second line with a low hash collapse as well, so this is
-less than a count of distinct documents and misses some frequent lines; the README has figures.
-Removing copies is another operator's work. Counts cover all documents; line rows carry hashes,
-never texts.
+A document is a doc_id, so copies under ids of their own count, and a text that one host holds more
+often than the limit allows is rejected there; removing copies is another operator's work. Counts
+cover all documents. Lines are parsed once, into a table of hashes that lies in the shared folder.
 """
 
 from __future__ import annotations
@@ -16,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small
+from .common import broadcast_if_small, staged
 
 SPACE = r"[\x20\x09-\x0D]+"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW_WORDS = 20, 30, 8
@@ -76,30 +73,33 @@ def line_key(tidy: Column) -> Column:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, source, line, words, other): a row for each line with a word.
-
-    `line` is 60 bits of the normalised line's MD5, `content` a hash of the text, and `other` the
-    least `line` of the document besides this one (0 if it has none).
-    """
-    tidy = F.filter(F.transform(F.split(F.lower("text"), "\n"), lambda x: F.btrim(F.regexp_replace(x, SPACE, " "))), lambda x: x != "")
+    """(doc_id, content, source, line, words): a row for each line with a word; `content` is a hash of the text, `line` one of the normalised line."""
+    tidy = F.filter(F.transform(F.split("text", "\n"), tidy_line), lambda x: x != "")
     rows = docs.select("doc_id", "source", F.xxhash64("text").alias("content"), tidy.alias("tidy"))
     rows = rows.select("doc_id", "source", "content", F.transform("tidy", lambda x: F.struct(line_key(x).alias("line"), F.size(F.split(x, " ")).cast("long").alias("words"))).alias("lines"))
-    rows = rows.select("*", F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("keys"))
-    first, second = F.get("keys", F.lit(0)), F.coalesce(F.get("keys", F.lit(1)), F.lit(0))
     # An outer explode: an inner one has the arrays computed once more for a filter on their size.
-    lines = rows.select("doc_id", "content", "source", first.alias("a"), second.alias("b"), F.explode_outer("lines").alias("x")).where("x is not null")
-    return lines.select("doc_id", "content", "source", F.col("x.line").alias("line"), F.col("x.words").alias("words"), F.when(F.col("x.line") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
+    lines = rows.select("doc_id", "content", "source", F.explode_outer("lines").alias("x")).where("x is not null")
+    return lines.select("doc_id", "content", "source", F.col("x.line").alias("line"), F.col("x.words").alias("words"))
+
+
+def frequent_lines(lines: DataFrame, max_documents: int = MAX_LINE_DOCUMENTS) -> DataFrame:
+    """(source, line) of lines that more than `max_documents` documents of a host hold; a null doc_id counts once for each text.
+
+    Each document counts in the first step, so a line that very many hold is counted in parts.
+    """
+    document = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("text"), "content")).otherwise(F.xxhash64("doc_id"))
+    once = lines.select("source", "line", document.alias("document")).distinct()
+    return once.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_documents).select("source", "line")
 
 
 def removals(docs: DataFrame, max_documents: int = MAX_LINE_DOCUMENTS, with_keys: bool = False) -> DataFrame:
     """(doc_id, content, source, all, removed) of documents: their words, and those in their host's frequent lines.
 
-    With `with_keys` also `keys`, the frequent lines that the document holds.
+    With `with_keys` also `keys`, the frequent lines that the document holds. Rows that are repeated
+    add to both sums alike.
     """
-    lines = line_rows(docs)
-    distinct = lines.groupBy("source", "line", "other").agg(F.lit(1).alias("one"))
-    frequent = distinct.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_documents)
-    frequent = frequent.select(F.col("source").alias("__s"), F.col("line").alias("__l"))
+    lines = staged(line_rows(docs), "lines")
+    frequent = broadcast_if_small(frequent_lines(lines, max_documents).select(F.col("source").alias("__s"), F.col("line").alias("__l")))
     marked = lines.join(frequent, F.col("source").eqNullSafe(F.col("__s")) & (F.col("line") == F.col("__l")), "left")
     keys = [F.collect_set("__l").alias("keys")] if with_keys else []
     return marked.groupBy("doc_id", "content", "source").agg(F.sum("words").alias("all"), F.sum(F.when(F.col("__l").isNotNull(), F.col("words")).otherwise(0)).alias("removed"), *keys)
@@ -118,7 +118,7 @@ def quality_rules(docs: DataFrame, keep: list[str] | None = None, max_documents:
 
     `docs` has doc_id, text and source. Null and empty texts have no words and fail the base rules.
     A null source is a host of its own. Repeated rows stay and count once; rows that share a doc_id
-    and differ in text are judged by themselves. Texts are handled whole; an empty table gives no rows.
+    and differ in text count once too and are judged by themselves. Texts are handled whole; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__content"), F.col("source").alias("__source"), *(F.col(f"`{c}`").alias(f"__keep_{k}") for k, c in enumerate(keep or ["doc_id"])), "text")
     kept = [f"__keep_{k}" for k in range(len(keep or ["doc_id"]))]
@@ -157,13 +157,9 @@ WITH base AS (
 ), repeats AS (
   SELECT doc_id, sum(least({WINDOW_WORDS}, coalesce(nxt - i, {WINDOW_WORDS})))::BIGINT AS r FROM twins GROUP BY 1
 ), lines AS (
-  SELECT doc_id, source, text, trim(regexp_replace(unnest(string_split(lower(text), chr(10))), '{SPACE}', ' ', 'g')) AS line FROM documents
-), keyed AS (
-  SELECT *, left(md5(line), 15) AS k FROM lines WHERE line <> ''
-), least AS (
-  SELECT doc_id, source, text, list_sort(list_distinct(list(k))) AS ks FROM keyed GROUP BY ALL
+  SELECT doc_id, source, trim(regexp_replace(unnest(string_split(lower(text), chr(10))), '{SPACE}', ' ', 'g')) AS line FROM documents
 ), counted AS (
-  SELECT source, line, count(DISTINCT CASE WHEN k = ks[1] THEN coalesce(ks[2], '') ELSE ks[1] END) AS n FROM keyed JOIN least USING (doc_id, source, text) GROUP BY ALL
+  SELECT source, line, count(DISTINCT doc_id) AS n FROM lines WHERE line <> '' GROUP BY ALL
 ), gone AS (
   SELECT doc_id FROM (SELECT doc_id, len(string_split(line, ' ')) AS words, n FROM lines JOIN counted USING (source, line))
   GROUP BY 1 HAVING 100 * sum(CASE WHEN n > {MAX_LINE_DOCUMENTS} THEN words ELSE 0 END) > {MAX_REMOVED_PERCENT} * sum(words)

@@ -1,6 +1,5 @@
 """Quality rules, chat formatting and license scans against plain Python, and their plans."""
 
-import hashlib
 import math
 import random
 import re
@@ -22,10 +21,9 @@ def plain_quality(rows, limit, percent):
     """rows (doc_id, text, source) -> features as the operator's columns."""
     held = defaultdict(set)
     norm = lambda line: " ".join(word_list(line.lower()))
-    for _, text, source in rows:
-        keys = {norm(x): hashlib.md5(norm(x).encode()).hexdigest()[:15] for x in (text or "").split("\n") if norm(x)}
-        for line, key in keys.items():
-            held[source, line].add(min((k for k in keys.values() if k != key), default=""))
+    for doc, text, source in rows:
+        for x in (text or "").split("\n"):
+            held[source, norm(x)].add(("text", text) if doc is None else doc)
     out = []
     for doc, text, source in rows:
         w = word_list(text)
@@ -57,14 +55,22 @@ def test_quality_against_plain_python(spark):
     assert quality.quality_rules(df.where("doc_id = -1")).count() == 0
 
 
-def test_copies_of_a_text_are_no_boilerplate(spark):
+def test_notices_that_many_documents_of_a_host_share(spark):
+    """Thirty hosts with three notices of their own in every page, a host of one line, and pages at the limit."""
     r = random.Random(9)
     line = lambda n: " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(n))
-    text, notice = [line(12) for _ in range(9)], line(30)
-    near = [[line(12) if k == i % 9 else t for k, t in enumerate(text)] for i in range(200)]
-    rows = [(i, "\n".join(t), "s") for i, t in enumerate([text] * 100 + near)] + [(1000 + i, f"{line(8)}\n{notice}", "s") for i in range(80)]
-    got = {x.doc_id: x.kept for x in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert all(got[i] for i in range(300)) and not any(got[1000 + i] for i in range(80))
+    rows = []
+    for host in range(30):
+        notices = [line(30) for _ in range(3)]
+        rows += [(1000 * host + i, "\n".join([line(8), *notices, line(8)]), f"h{host}") for i in range(200)]
+    one, few = line(25), line(25)
+    rows += [(50_000 + i, one, "same") for i in range(200)] + [(60_000 + i, few, "few") for i in range(quality.MAX_LINE_DOCUMENTS)]
+    rows += [(70_000 + i, f"{line(60)}\n{one}", "same") for i in range(20)] + [(60_000, few, "few")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {x.doc_id: x for x in quality.quality_rules(docs, keep=["doc_id", "source"], with_text=True).collect()}
+    assert len(got) == len(set(x[0] for x in rows))
+    assert [i for i, x in got.items() if x.kept] == [i for i in got if i >= 60_000]
+    assert all(one not in x.kept_text and x.kept_text for i, x in got.items() if i >= 70_000)
 
 
 def plain_pairs(turns):

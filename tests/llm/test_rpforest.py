@@ -69,6 +69,42 @@ def test_noisy_near_copies_beyond_a_leaf(spark):
     assert want.sum() > 150_000 and [got[k] for k in range(len(vectors))] == want.tolist()
 
 
+def test_chunks_of_a_dense_label(spark):
+    """A label that no split makes smaller, cut into chunks that are compared by pairs."""
+    r = np.random.default_rng(7)
+    base = r.standard_normal(32)
+    near = base / np.linalg.norm(base) + r.standard_normal((400, 32)) * np.sqrt((1 / 0.98 - 1) / 32)
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(near)], "vec_id long, embedding array<double>, label int")
+    unit = near / np.linalg.norm(near, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    got = {x.vec_id: x for x in rpforest.embedding_components(df, leaf_rows=64, chunk_rows=60).collect()}
+    assert want.sum() > 40_000 and [got[k].n_links for k in range(400)] == want.tolist()
+
+
+@pytest.mark.parametrize(("share", "least"), [(0.3, 4), (1.5, 7), (16, 11), (3000, 20)])
+def test_recall_at_depth(share, least):
+    """Planted pairs of cosine 0.98 to 0.985: how many share a leaf, at depths as for `share` times as many vectors."""
+    r = np.random.default_rng(5)
+    dim, n = 64, 20_000
+    wide = r.standard_normal((n, dim))
+    wide /= np.linalg.norm(wide, axis=1, keepdims=True)
+    side = r.standard_normal((1000, dim))
+    side -= (side * wide[:1000]).sum(axis=1, keepdims=True) * wide[:1000]
+    cosine = r.uniform(0.98, 0.985, (1000, 1))
+    twins = cosine * wide[:1000] + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    forest = rpforest.Forest(wide, np.zeros(n, int), share)
+    rows, leaves = forest.leaves(np.r_[wide[:1000], twins])
+    own = [set() for _ in range(2000)]
+    for row, leaf in zip(rows.tolist(), leaves.tolist(), strict=True):
+        own[row].add(leaf)
+    recall = np.mean([not own[k].isdisjoint(own[1000 + k]) for k in range(1000)])
+    print(f"{forest.levels} levels: recall {recall:.4f}, {len(rows) / 2000:.1f} leaves a vector")
+    assert forest.levels >= least and recall > 0.99
+    if share < 50:
+        rows, leaves = forest.leaves(wide)
+        assert np.bincount(np.unique(leaves, return_inverse=True)[1]).mean() * share < rpforest.LEAF_ROWS
+
+
 def test_empty_and_unusable(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert rpforest.embedding_components(spark.createDataFrame([], schema)).count() == 0

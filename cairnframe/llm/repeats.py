@@ -40,7 +40,7 @@ PASSAGE, PASSAGE_WORDS = 240, 50
 #: Bytes that are hashed for minimizers.
 K = 48
 #: Bytes of segments in a shard, and bytes of one minimizer beyond which it is split.
-SHARD_BYTES, HOT_BYTES = 1_000_000, 2_000_000
+SHARD_BYTES, HOT_BYTES = 1_000_000, 1_000_000
 #: Minimizers whose first places are in the same so many bytes of a row go to one shard.
 BLOCK = 4096
 #: Places of a hot minimizer in its windows that stay together when it is split.

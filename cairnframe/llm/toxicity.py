@@ -1,9 +1,10 @@
 """Toxicity by a counterfactual-regularised classifier (operator 3).
 
 A logistic regression over the words that a text holds. Learning takes a bounded sample of labelled
-rows; their word sets are made on the executors and come to the driver as hashes. For each sample
-text that names an identity group, counterfactuals are made in which its identity terms are swapped
-for others of the same kind; besides the log loss, the squared change of the logit over each swap is
+rows; their features are made on the executors and come to the driver as hashes. For each sample
+text that names an identity group, counterfactuals are made: the text again and again, each time
+with all identity terms in its sentences swapped for others of the same kind, until each term has
+stood for each other. Besides the log loss, the squared change of the logit over each swap is
 penalised. So a term cannot gain weight only because toxic texts mention its group more often.
 Scores are computed from whole texts in one pass over the documents, with no shuffle.
 """
@@ -49,22 +50,30 @@ IDENTITY_TERMS: list[str] = [
     "mujeres hombres niñas niños",
     "musulmanes cristianos judíos",
 ]
-SWAPS: dict[str, list[str]] = {t: [o for o in line.split() if o != t] for line in IDENTITY_TERMS for t in line.split()}
-#: Counterfactuals of a text at most: every identity term is shifted by one place in its line, then by two.
-SHIFTS = 2
+#: For each term the others of its line, from the next one on.
+SWAPS: dict[str, list[str]] = {t: line.split()[k + 1 :] + line.split()[:k] for line in IDENTITY_TERMS for k, t in enumerate(line.split())}
+
+
+def tokens_of(text: str | None) -> list[str]:
+    """The words of a text in order, as often as they occur."""
+    return WORD.findall((text or "").lower())
 
 
 def words_of(text: str | None) -> set[str]:
-    return set(WORD.findall((text or "").lower()))
+    return set(tokens_of(text))
 
 
 def code(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
-def swapped(words: set[str], shift: int) -> set[str]:
-    """The words with each identity term replaced by another of its kind."""
-    return {SWAPS[w][shift % len(SWAPS[w])] if w in SWAPS else w for w in words}
+def counterfactuals(tokens: list[str]) -> list[list[str]]:
+    """The word sequence with each identity term replaced by the next of its kind, by the one after, and so on.
+
+    There are as many as the largest kind in the text has other terms; a smaller kind starts again.
+    """
+    terms = [SWAPS[w] for w in tokens if w in SWAPS]
+    return [[SWAPS[w][k % len(SWAPS[w])] if w in SWAPS else w for w in tokens] for k in range(max(map(len, terms), default=0))]
 
 
 def codes(words: set[str]) -> bytes:
@@ -137,20 +146,25 @@ def fit(texts: list[tuple[bytes, int, list[bytes]]], pair_weight: float = PAIR_W
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[dict[int, float], float]:
-    """Fit on labelled rows that are not held out; a doc_id with several labels takes their majority, ties 1."""
+    """Fit on labelled rows that are not held out; a doc_id with several labels takes their majority, ties 1.
+
+    Of rows that share a doc_id one text counts, the least by its hashes.
+    """
     label = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
     label = label.groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("__toxic"))
     label = label.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     # At most `sample_rows` rows of two numbers, so the documents need no shuffle.
-    sample = docs.select("doc_id", "text").join(F.broadcast(label), "doc_id").select(F.col("text").cast("string"), "__toxic")
+    sample = docs.select("doc_id", "text").join(F.broadcast(label), "doc_id").select("doc_id", F.col("text").cast("string"), "__toxic")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [words_of(t) for t in batch.column("text").to_pylist()]
-            others = [[codes(swapped(w, k)) for k in range(SHIFTS)] if not w.isdisjoint(SWAPS) else [] for w in words]
-            yield pa.RecordBatch.from_arrays([pa.array([codes(w) for w in words], pa.binary()), batch.column("__toxic"), pa.array(others, pa.list_(pa.binary()))], names=["words", "toxic", "others"])
+            tokens = [tokens_of(t) for t in batch.column("text").to_pylist()]
+            others = [[codes(set(c)) for c in counterfactuals(w)] for w in tokens]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([codes(set(w)) for w in tokens], pa.binary()), batch.column("__toxic"), pa.array(others, pa.list_(pa.binary()))], names=["doc_id", "words", "toxic", "others"])
 
-    rows = sample.mapInArrow(features, "words binary, toxic int, others array<binary>").collect()
+    rows = sample.mapInArrow(features, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, words binary, toxic int, others array<binary>")
+    # Rows that share a doc_id count as one, so no more than the sample's bound comes to the driver.
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("words", "toxic", "others")).alias("r")).select("r.*").collect()
     # Copies of a text teach nothing new; sorting makes the result independent of the order of tasks.
     distinct = {(bytes(r.words), r.toxic): [bytes(o) for o in r.others] for r in rows}
     return fit([(x, y, distinct[x, y]) for x, y in sorted(distinct)])

@@ -71,26 +71,33 @@ def schemas_of(a: argparse.Namespace) -> dict[str, dict] | None:
     return {k: json.loads(p.read_text(encoding="utf-8")) for k in ("object", "cave", "relation") if (p := Path(a.schemas) / f"{k}.schema.json").exists()}
 
 
+def files_of(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Paths of the files that attachments may name, below --root or else the folder that holds the data folder."""
+    root = Path(a.root or Path(a.data).resolve().parent)
+    found = []
+    for folder, below, names in root.walk():
+        below[:] = [d for d in below if d != ".git"]
+        found += [(str((folder / n).relative_to(root)),) for n in names]
+    return spark.createDataFrame(found, "file string")
+
+
 def run(spark: SparkSession, a: argparse.Namespace) -> int:
     catalog = load_catalog(spark, a.data)
     resolver = resolver_of(spark, a)
     if a.command == "validate":
-        files = None
-        if a.root:
-            files = spark.createDataFrame([(str(p.relative_to(a.root)),) for p in Path(a.root).rglob("*") if p.is_file()], "file string")
-        issues = validate(catalog, resolver, schemas_of(a), files).persist()
+        issues = validate(catalog, resolver, schemas_of(a), files_of(spark, a)).persist()
         for row in formatted(issues).toLocalIterator():
             print(row.line)
         return int(has_errors(issues))
     if a.command in ("build-db", "export"):
-        issues = require_valid(validate(catalog.check(), resolver, schemas_of(a)).persist())
+        issues = require_valid(validate(catalog.check(), resolver, schemas_of(a), files_of(spark, a)).persist())
         if a.command == "build-db":
             print(release.build_snapshot(spark, catalog, issues, a.output, a.generated_at, a.parquet))
         else:
             print(*release.export_best_measurements(catalog, issues, a.output, a.generated_at), sep="\n")
         return 0
     if a.command == "release":
-        print(*release.build_release(spark, catalog, a.output, a.generated_at, resolver, schemas_of(a)).paths, sep="\n")
+        print(*release.build_release(spark, catalog, a.output, a.generated_at, resolver, schemas_of(a), files_of(spark, a)).paths, sep="\n")
         return 0
     if a.command == "profile":
         print(*profiling.profile_sources(spark, {n: v for n, v in (("PIG", a.pig), ("TPN", a.tpn)) if v}, a.output, a.generated_at), sep="\n")

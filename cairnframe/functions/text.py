@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -30,26 +31,32 @@ def parse_decimal(value: Column) -> Column:
     return F.when(word == "nan", F.lit(float("nan"))).when(word.isin("inf", "infinity"), sign * F.lit(float("inf"))).otherwise(plain)
 
 
-def _latin_marks() -> tuple[str, str]:
-    """Lower-case letters below U+2000 whose decomposition is one ASCII letter or digit and marks, and these."""
-    source, target = [], []
-    for code in range(0xA0, 0x2000):
-        folded = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
-        if len(folded) == 1 and folded.isascii() and folded.isalnum() and folded != chr(code):
-            source.append(chr(code))
-            target.append(folded.lower())
-    return "".join(source), "".join(target)
+def _foldings() -> tuple[dict[str, str], dict[str, str]]:
+    """What lower-case characters decompose to beside marks and other characters that a name drops: one letter or digit, and several."""
+    single, several = {}, {}
+    for code in (*range(0xA0, 0xD800), *range(0xF900, 0x30000)):
+        parts = unicodedata.normalize("NFKD", chr(code))
+        folded = re.sub("[^a-z0-9]+", " ", "".join(c for c in parts if not unicodedata.combining(c)))
+        if parts != chr(code) and folded.strip():
+            (single if len(folded) == 1 else several)[chr(code)] = folded
+    return single, several
 
 
-_MARKED, _PLAIN = _latin_marks()
+_SINGLE, _SEVERAL = _foldings()
 _MARKS = "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x300, 0x36F), (0x483, 0x487), (0x1AB0, 0x1ACE), (0x1DC0, 0x1DFF), (0x20D0, 0x20DC))) + "]"
+_RARE = "[" + "".join(sorted(_SEVERAL)) + "]"
 
 
 def normalize_name(value: Column) -> Column:
-    """Lower case, no accents, runs of all but a-z and 0-9 as one space, trimmed. Letters without a decomposition, such as l with stroke, are dropped."""
+    """Lower case, compatibility decomposition without marks, runs of all but a-z and 0-9 as one space, trimmed.
+
+    Letters without a decomposition, such as l with stroke, are dropped.
+    """
     lower = F.lower(F.coalesce(value, F.lit("")))
-    # Most texts are ASCII; only the others need the table.
-    folded = F.when(lower.rlike(r"[^\x00-\x7f]"), F.regexp_replace(F.translate(lower, _MARKED, _PLAIN), _MARKS, "")).otherwise(lower)
+    # Most texts are ASCII; only the others need the table, and only ligatures and the like one of several letters.
+    several = F.create_map(*(F.lit(x) for kv in sorted(_SEVERAL.items()) for x in kv))
+    plain = F.when(lower.rlike(_RARE), F.array_join(F.transform(F.split(lower, ""), lambda c: F.coalesce(F.when(c.rlike(_RARE), several[c]), c)), "")).otherwise(lower)
+    folded = F.when(lower.rlike(r"[^\x00-\x7f]"), F.regexp_replace(F.translate(plain, "".join(_SINGLE), "".join(_SINGLE.values())), _MARKS, "")).otherwise(lower)
     return F.trim(F.regexp_replace(folded, "[^a-z0-9]+", " "))
 
 

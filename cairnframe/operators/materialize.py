@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """An eager checkpoint in `spark.checkpoint.dir`; a temporary folder only where none is named, as in tests."""
+    """An eager checkpoint in `spark.checkpoint.dir`; a temporary folder only where none is named and one machine does all the work."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="cairn-checkpoint-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cairn-checkpoint-"))
     return df.checkpoint(eager=True)

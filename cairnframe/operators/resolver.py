@@ -1,7 +1,7 @@
 """Which region a point lies in: first match by polygon order, then country polygons, else an error.
 
-Polygons are few and stay on every executor (their number is checked); the bounding box is tested
-before the rings. A resolver is any function from points to points with the resolution columns, so
+Polygons are few and stay on every executor (their number and their points are checked); the bounding
+box is tested before the rings. A resolver is any function from points to points with the resolution columns, so
 callers can pass another one.
 """
 
@@ -19,7 +19,8 @@ Resolver = Callable[[DataFrame], DataFrame]
 POLYGON_SCHEMA = "tier int, ordinal int, name string, prefix string, xmin double, ymin double, xmax double, ymax double, rings array<array<struct<x:double,y:double>>>"
 #: Tiers of polygons, in the order in which they are tried.
 VALLEY, POLAND, SLOVAKIA = 0, 1, 2
-MAX_POLYGONS = 10_000
+#: Polygons, and points of their rings, that a broadcast may hold (some 16 MB).
+MAX_POLYGONS, MAX_POINTS = 10_000, 1_000_000
 
 
 def bounds_hold(x: Column, y: Column) -> Column:
@@ -28,8 +29,10 @@ def bounds_hold(x: Column, y: Column) -> Column:
 
 def first_polygon(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str) -> DataFrame:
     """(key, tier, ordinal, name, prefix) of the first polygon in order that holds each point; points in none have no row."""
-    if polygons.limit(MAX_POLYGONS + 1).count() > MAX_POLYGONS:
-        raise ValueError(f"more than {MAX_POLYGONS} polygons: index them by grid cells first")
+    sizes = F.aggregate(F.transform("rings", F.size), F.lit(0), lambda s, v: s + v)
+    size = polygons.agg(F.count("*").alias("n"), F.coalesce(F.sum(sizes), F.lit(0)).alias("points")).first()
+    if size.n > MAX_POLYGONS or size.points > MAX_POINTS:
+        raise ValueError(f"more than {MAX_POLYGONS} polygons or {MAX_POINTS} points: index them by grid cells first")
     hit = points.select(key, F.col(x).alias("__x"), F.col(y).alias("__y")).join(
         F.broadcast(polygons), bounds_hold(F.col("__x"), F.col("__y")) & rings_contain(F.col("rings"), F.col("__x"), F.col("__y"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ids import path_matches
@@ -13,10 +14,13 @@ from ..functions.text import is_http_url, is_url_like
 from ..sources.catalog import Catalog
 from .best import best_measurement_id, declared_measurement, only_rejected
 from .json_schema import schema_issues
+from .materialize import cut_lineage
 from .resolver import Resolver
 
 ERROR, WARNING = "error", "warning"
 MAX_DISTANCE_M = 100.0
+#: Paths that the text of an issue names.
+SHOWN_PATHS = 20
 ISSUE = ["family", "code", "severity", "path", "description"]
 
 
@@ -42,6 +46,16 @@ def measurement_rows(objects: DataFrame) -> DataFrame:
     return objects.select("path", F.col("id").alias("object_id"), F.posexplode("measurements").alias("pos", "m"))
 
 
+def shared_paths(rows: DataFrame, key: str) -> DataFrame:
+    """(key, paths) of keys in several rows: how many, and the first `SHOWN_PATHS` paths, so that no cell grows with a key's rows."""
+    n = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    turn = F.row_number().over(W.partitionBy(key).orderBy("path"))
+    first = rows.join(n.select(key), key, "left_semi").withColumn("turn", turn).where(F.col("turn") <= SHOWN_PATHS)
+    first = first.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("path")), ", ").alias("paths"))
+    more = F.when(F.col("n") > SHOWN_PATHS, F.concat(F.lit(" and "), (F.col("n") - SHOWN_PATHS).cast("string"), F.lit(" more"))).otherwise("")
+    return n.join(first, key).select(key, F.concat("paths", more).alias("paths"))
+
+
 def record_issues(catalog: Catalog, schemas: dict[str, dict] | None) -> list[DataFrame]:
     """Reading, schema version, schema, and file name."""
     out = [issue(catalog.issues_of_reading(), 0, "YAML_INVALID", ERROR, F.col("parse_error"))]
@@ -59,8 +73,7 @@ def reference_issues(catalog: Catalog) -> list[DataFrame]:
     """Duplicate object ids and references that lead nowhere: aggregations and anti-joins on ids."""
     objects, caves, relations = (d.where("parse_error is null") for d in (catalog.objects, catalog.caves, catalog.relations))
     paths = objects.where("id is not null").select("id", "path")
-    shared = paths.groupBy("id").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("path")).alias("paths")).where("n > 1")
-    out = [issue(paths.join(shared, "id"), 3, "DUPLICATE_OBJECT_ID", ERROR, F.concat(F.col("id"), F.lit(" is in "), F.array_join("paths", ", ")))]
+    out = [issue(paths.join(shared_paths(paths, "id"), "id"), 3, "DUPLICATE_OBJECT_ID", ERROR, F.concat(F.col("id"), F.lit(" is in "), "paths"))]
     object_ids = objects.select(F.col("id").alias("ref")).where("ref is not null").distinct()
     cave_ids = caves.select(F.col("id").alias("ref")).where("ref is not null").distinct()
     lost = objects.where(~falsy(F.col("cave_id"))).select("path", F.col("cave_id").alias("ref")).join(cave_ids, "ref", "left_anti")
@@ -76,8 +89,7 @@ def reference_issues(catalog: Catalog) -> list[DataFrame]:
     ends = relations.select("path", F.explode(F.array("from_object_id", "to_object_id")).alias("ref")).where("ref is not null").join(object_ids, "ref", "left_anti")
     out.append(issue(ends, 4, "RELATION_OBJECT_REFERENCE_MISSING", ERROR, F.concat(F.lit("no object "), F.col("ref"))))
     tpn = objects.select("path", "id", F.explode("external_refs").alias("r")).where("r.system = 'TPN' and r.ref_type = 'source_globalid' and r.external_id is not null").select("path", F.col("r.external_id").alias("g"))
-    often = tpn.groupBy("g").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("path")).alias("paths")).where("n > 1")
-    out.append(issue(tpn.join(often, "g"), 9, "DUPLICATE_TPN_GLOBALID", ERROR, F.concat(F.col("g"), F.lit(" is in "), F.array_join("paths", ", "))))
+    out.append(issue(tpn.join(shared_paths(tpn, "g"), "g"), 9, "DUPLICATE_TPN_GLOBALID", ERROR, F.concat(F.col("g"), F.lit(" is in "), "paths")))
     return out
 
 
@@ -104,11 +116,17 @@ def measurement_issues(catalog: Catalog, resolver: Resolver | None) -> list[Data
     error = consistency_error(F.col("m.lat"), F.col("m.lon"), F.col("m.x_1992"), F.col("m.y_1992"))
     out.append(issue(rows.withColumn("e", error), 7, "COORDINATE_MISMATCH", ERROR, F.concat(F.col("m.id"), F.format_string(": %.2f m", "e")), F.col("e") > MAX_ERROR_M))
     # Pairs within a record: the array stays in its row.
-    north, east = to_plane(F.col("m.lat"), F.col("m.lon"))
-    points = rows.select("path", "object_id", "pos", F.col("m.id").alias("mid"), north.alias("n"), east.alias("e")).where("n is not null and e is not null")
-    other = points.select("path", F.col("pos").alias("pos2"), F.col("mid").alias("mid2"), F.col("n").alias("n2"), F.col("e").alias("e2"))
-    pairs = points.join(other, "path").where("pos < pos2").withColumn("d", F.hypot(F.col("n") - F.col("n2"), F.col("e") - F.col("e2")))
-    out.append(issue(pairs, 7, "MEASUREMENT_DISTANCE_OUTLIER", WARNING, F.concat_ws(" ", "mid", "mid2", F.format_string("%.2f m", "d")), F.col("d") > MAX_DISTANCE_M))
+    def point(m: Column) -> Column:
+        north, east = to_plane(m["lat"], m["lon"])
+        return F.struct(m["id"].alias("id"), north.alias("n"), east.alias("e"))
+
+    def far(a: Column, i: Column) -> Column:
+        others = F.transform(F.slice("points", i + 2, F.size("points")), lambda b: F.struct(a["id"].alias("a"), b["id"].alias("b"), F.hypot(a["n"] - b["n"], a["e"] - b["e"]).alias("d")))
+        return F.filter(others, lambda p: p["d"] > MAX_DISTANCE_M)
+
+    points = objects.select("path", F.filter(F.transform("measurements", point), lambda p: p["n"].isNotNull() & p["e"].isNotNull()).alias("points"))
+    pairs = points.select("path", F.explode(F.flatten(F.transform("points", far))).alias("p"))
+    out.append(issue(pairs, 7, "MEASUREMENT_DISTANCE_OUTLIER", WARNING, F.concat_ws(" ", "p.a", "p.b", F.format_string("%.2f m", "p.d"))))
     if resolver is not None:
         asked = rows.select(F.concat_ws("#", "path", F.col("pos").cast("string")).alias("point_id"), "path", F.col("m.id").alias("mid"), F.col("m.lat").alias("lat"), F.col("m.lon").alias("lon")).where("lat is not null and lon is not null")
         placed = resolver(asked)
@@ -128,8 +146,10 @@ def validate(catalog: Catalog, resolver: Resolver | None = None, schemas: dict[s
     """All issues (family, code, severity, path, description); families are in the order of reporting.
 
     Without a resolver the rules that need polygons are left out, without `files` (a column `file`)
-    the rule for local attachments. If any record can't be read, only that is reported.
+    the rule for local attachments. If any record can't be read, only that is reported. Records are
+    read once, into a checkpoint that all rules share.
     """
+    catalog = Catalog(*map(cut_lineage, (catalog.objects, catalog.caves, catalog.relations)))
     if catalog.issues_of_reading().limit(1).count():
         return record_issues(catalog, None)[0]
     return reduce(DataFrame.unionByName, [*record_issues(catalog, schemas), *reference_issues(catalog), *object_issues(catalog, files), *measurement_issues(catalog, resolver)])

@@ -9,14 +9,13 @@ from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_part, source_date, source_year_end
 from ..functions.ids import id_number, numbered_id
 from ..functions.projection import MAX_ERROR_M, consistency_error, to_degrees
 from ..functions.text import clean, normalize_name, parse_decimal
-from ..operators.allocation import allocate_by_prefix, max_existing_number
+from ..operators.allocation import allocate_by_prefix, max_existing_number, running_number
 from ..operators.candidates import COLUMNS, final_candidates
 from ..operators.matching import RADIUS_M, match_cascade
 from ..operators.materialize import cut_lineage
@@ -106,9 +105,10 @@ def seeds_of(paths: DataFrame, more: DataFrame | None = None) -> DataFrame:
     return out
 
 
-def number_rows(rows: DataFrame) -> DataFrame:
-    """`position_in` from 1 in the order of record numbers; a source file is one table on one reader, so its rows are few."""
-    return rows.withColumn("position_in", F.row_number().over(W.orderBy("record_number")))
+def cave_numbers(rows: DataFrame, seeds: DataFrame) -> DataFrame:
+    """`cave_id` in the order of record numbers, from the largest number of the prefix C on; one number comes to the driver."""
+    seed = seeds.where("prefix = 'C'").agg(F.max("seed")).first()[0] or 0
+    return running_number(rows, "record_number", "__n", seed).withColumn("cave_id", numbered_id(F.lit("C"), F.col("__n").cast("long"))).drop("__n")
 
 
 def proposal(author: str, generated_at: str, **fields: Column) -> Column:
@@ -151,8 +151,7 @@ def build_pig_staging(table: DataFrame, catalog: Catalog, resolver: Resolver, ge
     rows = rows.withColumn("year_day", source_year_end(F.col("year"))).withColumn("day", F.coalesce("year_day", today))
     rows = rows.withColumn("complete", F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
     rows = rows.withColumn("error_m", F.when(F.col("complete"), consistency_error(F.col("lat"), F.col("lon"), F.col("x"), F.col("y"))))
-    cave_seed = seeds_of(catalog.caves.select("path")).where("prefix = 'C'").agg(F.coalesce(F.max("seed"), F.lit(0)).alias("cave_seed"))
-    rows = number_rows(rows).crossJoin(F.broadcast(cave_seed)).withColumn("cave_id", numbered_id(F.lit("C"), (F.col("cave_seed") + F.col("position_in")).cast("long")))
+    rows = cave_numbers(rows, seeds_of(catalog.caves.select("path")))
     consistent = F.coalesce(F.col("error_m") <= MAX_ERROR_M, F.lit(False))
     placed = cut_lineage(resolved(rows, resolver).withColumn("accepted", consistent & F.coalesce((F.col("zone") != "error") & F.col("prefix").isNotNull(), F.lit(False))))
     numbered = allocate_by_prefix(placed.where("accepted"), "prefix", ["record_number"], seeds_of(catalog.objects.select("path")), "object_id")
@@ -208,8 +207,7 @@ def build_tpn_staging(table: DataFrame, catalog: Catalog, resolver: Resolver, ge
     known = candidates.select(F.col("object_id").alias("id"))
     numbered = allocate_by_prefix(new.where("accepted"), "prefix", ["record_number"], seeds_of(catalog.objects.select("path"), known), "object_id")
     cave_ids = candidates.where("cave_id is not null").select(F.col("cave_id").alias("id"))
-    cave_seed = seeds_of(catalog.caves.select("path"), cave_ids).where("prefix = 'C'").agg(F.coalesce(F.max("seed"), F.lit(0)).alias("cave_seed"))
-    numbered = cut_lineage(number_rows(numbered).crossJoin(F.broadcast(cave_seed)).withColumn("cave_id", numbered_id(F.lit("C"), (F.col("cave_seed") + F.col("position_in")).cast("long"))))
+    numbered = cut_lineage(cave_numbers(numbered, seeds_of(catalog.caves.select("path"), cave_ids)))
     nr_refs = present((~blank(F.col("nr_inwent")), ref("NR_INWENT", "inventory_number", F.col("nr_inwent"), "cave", NR_NOTE)))
     own_ref = F.array(ref("TPN", "source_globalid", F.col("globalid"), "object", TPN_NOTE))
     cave_notes = labelled([("TPN length", F.col("length")), ("TPN depth", F.col("depth")), ("TPN denivelation", F.col("denivelation")), ("TPN verification/location note", F.col("place_note")), ("TPN notes", F.col("remarks"))], "\n", ": ")

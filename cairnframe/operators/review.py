@@ -100,7 +100,12 @@ def decision_rows(spark: SparkSession, decisions: list) -> DataFrame:
     """decision_index from 1, is_mapping, and the trimmed fields; one row for each entry of the log."""
     names = [f.split(" ")[0] for f in DECISION.split(", ")]
     rows = [(k, isinstance(d, dict), *(None if not isinstance(d, dict) or d.get(n) is None else str(d[n]) for n in names)) for k, d in enumerate(decisions, 1)]
-    df = spark.createDataFrame(rows, f"decision_index long, is_mapping boolean, {DECISION}")
+    return trimmed(spark.createDataFrame(rows, f"decision_index long, is_mapping boolean, {DECISION}"))
+
+
+def trimmed(df: DataFrame) -> DataFrame:
+    """A log as a DataFrame (decision_index, is_mapping and the fields of DECISION as texts), blanks as null."""
+    names = [f.split(" ")[0] for f in DECISION.split(", ")]
     shown = [F.nullif(clean(F.col(n)), F.lit("")).alias(n) for n in names if n != "record_number"]
     return df.select("decision_index", "is_mapping", positive_int(F.col("record_number")).alias("record_number"), *shown).withColumn("source", F.upper("source"))
 
@@ -148,9 +153,12 @@ def problem(rows: DataFrame, code: str, where: Column, text: Column | str, sever
     return rows.where(where).select("decision_index", F.lit(code).alias("code"), F.lit(severity).alias("severity"), text.alias("description"))
 
 
-def apply_review(spark: SparkSession, catalog: Catalog, decisions: list, reports: dict[str, dict[str, DataFrame]], reviewed_at: str, reviewed_by: str) -> Review:
-    """`reports` maps PIG and TPN to the DataFrames of their staging files (see plans.staging.read_report)."""
-    log = cut_lineage(decision_rows(spark, decisions))
+def apply_review(spark: SparkSession, catalog: Catalog, decisions: list | DataFrame, reports: dict[str, dict[str, DataFrame]], reviewed_at: str, reviewed_by: str) -> Review:
+    """`reports` maps PIG and TPN to the DataFrames of their staging files (see plans.staging.read_report).
+
+    `decisions` is the list of a decision file, or a log of any length as `trimmed` describes it.
+    """
+    log = cut_lineage(trimmed(decisions) if isinstance(decisions, DataFrame) else decision_rows(spark, decisions))
     rows, caves, objects, updates = indexes(reports)
     known = F.coalesce(F.col("action").isin(ACTIONS), F.lit(False))
     issues = [problem(log, "DECISION_INVALID", ~F.col("is_mapping"), "a decision must be a mapping"), problem(log, "DECISION_ACTION_INVALID", F.col("is_mapping") & ~known, F.concat(F.lit("unsupported action "), F.coalesce("action", F.lit("(none)"))))]

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """An eager checkpoint in `spark.checkpoint.dir`; a temporary folder only where none is named and one machine does all the work."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`; a temporary one only where none is named and one machine does all the work."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
         if not named and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cairn-checkpoint-"))
+    return named or context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """An eager checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

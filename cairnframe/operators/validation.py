@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ids import path_matches
-from ..functions.projection import MAX_ERROR_M, consistency_error, to_plane
+from ..functions.projection import MAX_ERROR_M, to_plane
 from ..functions.text import is_http_url, is_url_like
 from ..sources.catalog import Catalog
 from .best import best_measurement_id, declared_measurement, only_rejected
@@ -43,7 +43,19 @@ def falsy(value: Column) -> Column:
 
 
 def measurement_rows(objects: DataFrame) -> DataFrame:
-    return objects.select("path", F.col("id").alias("object_id"), F.posexplode("measurements").alias("pos", "m"))
+    """A row for each measurement `m`, with its plane coordinates `p` (see `with_planes`)."""
+    rows = objects.select("path", F.col("id").alias("object_id"), F.posexplode(F.arrays_zip("measurements", "planes")).alias("pos", "z"))
+    return rows.select("path", "object_id", "pos", F.col("z.measurements").alias("m"), F.col("z.planes").alias("p"))
+
+
+def with_planes(objects: DataFrame) -> DataFrame:
+    """`planes`: north and east of each measurement, which several rules need."""
+
+    def plane(m: Column) -> Column:
+        north, east = to_plane(m["lat"], m["lon"])
+        return F.struct(north.alias("n"), east.alias("e"))
+
+    return objects.withColumn("planes", F.transform("measurements", plane))
 
 
 def shared_paths(rows: DataFrame, key: str) -> DataFrame:
@@ -113,18 +125,15 @@ def measurement_issues(catalog: Catalog, resolver: Resolver | None) -> list[Data
     rows = measurement_rows(objects)
     out = [issue(rows, 7, "MISSING_HORIZONTAL_ACCURACY", WARNING, F.col("m.id"), F.col("m.horizontal_accuracy_m").isNull())]
     out.append(issue(rows, 7, "MISSING_SOURCE_REF", WARNING, F.col("m.id"), falsy(F.col("m.source_ref"))))
-    error = consistency_error(F.col("m.lat"), F.col("m.lon"), F.col("m.x_1992"), F.col("m.y_1992"))
+    error = F.hypot(F.col("p.n") - F.col("m.x_1992"), F.col("p.e") - F.col("m.y_1992"))
     out.append(issue(rows.withColumn("e", error), 7, "COORDINATE_MISMATCH", ERROR, F.concat(F.col("m.id"), F.format_string(": %.2f m", "e")), F.col("e") > MAX_ERROR_M))
     # Pairs within a record: the array stays in its row.
-    def point(m: Column) -> Column:
-        north, east = to_plane(m["lat"], m["lon"])
-        return F.struct(m["id"].alias("id"), north.alias("n"), east.alias("e"))
-
     def far(a: Column, i: Column) -> Column:
         others = F.transform(F.slice("points", i + 2, F.size("points")), lambda b: F.struct(a["id"].alias("a"), b["id"].alias("b"), F.hypot(a["n"] - b["n"], a["e"] - b["e"]).alias("d")))
         return F.filter(others, lambda p: p["d"] > MAX_DISTANCE_M)
 
-    points = objects.select("path", F.filter(F.transform("measurements", point), lambda p: p["n"].isNotNull() & p["e"].isNotNull()).alias("points"))
+    named = F.transform(F.arrays_zip("measurements", "planes"), lambda z: F.struct(z["measurements"]["id"].alias("id"), z["planes"]["n"].alias("n"), z["planes"]["e"].alias("e")))
+    points = objects.select("path", F.filter(named, lambda p: p["n"].isNotNull() & p["e"].isNotNull()).alias("points"))
     pairs = points.select("path", F.explode(F.flatten(F.transform("points", far))).alias("p"))
     out.append(issue(pairs, 7, "MEASUREMENT_DISTANCE_OUTLIER", WARNING, F.concat_ws(" ", "p.a", "p.b", F.format_string("%.2f m", "p.d"))))
     if resolver is not None:
@@ -149,7 +158,7 @@ def validate(catalog: Catalog, resolver: Resolver | None = None, schemas: dict[s
     the rule for local attachments. If any record can't be read, only that is reported. Records are
     read once, into a checkpoint that all rules share.
     """
-    catalog = Catalog(*map(cut_lineage, (catalog.objects, catalog.caves, catalog.relations)))
+    catalog = Catalog(*map(cut_lineage, (with_planes(catalog.objects), catalog.caves, catalog.relations)))
     if catalog.issues_of_reading().limit(1).count():
         return record_issues(catalog, None)[0]
     return reduce(DataFrame.unionByName, [*record_issues(catalog, schemas), *reference_issues(catalog), *object_issues(catalog, files), *measurement_issues(catalog, resolver)])

@@ -30,7 +30,7 @@ SELECT c_custkey AS k, {own_id} AS stem, {shown_id} AS id,
   CASE WHEN c_custkey % 103 = 0 THEN '{{"schema_version": 2}}' WHEN c_custkey % 107 = 0 THEN '{{"other": 1}}' ELSE '{{"schema_version": 1}}' END AS raw,
   CASE WHEN c_custkey % 4 = 0 THEN 'manual' ELSE 'auto' END AS best_mode, CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE 'seen' END AS best_reason,
   CASE WHEN c_custkey % 3 = 0 THEN '{{g' || CAST(c_custkey % 399 AS {text}) || '}}' END AS tpn, CASE WHEN c_custkey % 13 = 0 THEN 'N' || CAST(c_custkey AS {text}) END AS nr, CASE WHEN c_custkey % 17 = 0 THEN 'P' || CAST(c_custkey AS {text}) END AS pig,
-  CASE WHEN c_custkey % 6 = 0 THEN CASE c_custkey % 5 WHEN 0 THEN 'ftp://host/x' WHEN 1 THEN 'http://host/x' ELSE 'files/' || CAST(c_custkey % 30 AS {text}) || '.jpg' END END AS file, c_custkey % 12 = 0 AS bad_attachment
+  CASE WHEN c_custkey % 6 = 0 THEN CASE c_custkey % 5 WHEN 0 THEN 'ftp://host/x' WHEN 1 THEN 'http://host/x' ELSE 'files/' || CAST(c_custkey % 36 AS {text}) || '.jpg' END END AS file, c_custkey % 12 = 0 AS bad_attachment
 FROM customer
 """
 POINTS = """
@@ -158,5 +158,5 @@ def sample_resolver(spark: SparkSession) -> Resolver:
 
 
 def sample_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Most of the files that attachments name: one for each nation, of thirty."""
+    """Most of the files that attachments name: one for each nation."""
     return spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.concat(F.lit("files/"), F.col("n_nationkey").cast("string"), F.lit(".jpg")).alias("file"))

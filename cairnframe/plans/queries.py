@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import dates, geometry, ids, projection, text
@@ -44,23 +43,6 @@ def best_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.best_per_key(table(spark, sf_dir, "events"), ["user_id"], event_order(), "event_id", "best_event_id")
 
 
-@register("SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL HAVING bool_and(event_type = 'error')")
-def rejected_only_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day"))
-    return rows.agg(F.count("*").alias("n"), F.bool_and(F.col("event_type") == "error").alias("rejected")).where("rejected").drop("rejected")
-
-
-@register(f"""
-WITH computed AS ({BEST_SQL}), declared AS (SELECT user_id, event_id AS declared_event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
-SELECT user_id, declared_event_id, best_event_id FROM declared JOIN computed USING (user_id) WHERE declared_event_id <> best_event_id
-""")
-def auto_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared and computed best in one aggregation."""
-    order = F.struct(*(c.alias(f"o{k}") for k, c in enumerate(event_order())))
-    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("declared_event_id"), F.min_by("event_id", order).alias("best_event_id"))
-    return rows.where("declared_event_id <> best_event_id")
-
-
 # Projection and geometry -----------------------------------------------------------------------
 
 LAT, LON = "(49.18 + (c_acctbal + 1000) / 11000 * 0.11)", "(19.75 + (c_custkey % 1000) / 1000.0 * 0.35)"
@@ -143,26 +125,9 @@ def wkt_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", geometry.wkt_point(F.col("s_acctbal").cast("decimal(12,2)"), F.col("s_suppkey")).alias("wkt"))
 
 
-@register("""
-SELECT a.s_suppkey AS left_key, b.s_suppkey AS right_key, round(sqrt((a.s_acctbal - b.s_acctbal) ** 2 + (a.s_suppkey - b.s_suppkey) ** 2), 3) AS distance
-FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey
-WHERE sqrt((a.s_acctbal - b.s_acctbal) ** 2 + (a.s_suppkey - b.s_suppkey) ** 2) > 100
-""")
-def far_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_acctbal")
-    other = s.select("s_nationkey", F.col("s_suppkey").alias("k2"), F.col("s_acctbal").alias("b2"))
-    d = projection.distance(F.col("s_acctbal"), F.col("s_suppkey"), F.col("b2"), F.col("k2"))
-    return s.join(other, "s_nationkey").where("s_suppkey < k2").withColumn("d", d).where("d > 100").select(F.col("s_suppkey").alias("left_key"), F.col("k2").alias("right_key"), F.round("d", 3).alias("distance"))
-
-
 # Profiles --------------------------------------------------------------------------------------
 
 
-@register("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
-def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1")
-
-
 @register("""
 SELECT p_name AS value, count(*) AS n, array_to_string(list_slice(list(p_partkey ORDER BY p_partkey), 1, 20), ',') AS first_rows
 FROM part WHERE trim(p_name) <> '' GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, value LIMIT 10
@@ -198,60 +163,6 @@ def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Integrity, counts and flags -------------------------------------------------------------------
 
 
-@register("SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority LIKE '1%')")
-def customers_without_urgent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%'")
-    return c.join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
-
-
-@register("""
-SELECT s AS status, count(o_orderkey) AS n FROM (VALUES ('F'), ('O'), ('P'), ('X')) v(s) LEFT JOIN orders ON o_orderstatus = s GROUP BY 1
-""")
-def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of a fixed list of values in one pass, zeros included."""
-    names = ["F", "O", "P", "X"]
-    row = table(spark, sf_dir, "orders").agg(*(F.count_if(F.col("o_orderstatus") == s).alias(s) for s in names))
-    return row.select(F.explode(F.array(*(F.struct(F.lit(s).alias("status"), F.col(s).alias("n")) for s in names))).alias("p")).select("p.*")
-
-
-COUNTED = ["customer", "nation", "orders", "part", "supplier"]
-
-
-@register(" UNION ALL ".join(f"SELECT '{t}_count' AS key, CAST(count(*) AS VARCHAR) AS value FROM {t}" for t in COUNTED))
-def catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = None
-    for t in COUNTED:
-        one = table(spark, sf_dir, t).agg(F.count("*").cast("string").alias("value")).select(F.lit(f"{t}_count").alias("key"), "value")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-@register("""
-SELECT 'ACCOUNT_NEGATIVE' AS code, 'warning' AS severity, c_custkey AS key FROM customer WHERE c_acctbal < 0
-UNION ALL SELECT 'SEGMENT_UNKNOWN', 'error', c_custkey FROM customer WHERE c_mktsegment IS NULL OR c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
-UNION ALL SELECT 'CUSTOMER_WITHOUT_ORDERS', 'warning', c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
-UNION ALL SELECT 'ORDER_OPEN', 'warning', o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 400000
-UNION ALL SELECT 'ORDER_DATE_EARLY', 'error', o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1992-02-01'
-""")
-def validation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules as data: a union of filters, each with its code, severity and key."""
-    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
-    lonely = c.join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
-    segments = "'AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'"
-    rules = [
-        ("ACCOUNT_NEGATIVE", "warning", c.where("c_acctbal < 0"), "c_custkey"),
-        ("SEGMENT_UNKNOWN", "error", c.where(f"c_mktsegment IS NULL OR c_mktsegment NOT IN ({segments})"), "c_custkey"),
-        ("CUSTOMER_WITHOUT_ORDERS", "warning", lonely, "c_custkey"),
-        ("ORDER_OPEN", "warning", o.where("o_orderstatus = 'O' AND o_totalprice > 400000"), "o_orderkey"),
-        ("ORDER_DATE_EARLY", "error", o.where("o_orderdate < TIMESTAMP_NTZ '1992-02-01'"), "o_orderkey"),
-    ]
-    out = None
-    for code, severity, rows, key in rules:
-        one = rows.select(F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.col(key).cast("long").alias("key"))
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 # Matching and identifiers ----------------------------------------------------------------------
 
 _PART = "p_partkey, p_brand || '/' || p_type || '/' || CAST(p_size AS VARCHAR) AS nr, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS name_norm, p_retailprice AS x, CAST(p_size AS DOUBLE) AS y"
@@ -300,9 +211,9 @@ def allocate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.join(nation, "key").select("c_custkey", F.concat("code", F.lit("-"), F.split_part("new_id", F.lit("-"), F.lit(2))).alias("new_id"))
 
 
-@register("SELECT o_orderkey, 'C-' || lpad(CAST(n AS VARCHAR), CAST(greatest(4, length(CAST(n AS VARCHAR))) AS INT), '0') AS cave_id FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders WHERE o_orderstatus = 'F')")
+@register("SELECT o_orderkey, 'C-' || lpad(CAST(n AS VARCHAR), CAST(greatest(4, length(CAST(n AS VARCHAR))) AS INT), '0') AS cave_id FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders)")
 def allocate_cave_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey")
     return allocation.running_number(rows, "o_orderkey", "n").select("o_orderkey", ids.numbered_id(F.lit("C"), F.col("n")).alias("cave_id"))
 
 
@@ -320,19 +231,6 @@ def joined_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ORDER_RANK = "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 0 WHEN '2' THEN 1 WHEN '3' THEN 2 WHEN '4' THEN 3 ELSE 4 END"
 
 
-@register(f"""
-WITH b AS (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY {_ORDER_RANK}, o_orderdate DESC, o_orderkey) = 1)
-SELECT c_custkey, c_name, n_name, o_orderkey AS best_orderkey, o_orderpriority AS best_priority, o_totalprice AS best_price
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN b ON o_custkey = c_custkey
-""")
-def best_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.struct(F.expr(_ORDER_RANK).alias("r"), (-F.unix_micros(F.col("o_orderdate").cast("timestamp"))).alias("t"), F.col("o_orderkey").alias("k"))
-    chosen = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min_by(F.struct("o_orderkey", "o_orderpriority", "o_totalprice"), order).alias("b"))
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    rows = table(spark, sf_dir, "customer").join(nation, "c_nationkey", "left").join(chosen, "c_custkey", "left")
-    return rows.select("c_custkey", "c_name", "n_name", F.col("b.o_orderkey").alias("best_orderkey"), F.col("b.o_orderpriority").alias("best_priority"), F.col("b.o_totalprice").alias("best_price"))
-
-
 # Text, dates, references -----------------------------------------------------------------------
 
 
@@ -390,27 +288,6 @@ def append_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.transform(out, lambda r: F.concat_ws("|", r["system"], r["ref_type"])), ";").alias("joined"))
 
 
-@register("""
-WITH e AS (SELECT *, min(CASE WHEN event_type = 'view' THEN ROW(ts, event_id) END) OVER (PARTITION BY user_id) AS created FROM events)
-SELECT event_id, user_id, CASE
-  WHEN event_type = 'view' AND ROW(ts, event_id) = created THEN 'materialized' WHEN event_type = 'view' THEN 'ALREADY_EXISTS'
-  WHEN event_type IN ('click', 'purchase') AND (created IS NULL OR ROW(ts, event_id) < created) THEN 'TARGET_MISSING'
-  WHEN event_type IN ('click', 'purchase') THEN 'materialized' WHEN event_type = 'error' THEN 'skipped' ELSE 'DECISION_ACTION_INVALID' END AS outcome
-FROM e
-""")
-def review_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An ordered fold without an ordered fold: what a decision needs to know is the first creation of its target."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.struct("ts", "event_id").alias("at"))
-    created = e.where("event_type = 'view'").groupBy("user_id").agg(F.min("at").alias("created"))
-    kind, at, first = F.col("event_type"), F.col("at"), F.col("created")
-    outcome = (
-        F.when((kind == "view") & (at == first), "materialized").when(kind == "view", "ALREADY_EXISTS")
-        .when(kind.isin("click", "purchase") & (first.isNull() | (at < first)), "TARGET_MISSING")
-        .when(kind.isin("click", "purchase"), "materialized").when(kind == "error", "skipped").otherwise("DECISION_ACTION_INVALID")
-    )
-    return e.join(created, "user_id", "left").select("event_id", "user_id", outcome.alias("outcome"))
-
-
 @register("SELECT conv_id, turn, CASE WHEN starts_with(t, 'staging: ') THEN 'final: ' || substr(t, 10) ELSE t END AS note FROM (SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'staging: ' || text WHEN role = 'assistant' THEN 'x staging: ' || text ELSE text END AS t FROM conversations)")
 def finalize_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.review import final_note
@@ -433,12 +310,6 @@ def path_matches_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Ranked windows over the same keys, for callers that want rows instead of an arg-best.
 
 
-@register(f"SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY {EVENT_PRIORITY}, ts DESC, value, event_id) AS position FROM events QUALIFY position <= 3")
-def best_three_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = W.partitionBy("user_id").orderBy(*event_order())
-    return table(spark, sf_dir, "events").withColumn("position", F.row_number().over(w)).where("position <= 3").select("user_id", "event_id", F.col("position").cast("long").alias("position"))
-
-
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -373,7 +373,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, passage: int | None =
     places = staged(places.join(broadcast_if_small(twice), "a", "left_semi"), "repeated")
     classes = places.groupBy("a", "s").agg(F.count("*").alias("times"), F.min(F.struct("r1", "r2", "start")).alias("at"), *(F.first(c).alias(c) for c in ("n", "size", "place")))
     groups = classes.groupBy("a").agg(F.count("*").alias("classes"), F.count_if(F.col("times") == 1).alias("single"), F.min("place").alias("p"), F.min("at").alias("leader"), F.sum("size").alias("bytes"))
-    groups = groups.where("single > 0 and (classes > 1 or p < 0)").select("a", F.col("leader.r1").alias("k1"), F.col("leader.r2").alias("k2"), F.floor(F.col("leader.start") / BLOCK).cast("long").alias("k3"), (F.col("bytes") > hot_bytes).alias("hot"))
+    # A minimizer with a good part of a shard is a key of its own; the others follow their neighbours.
+    alone, where = F.col("bytes") > shard_bytes // 8, F.col("leader")
+    keys = [F.when(alone, F.col("a")).otherwise(where["r1"]).alias("k1"), F.when(alone, 0).otherwise(where["r2"]).cast("long").alias("k2"), F.when(alone, -1).otherwise(F.floor(where["start"] / BLOCK)).cast("long").alias("k3")]
+    groups = groups.where("single > 0 and (classes > 1 or p < 0)").select("a", *keys, (F.col("bytes") > hot_bytes).alias("hot"))
     classes = staged(classes.join(groups, "a", "left").where("times > 1 or hot is not null"), "classes")
     none = F.array().cast("array<long>")
     whole = lambda n: F.array(F.lit(0).cast("long"), n)

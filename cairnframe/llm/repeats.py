@@ -7,9 +7,8 @@ equal strings together without sorting all suffixes of the corpus in one place:
    its K-byte strings; equal windows have equal minimizers. Successive windows with one minimizer form
    a segment, which reaches on to the end of the last string of `length` bytes that starts in it.
    Only hashes and places of segments are shuffled; those of minimizers that occur once go at once.
-2. Equal segments form a class; a class that occurs twice is repeated throughout and is not sorted
-   again for itself. Minimizers with several classes, and segments that may repeat inside
-   themselves, go on with the bytes of one member of each class.
+2. Equal segments form a class by their hashes; all go on with the bytes of the first member of each
+   class and, where it has more, of the last, so copies beyond the second are not sorted again.
 3. Minimizers are dealt to shards by the first place at which they occur. Segments that follow each
    other there and in the copies so meet in one shard and are laid out as one piece, with no byte
    twice. A shard's suffix array is built by induced sorting; its permuted common prefixes give, for
@@ -139,19 +138,17 @@ def ranges(found: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(np.r_[False, found, False].astype(np.int8))).tolist()
 
 
-def alike(group: list[tuple[bytes, int, bool]], window: int, k: int) -> list[bool]:
-    """Which segments (bytes, place, sure) of one minimizer must be sorted: those of which a window may occur in another.
+def alike(group: list[tuple[bytes, int]], window: int, k: int) -> list[bool]:
+    """Which segments (bytes, place) of one minimizer must be sorted: those of which a window may occur in another.
 
     Around its minimizer a window reaches half of the other bytes to the left or to the right at
     least; so equal windows share that many bytes on one side. Where a segment holds its minimizer
     more than once, all stay.
     """
-    if all(sure for _, _, sure in group):
-        return [False] * len(group)
-    if any(p < 0 for _, p, _ in group):
+    if any(p < 0 for _, p in group):
         return [True] * len(group)
     half = (window - k + 1) // 2
-    sides = [(piece[p - half : p] if p >= half else None, piece[p + k : p + k + half] if p + k + half <= len(piece) else None) for piece, p, _ in group]
+    sides = [(piece[p - half : p] if p >= half else None, piece[p + k : p + k + half] if p + k + half <= len(piece) else None) for piece, p in group]
     left, right = (Counter(x) for x in zip(*sides, strict=True))
     return [x is not None and left[x] > 1 or y is not None and right[y] > 1 for x, y in sides]
 
@@ -161,7 +158,10 @@ SORTED = "a long, s long, runs array<long>, short array<long>"
 
 
 class Shard:
-    """Rows of segments that are sorted together: (piece, a, s, at, n, size, place, sure), the last seven as lists."""
+    """Rows of segments that are sorted together: (piece, a, s, at, n, size, place, second), the last seven as lists.
+
+    Nothing is told of the second members of classes, as the first have the same bytes.
+    """
 
     def __init__(self, length: int, window: int, k: int) -> None:
         self.length, self.window, self.k = length, window, k
@@ -173,20 +173,20 @@ class Shard:
         self.bytes += len(row[0])
 
     def results(self, most: int) -> Iterator[Sorted]:
-        """(a, s, runs, short) of all classes of which not all is known yet; suffix arrays span about `most` bytes."""
-        groups: dict[int, dict[int, tuple[int, int]]] = {}
+        """(a, s, runs, short) of all classes with repeats; suffix arrays span about `most` bytes."""
+        groups: dict[int, dict[tuple[int, bool], tuple[int, int]]] = {}
         for r, row in enumerate(self.rows):
-            for i, (a, s) in enumerate(zip(row[1], row[2], strict=True)):
-                groups.setdefault(a, {}).setdefault(s, (r, i))  # repeated rows of a document give their segments again
+            for i, (a, s, second) in enumerate(zip(row[1], row[2], row[7], strict=True)):
+                groups.setdefault(a, {}).setdefault((s, second), (r, i))  # repeated rows of a document give their segments again
         part: set[tuple[int, int]] = set()
         size = 0
         for group in groups.values():
             members = list(group.values())
             cut = []
             for r, i in members:
-                piece, _, _, at, _, sizes, place, sure = self.rows[r]
-                cut.append((piece[at[i] : at[i] + sizes[i]], place[i], sure[i]))
-            for m, (piece, _, _), stays in zip(members, cut, alike(cut, self.window, self.k), strict=True):
+                piece, _, _, at, _, sizes, place, _ = self.rows[r]
+                cut.append((piece[at[i] : at[i] + sizes[i]], place[i]))
+            for m, (piece, _), stays in zip(members, cut, alike(cut, self.window, self.k), strict=True):
                 if stays:
                     part.add(m)
                     size += len(piece)
@@ -217,8 +217,8 @@ class Shard:
                 asked[at : at + min(self.rows[r][4][i], max(self.rows[r][5][i] - length + 1, 0))] = True
             found.append(suffixes.repeated(asked, length))
         for r, i, at in places:
-            _, a, s, _, n, _, _, sure = self.rows[r]
-            if not sure[i]:
+            _, a, s, _, n, _, _, second = self.rows[r]
+            if not second[i]:
                 lists = [ranges(f[at : at + n[i]]) for f in found]
                 if any(lists):
                     yield a[i], s[i], lists[0], lists[1] if len(lists) > 1 else []
@@ -230,8 +230,8 @@ def sorted_batch(found: list[Sorted]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(s, pa.int64()), pa.array(runs, longs), pa.array(short, longs)], names=["a", "s", "runs", "short"])
 
 
-PIECES = "k1 long, k2 long, k3 long, piece binary, a array<long>, s array<long>, at array<long>, n array<long>, size array<long>, place array<long>, sure array<boolean>"
-_LISTS = ("a", "s", "at", "n", "size", "place", "sure")
+PIECES = "k1 long, k2 long, k3 long, piece binary, a array<long>, s array<long>, at array<long>, n array<long>, size array<long>, place array<long>, second array<boolean>"
+_LISTS = ("a", "s", "at", "n", "size", "place", "second")
 
 
 def sorted_shards(pieces: DataFrame, length: int, window: int, k: int, shard_bytes: int) -> DataFrame:
@@ -252,9 +252,11 @@ def sorted_shards(pieces: DataFrame, length: int, window: int, k: int, shard_byt
 
 
 def fetched(docs: DataFrame, classes: DataFrame, join: bool) -> DataFrame:
-    """The bytes of one member of each class, as rows of PIECES; with `join` successive segments of a key make one row."""
-    fields = [F.col("at.start").alias("start"), F.col("at.start").alias("at"), *(F.col(c).alias(c) for c in ("a", "s", "n", "size", "place", "k1", "k2", "k3")), (F.col("times") > 1).alias("sure")]
-    wanted = classes.groupBy(F.col("at.r1").alias("r1"), F.col("at.r2").alias("r2")).agg(F.collect_list(F.struct(*fields)).alias("want"))
+    """The bytes of one or two members of each class, as rows of PIECES; with `join` successive segments of a key make one row."""
+    members = F.when(F.col("times") > 1, F.array("at", "last")).otherwise(F.array("at"))
+    classes = classes.select("*", F.posexplode(members).alias("turn", "member")).withColumn("second", F.col("turn") > 0)
+    fields = [F.col("member.start").alias("start"), F.col("member.start").alias("at"), *(F.col(c).alias(c) for c in ("a", "s", "n", "size", "place", "k1", "k2", "k3", "second"))]
+    wanted = classes.groupBy(F.col("member.r1").alias("r1"), F.col("member.r2").alias("r2")).agg(F.collect_list(F.struct(*fields)).alias("want"))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,8 +267,8 @@ def fetched(docs: DataFrame, classes: DataFrame, join: bool) -> DataFrame:
                 value = {c: v[order] for c, v in value.items()}
                 ends = value["start"] + value["n"]
                 new = np.ones(len(order), bool)
-                if join:
-                    new[1:] = (value["start"][1:] != ends[:-1]) | np.logical_or.reduce([value[c][1:] != value[c][:-1] for c in ("k1", "k2", "k3")])
+                if join:  # first and second members make rows of their own
+                    new[1:] = (value["start"][1:] != ends[:-1]) | np.logical_or.reduce([value[c][1:] != value[c][:-1] for c in ("k1", "k2", "k3", "second")])
                 first = np.flatnonzero(new)
                 for z in range(0, len(first), 500):
                     own = first[z : z + 500]
@@ -292,7 +294,7 @@ def split_hot(pieces: DataFrame, length: int, window: int, k: int, shard_bytes:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, a, s, n, sure in zip(*(batch.column(c).to_pylist() for c in ("piece", "a", "s", "n", "sure")), strict=True):
+            for piece, a, s, n, second in zip(*(batch.column(c).to_pylist() for c in ("piece", "a", "s", "n", "second")), strict=True):
                 at = np.flatnonzero(window_hashes(np.frombuffer(piece, np.uint8), k).view(np.int64) == a[0])
                 own = at[np.searchsorted(at, np.arange(n[0]))]  # the first minimizer in each window
                 part = (own - np.arange(n[0])) // WIDTH
@@ -301,19 +303,20 @@ def split_hot(pieces: DataFrame, length: int, window: int, k: int, shard_bytes:
                 for x, m in zip(first.tolist(), np.diff(np.r_[first, n[0]]).tolist(), strict=True):
                     r, q = int(part[x]), int(own[x])
                     core, rest = piece[q - r * WIDTH : q - (r + 1) * WIDTH + 1 + window], piece[x : x + m + length - 1]
-                    out.append((a[0], s[0], sure[0], x, digest(b"%d|" % r + core), digest(rest), m, len(rest), rest))
+                    out.append((a[0], s[0], second[0], x, digest(b"%d|" % r + core), digest(rest), m, len(rest), rest))
                 types = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 5, pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["a", "s", "sure", "x", "g", "t", "m", "size", "rest"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["a", "s", "second", "x", "g", "t", "m", "size", "rest"])
 
-    parts = staged(pieces.dropDuplicates(["k1", "k2"]).mapInArrow(split, "a long, s long, sure boolean, x long, g long, t long, m long, size long, rest binary"), "parts")
-    classes = parts.groupBy("g", "t").agg(F.sum(F.when(F.col("sure"), 2).otherwise(1)).alias("times"), F.first("m").alias("m"), F.first("size").alias("size"))
+    own = pieces.dropDuplicates(["k1", "k2", "second"])
+    parts = staged(own.mapInArrow(split, "a long, s long, second boolean, x long, g long, t long, m long, size long, rest binary"), "parts")
+    classes = parts.groupBy("g", "t").agg(F.count("*").alias("times"), F.first("m").alias("m"), F.first("size").alias("size"))
     groups = classes.groupBy("g").agg(F.sum("times").alias("all"), F.count_if(F.col("times") == 1).alias("single"), F.sum("size").alias("bytes"))
     judged = staged(classes.join(groups, "g").where("all > 1"), "judged")
     none, zero, whole = F.array().cast("array<long>"), F.lit(0).cast("long"), lambda n: F.array(F.lit(0).cast("long"), n.cast("long"))
     longer = F.when(F.col("size") >= length, whole(F.col("size") - length + 1)).otherwise(none)
     found = judged.where("times > 1").select(F.col("g").alias("a"), F.col("t").alias("s"), longer.alias("runs"), (whole(F.col("m")) if window < length else none).alias("short"))
     rests = parts.select("g", "t", "rest").dropDuplicates(["g", "t"])
-    lists = [F.array(c).alias(n) for n, c in (("a", F.col("g")), ("s", F.col("t")), ("at", zero), ("n", F.col("m")), ("size", F.col("size")), ("place", F.lit(-1).cast("long")), ("sure", F.col("times") > 1))]
+    lists = [F.array(c).alias(n) for n, c in (("a", F.col("g")), ("s", F.col("t")), ("at", zero), ("n", F.col("m")), ("size", F.col("size")), ("place", F.lit(-1).cast("long")), ("second", F.col("times") > 1))]
     members = judged.where("single > 0").join(rests, ["g", "t"]).select((F.col("bytes") > hot_bytes).alias("hot"), F.col("g").alias("k1"), zero.alias("k2"), zero.alias("k3"), F.col("rest").alias("piece"), *lists)
     members = staged(members, "members")
     found = found.unionByName(sorted_shards(members.where("not hot"), length, window, k, shard_bytes))
@@ -321,7 +324,7 @@ def split_hot(pieces: DataFrame, length: int, window: int, k: int, shard_bytes:
         found = found.unionByName(split_places(members.where("hot"), length, window))
     found = found.select(F.col("a").alias("g"), F.col("s").alias("t"), "runs", "short")
     shift = lambda c: F.flatten(F.collect_list(F.transform(c, lambda v: v + F.col("x"))))
-    return parts.where("not sure").join(found, ["g", "t"]).groupBy("a", "s").agg(shift("runs").alias("runs"), shift("short").alias("short"))
+    return parts.where("not second").join(found, ["g", "t"]).groupBy("a", "s").agg(shift("runs").alias("runs"), shift("short").alias("short"))
 
 
 def split_places(members: DataFrame, length: int, window: int) -> DataFrame:
@@ -329,7 +332,7 @@ def split_places(members: DataFrame, length: int, window: int) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, a, s, n, sure in zip(*(batch.column(c).to_pylist() for c in ("piece", "a", "s", "n", "sure")), strict=True):
+            for piece, a, s, n, sure in zip(*(batch.column(c).to_pylist() for c in ("piece", "a", "s", "n", "second")), strict=True):
                 at = np.arange(n[0])
                 w = [digest(piece[i : i + window]) for i in at.tolist()]
                 x = [digest(b"+" + piece[i : i + length]) if i + length <= len(piece) else None for i in at.tolist()]
@@ -371,18 +374,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, passage: int | None =
     places = staged(docs.mapInArrow(cut, "r1 long, r2 long, a long, s long, start long, n long, size long, place long"), "segments")
     twice = places.groupBy("a").agg(F.count("*").alias("c"), F.min("place").alias("p")).where("c > 1 or p < 0").select("a")
     places = staged(places.join(broadcast_if_small(twice), "a", "left_semi"), "repeated")
-    classes = places.groupBy("a", "s").agg(F.count("*").alias("times"), F.min(F.struct("r1", "r2", "start")).alias("at"), *(F.first(c).alias(c) for c in ("n", "size", "place")))
-    groups = classes.groupBy("a").agg(F.count("*").alias("classes"), F.count_if(F.col("times") == 1).alias("single"), F.min("place").alias("p"), F.min("at").alias("leader"), F.sum("size").alias("bytes"))
+    classes = places.groupBy("a", "s").agg(F.count("*").alias("times"), F.min(F.struct("r1", "r2", "start")).alias("at"), F.max(F.struct("r1", "r2", "start")).alias("last"), *(F.first(c).alias(c) for c in ("n", "size", "place")))
+    groups = classes.groupBy("a").agg(F.min("at").alias("leader"), F.sum(F.col("size") * F.least("times", F.lit(2))).alias("bytes"))
     # A minimizer with a good part of a shard is a key of its own; the others follow their neighbours.
     alone, where = F.col("bytes") > shard_bytes // 8, F.col("leader")
     keys = [F.when(alone, F.col("a")).otherwise(where["r1"]).alias("k1"), F.when(alone, 0).otherwise(where["r2"]).cast("long").alias("k2"), F.when(alone, -1).otherwise(F.floor(where["start"] / BLOCK)).cast("long").alias("k3")]
-    groups = groups.where("single > 0 and (classes > 1 or p < 0)").select("a", *keys, (F.col("bytes") > hot_bytes).alias("hot"))
-    classes = staged(classes.join(groups, "a", "left").where("times > 1 or hot is not null"), "classes")
-    none = F.array().cast("array<long>")
-    whole = lambda n: F.array(F.lit(0).cast("long"), n)
-    longer = F.when(F.col("size") >= length, whole(F.col("size") - length + 1)).otherwise(none)
-    covered = classes.where("times > 1").select("a", "s", longer.alias("runs"), (whole(F.col("n")) if window < length else none).alias("short"))
-    covered = covered.unionByName(sorted_shards(fetched(docs, classes.where("not hot"), True), length, window, k, shard_bytes))
+    groups = groups.select("a", *keys, (F.col("bytes") > hot_bytes).alias("hot"))
+    classes = staged(classes.join(groups, "a"), "classes")
+    covered = sorted_shards(fetched(docs, classes.where("not hot"), True), length, window, k, shard_bytes)
     hot = classes.where("hot").withColumns({"k1": F.col("a"), "k2": F.col("s"), "k3": F.lit(0).cast("long")})
     if hot.limit(1).count():
         covered = covered.unionByName(split_hot(fetched(docs, hot, False), length, window, k, shard_bytes, hot_bytes))

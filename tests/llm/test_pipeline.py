@@ -27,9 +27,12 @@ def test_stages_on_the_small_tables(spark):
     assert sorted(r.doc_id for r in step.collect()) == sorted(least.values()) and step.columns == docs.columns
 
     step = corpus_pipeline.cut_repeats(spark, docs, SF)
-    want = {x[0]: x[1] - x[2] for x in test_repeats.brute([(r.doc_id, r.text) for r in rows.values()], 400)}
+    bytes_, words = corpus_pipeline.REPEAT_BYTES, corpus_pipeline.REPEAT_WORDS
+    want = {x[0]: x for x in test_repeats.brute([(r.doc_id, r.text) for r in rows.values()], bytes_, words)}
     got = {r.doc_id: r for r in step.collect()}
-    assert all(abs(len(got[i].text.encode()) - n) <= 6 for i, n in want.items()) and step.columns == docs.columns
+    # Characters that a cut parts go, up to three bytes on either side.
+    assert all(0 <= x[1] - x[2] - len(got[i].text.encode()) <= 6 * x[3] for i, x in want.items()) and step.columns == docs.columns
+    assert sum(x[2] for x in want.values()) > 10_000
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
@@ -65,3 +68,33 @@ def test_empty_input(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 0")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0, name
+
+
+def test_passages_of_little_more_than_fifty_words(spark):
+    """A passage of 51 words, shorter than 400 bytes, in documents that have nothing else in common; texts without it stay."""
+    import random
+
+    r = random.Random(8)
+    words = lambda n: " ".join("".join(r.choices("abcdefghijklm", k=r.randint(2, 8))) for _ in range(n))
+    passage, short = words(51), words(40)
+    assert 240 < len(passage) < 400
+    texts = [f"{words(40)} {passage} {words(30)}" for _ in range(6)] + [f"{words(60)} {short} {words(20)}" for _ in range(4)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs, SF).collect()}
+    assert all(passage not in got[i] and len(got[i]) >= len(texts[i]) - len(passage) - 20 for i in range(6))
+    assert all(got[i] == texts[i] for i in range(6, 10))
+
+
+def test_odd_rows_through_all_stages(spark):
+    """Nulls in every column, long texts, repeated rows, and columns whose names the operators use."""
+    long = " ".join(f"w{k}" for k in range(60_000))
+    prose = " ".join(f"t{k}" for k in range(50))
+    rows = [(1, prose, "en", "s"), (1, prose, "en", "s"), (2, None, None, None), (None, f"{prose} x", None, None), (3, "", "en", None), (4, long, "en", "s"), (5, f"{long} end", None, "s"), (6, "\U0001f600 " * 30, "x", "y")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, kept boolean, r1 long, fp string, words long, sequence_id string"
+    docs = spark.createDataFrame([(*x, None, 0.5, True, 1, "f", 2, "q") for x in rows], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == corpus_pipeline.COLUMNS, name
+        assert 0 < out.count() <= len(rows), name
+    pieces = corpus_pipeline.pack_sequences(spark, docs, SF).collect()
+    assert {p.doc_id for p in pieces} == {1, 2, None, 3, 4, 5, 6} and sum(p.length for p in pieces) > 100_000

@@ -6,12 +6,14 @@ They run over `sample_catalog`; the SQL derives the same rows from the flat tabl
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import validation
 from ..operators.json_schema import schema_issues
+from ..operators.materialize import cut_lineage
 from ..sinks import export, snapshot
 from .sample_catalog import AREAS, FLAT_SQL, WHEN, sample_catalog, sample_files, sample_resolver
 
@@ -78,6 +80,12 @@ def all_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.validate(sample_catalog(spark, sf_dir), sample_resolver(spark), None, sample_files(spark, sf_dir))
 
 
+@lru_cache(maxsize=2)
+def known_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written down once in a session for the queries that show them in other forms."""
+    return cut_lineage(all_issues(spark, sf_dir))
+
+
 @register(f"{FLAT_SQL} {RULES} SELECT * FROM issues")
 def validate_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules but those of reading and of JSON schemas, which have queries of their own."""
@@ -86,7 +94,7 @@ def validate_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"{FLAT_SQL} {RULES} SELECT concat_ws(chr(9), code, severity, path, description) AS line FROM issues")
 def issue_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validation.formatted(all_issues(spark, sf_dir))
+    return validation.formatted(known_issues(spark, sf_dir))
 
 
 @register(f"{FLAT_SQL} SELECT 0 AS family, 'YAML_INVALID' AS code, 'error' AS severity, path, 'the root is no mapping' AS description FROM c WHERE lists_lost")
@@ -157,12 +165,12 @@ for _name, _text in SNAPSHOT_SQL.items():
 SELECT unnest(['cave_count', 'generated_at', 'measurement_count', 'object_count', 'relation_count', 'schema_version', 'validation_error_count', 'validation_warning_count']) AS key, unnest([c::VARCHAR, '{WHEN}', m::VARCHAR, o::VARCHAR, r::VARCHAR, '{snapshot.SNAPSHOT_VERSION}', e::VARCHAR, w::VARCHAR]) AS value FROM n
 """)
 def snapshot_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), all_issues(spark, sf_dir), WHEN)["metadata"].select("key", "value")
+    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), known_issues(spark, sf_dir), WHEN)["metadata"].select("key", "value")
 
 
 @register(f"{FLAT_SQL} {RULES} SELECT code, severity, path, description FROM issues")
 def snapshot_validation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), all_issues(spark, sf_dir), WHEN)["validation_flags"].select(*snapshot.columns_of("validation_flags"))
+    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), known_issues(spark, sf_dir), WHEN)["validation_flags"].select(*snapshot.columns_of("validation_flags"))
 
 
 @register(f"""{FLAT_SQL}, src AS (SELECT k, string_agg(g, ';' ORDER BY n) AS gs FROM (SELECT k, n, regexp_extract(source_ref, '^TPN:(\\{{.*\\}})$', 1) AS g FROM m) WHERE g <> '' GROUP BY 1),

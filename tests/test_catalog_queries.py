@@ -9,9 +9,7 @@ from cairnframe.plans import catalog_queries, file_queries, review_queries, stag
 
 SF = "/root/testdata/sf0.001"
 MODULES = [catalog_queries, staging_queries, review_queries, file_queries]
-# Queries that show the same plans in another form are left to the driver.
-SAME = {"issue_lines", "snapshot_validation_flags", "snapshot_metadata", "pig_issues", "tpn_issues", "tpn_proposals", "pig_caves"}
-NAMES = [(m, n) for m in MODULES for n in m.queries() if n not in SAME]
+NAMES = [(m, n) for m in MODULES for n in m.queries()]
 
 
 @pytest.mark.parametrize(("module", "name"), NAMES, ids=[n for _, n in NAMES])

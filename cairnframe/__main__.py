@@ -73,7 +73,7 @@ def schemas_of(a: argparse.Namespace) -> dict[str, dict] | None:
 
 def files_of(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     """Paths of the files that attachments may name, below --root or else the folder that holds the data folder."""
-    root = Path(a.root or Path(a.data).resolve().parent)
+    root = Path(getattr(a, "root", None) or Path(a.data).resolve().parent)
     found = []
     for folder, below, names in root.walk():
         below[:] = [d for d in below if d != ".git"]

@@ -27,7 +27,7 @@ def text_batches(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share (`spark.checkpoint.dir`).
 
-    Only where the cluster names none, as in local tests, a temporary folder is set.
+    Only where none is named and one machine does all the work, as in local tests, a temporary folder is set.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -35,6 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cairn-checkpoint-"))
     return spark.sparkContext.getCheckpointDir()
 

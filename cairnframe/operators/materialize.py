@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`; a temporary one only where none is named and one machine does all the work."""
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir")
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
         if not named and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html, licenses, packing, quality, repeats, rpforest, simhash, toxicity
+from . import audit, bpe, chat, html, licenses, packing, phrases, quality, repeats, rpforest, simhash, toxicity, urls
 from .common import table
 
 
@@ -54,9 +54,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, judged by the rules and by the list of addresses whose documents are labelled toxic."""
+    pages = table(spark, sf_dir, "pages")
+    return urls.filter_urls(pages, urls.toxic_pages(pages, table(spark, sf_dir, "labels")))
+
+
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_rpforest, op2_simhash, op3_toxicity, op4_suffix_array, op5_packing, op6_licenses, op7_bpe, op8_chat, op9_html, op10_quality)}
+    return {f.__name__: f for f in (op1_rpforest, op2_simhash, op3_toxicity, op4_suffix_array, op5_packing, op6_licenses, op7_bpe, op8_chat, op9_html, op10_quality, op11_phrases, op12_urls, op13_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_rpforest": rpforest.SQL, "op4_suffix_array": repeats.SQL, "op6_licenses": licenses.SQL, "op8_chat": chat.SQL, "op9_html": html.SQL, "op10_quality": quality.SQL}
+    return {"op1_rpforest": rpforest.SQL, "op4_suffix_array": repeats.SQL, "op6_licenses": licenses.SQL, "op8_chat": chat.SQL, "op9_html": html.SQL, "op10_quality": quality.SQL, "op11_phrases": phrases.SQL, "op12_urls": urls.SQL, "op13_audit": audit.SQL}

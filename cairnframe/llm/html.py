@@ -21,10 +21,11 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
 from collections import Counter
-from collections.abc import Callable, Generator, Iterator
+from collections.abc import Callable, Iterator
+from math import isqrt
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +42,8 @@ HOT_SHARE = 2000
 REGION_SHARE, ARTICLE_SHARE = 0.9, 0.5
 #: The share of a page's text below which the region of its group is not its own.
 PAGE_SHARE = 0.5
-#: Pairs of like runs that one table of the matching holds; of more, those nearest to the diagonal.
-MAX_CELLS = 100_000
+#: What a cell of the sparse chain takes, a row of the dense one and a place in it: the quicker is chosen, both give the same chain.
+CELL_SECONDS, ROW_SECONDS, PLACE_SECONDS = 4e-6, 4e-5, 1.2e-8
 #: Characters of source of a group, and of a partition, beyond which a new one begins.
 GROUP_CHARS, PARTITION_CHARS = 8_000_000, 8_000_000
 #: Partitions at most; beyond, each holds more groups, which are read as a stream.
@@ -161,95 +162,185 @@ def runs(node: Node) -> list[list[Node]]:
 
 
 def chain(cells: list[tuple[int, int, int]], width: int) -> list[int]:
-    """The heaviest chain of cells (i, j, weight), i and j both rising; cells are in order of i, then of falling j."""
-    best: list[tuple[int, int]] = [(0, -1)] * (width + 1)  # prefix maxima in a Fenwick tree: (weight, last cell)
-    before, top = [], (0, -1)
-    for k, (_, j, weight) in enumerate(cells):
-        at, reached = j, (0, -1)
+    """The heaviest chain of cells (i, j, weight), i and j both rising; cells are in order of i, then of falling j.
+
+    Of equally heavy chains that with the least last i counts, then the least last j, and so on backwards.
+    """
+    nothing = (0, 0, 0, -1)  # weight, -i, -j, cell
+    best = [nothing] * (width + 1)  # prefix maxima in a Fenwick tree
+    before, top = [], nothing
+    for k, (i, j, weight) in enumerate(cells):
+        at, reached = j, nothing
         while at:
-            reached = max(reached, best[at], key=lambda c: c[0])
+            reached = max(reached, best[at])
             at &= at - 1
-        before.append(reached[1])
-        mine = (reached[0] + weight, k)
-        if mine[0] > top[0]:
-            top = mine
+        before.append(reached[3])
+        mine = (reached[0] + weight, -i, -j, k)
+        top = max(top, mine)
         at = j + 1
         while at <= width:
-            if mine[0] > best[at][0]:
-                best[at] = mine
+            best[at] = max(best[at], mine)
             at += at & -at
-    out, k = [], top[1]
+    out, k = [], top[3]
     while k >= 0:
         out.append(k)
         k = before[k]
     return out[::-1]
 
 
-def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: the most node pairs that keep names, order and ancestry.
+def row_chain(rows: list[np.ndarray]) -> list[tuple[int, int]]:
+    """The same chain from rows of weights (0: no cell), as places (i, j), for tables with many cells.
 
-    Runs at both ends that are alike are paired first; of what differs between, only like runs are
-    compared, and the heaviest chain of them is found without a table of all pairs. Trees may be of
-    any depth: pairs below a pair are asked for with `yield`, and a stack does the work.
+    A row of sums takes one pass of numpy. Every so many rows are kept and the others computed again
+    on the way back, so memory grows with the root of the table.
     """
-    Found = tuple[int, list]
-
-    def of_runs(x: list[Node], y: list[Node]) -> Generator[tuple[Node, Node], Found, Found]:
-        total, parts = 0, []
-        for p, q in zip(x, y, strict=False):
-            score, below = yield p, q
-            total += score
-            parts.append(below)
-        return total, parts
-
-    def visit(a: Node, b: Node) -> Generator[tuple[Node, Node], Found, Found]:
-        left, right = runs(a), runs(b)
-        score, parts = 1, [(a, b)]
-        first, last = 0, 0
-        least = min(len(left), len(right))
-        while first < least and left[first][0].like == right[first][0].like:
+    width = len(rows[0])
+
+    def step(sums: np.ndarray, row: np.ndarray) -> np.ndarray:
+        out = sums.copy()
+        np.maximum(out[1:], np.where(row > 0, sums[:-1] + row, 0), out=out[1:])
+        return np.maximum.accumulate(out)
+
+    stride = isqrt(len(rows)) + 1
+    kept, sums = [], np.zeros(width + 1, np.int64)
+    for i, row in enumerate(rows):
+        if i % stride == 0:
+            kept.append(sums)
+        sums = step(sums, row)
+    out, left, j = [], int(sums[-1]), width
+    for block in reversed(range(len(kept))):
+        lo = block * stride
+        table = [kept[block]]
+        for row in rows[lo : lo + stride]:
+            table.append(step(table[-1], row))
+        for i in reversed(range(1, len(table))):
+            if left and table[i - 1][j] < left:
+                j = int(np.searchsorted(table[i], left)) - 1
+                out.append((lo + i - 1, j))
+                left -= int(rows[lo + i - 1][j])
+    return out[::-1]
+
+
+class Shapes:
+    """Numbers of trees by their shape, which is all that matching looks at, and the best matching of each pair of shapes.
+
+    Equal shapes are compared once, however often they occur on the pages of a group.
+    """
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple, int] = {}
+        self.runs: list[tuple[int, ...]] = []  # of a shape
+        self.run_numbers: dict[tuple, int] = {}
+        self.members: list[tuple[int, ...]] = []  # of a run, as shapes
+        self.likes: list[tuple] = []  # of a run
+        self.plans: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+
+    def of(self, root: Node) -> dict[int, int]:
+        """The shape of each block of a tree, by the block's id."""
+        blocks, todo = [], [root]
+        while todo:
+            x = todo.pop()
+            blocks.append(x)
+            todo += x.blocks
+        out: dict[int, int] = {}
+        for x in reversed(blocks):  # children come after their parents
+            of_runs = tuple(self._number(self.run_numbers, (r[0].like, tuple(out[id(y)] for y in r)), self._add_run) for r in runs(x))
+            out[id(x)] = self._number(self.numbers, (x.like, of_runs), lambda key: self.runs.append(key[1]))
+        return out
+
+    def _add_run(self, key: tuple) -> None:
+        self.likes.append(key[0])
+        self.members.append(key[1])
+
+    @staticmethod
+    def _number(known: dict[tuple, int], key: tuple, add: Callable[[tuple], None]) -> int:
+        if key not in known:
+            known[key] = len(known)
+            add(key)
+        return known[key]
+
+    def plan(self, a: int, b: int) -> tuple[int, list[tuple[int, int]]]:
+        """(score, pairs of runs) of the best matching of two shapes. Trees may be of any depth: a stack does the work."""
+        stack = [] if (a, b) in self.plans else [self._visit(a, b)]
+        while stack:
+            pair = next(stack[-1], None)
+            if pair is None:
+                stack.pop()
+            else:
+                stack.append(self._visit(*pair))
+        return self.plans[a, b]
+
+    def _visit(self, a: int, b: int) -> Iterator[tuple[int, int]]:
+        """Finds the plan of two shapes; yields pairs of shapes whose plans it needs first."""
+        left, right = self.runs[a], self.runs[b]
+        first, last, least = 0, 0, min(len(left), len(right))
+        like = self.likes
+        # Runs at both ends that are alike are paired first; only what differs between is compared.
+        while first < least and like[left[first]] == like[right[first]]:
             first += 1
-        while last < least - first and left[-1 - last][0].like == right[-1 - last][0].like:
+        while last < least - first and like[left[-1 - last]] == like[right[-1 - last]]:
             last += 1
-        for x, y in [*zip(left[:first], right[:first], strict=True), *zip(left[len(left) - last :], right[len(right) - last :], strict=True)]:
-            total, below = yield from of_runs(x, y)
-            score += total
-            parts.append(below)
-        left, right = left[first : len(left) - last], right[first : len(right) - last]
-        places: dict[tuple, list[int]] = {}
-        for j, y in enumerate(right):
-            places.setdefault(y[0].like, []).append(j)
-        reach = max(MAX_CELLS // (2 * max(len(left), 1)), 1) if len(left) * len(right) > MAX_CELLS else len(right)
-        cells, found = [], []
-        for i, x in enumerate(left):
-            own, middle = places.get(x[0].like, []), i * len(right) // len(left)
-            for j in reversed(own[bisect_left(own, middle - reach) : bisect_left(own, middle + reach)]):
-                total, below = yield from of_runs(x, right[j])
-                cells.append((i, j, total))
-                found.append(below)
-        for k in chain(cells, len(right)):
-            score += cells[k][2]
-            parts.append(found[k])
-        return score, parts
-
-    stack, value = [visit(a, b)], None
-    while stack:
-        try:
-            pair = stack[-1].send(value)
-        except StopIteration as end:
-            stack.pop()
-            value = end.value
-        else:
-            stack.append(visit(*pair))
-            value = None
-    score, todo = value[0], [value[1]]
-    out: list[tuple[Node, Node]] = []
+        places = [(k, k) for k in range(first)] + [(len(left) - k, len(right) - k) for k in range(last, 0, -1)]
+        by_like: dict[tuple, list[int]] = {}
+        for j in range(first, len(right) - last):
+            by_like.setdefault(like[right[j]], []).append(j)
+        rows = [i for i in range(first, len(left) - last) if like[left[i]] in by_like]
+        kinds = {r: dict.fromkeys(right[j] for j in by_like[like[r]]) for r in dict.fromkeys(left[i] for i in rows)}
+        weights: dict[tuple[int, int], int] = {}
+        for x, y in [*((left[i], right[j]) for i, j in places), *((x, y) for x, some in kinds.items() for y in some)]:
+            if (x, y) not in weights:
+                for pair in zip(self.members[x], self.members[y], strict=False):
+                    if pair not in self.plans:
+                        yield pair
+                weights[x, y] = sum(self.plans[p][0] for p in zip(self.members[x], self.members[y], strict=False))
+        score = 1 + sum(weights[left[i], right[j]] for i, j in places)
+        for i, j in self._middle(rows, left, right, by_like, weights):
+            score += weights[left[i], right[j]]
+            places.append((i, j))
+        self.plans[a, b] = score, places
+
+    def _middle(self, rows: list[int], left: tuple[int, ...], right: tuple[int, ...], by_like: dict[tuple, list[int]], weights: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+        likes = {self.likes[left[i]] for i in rows}
+        columns = sorted(j for x in likes for j in by_like[x])
+        cells = sum(len(by_like[self.likes[left[i]]]) for i in rows)
+        if cells * CELL_SECONDS <= len(rows) * (ROW_SECONDS + len(columns) * PLACE_SECONDS):
+            all_cells = [(i, j, weights[left[i], right[j]]) for i in rows for j in reversed(by_like[self.likes[left[i]]])]
+            return [all_cells[k][:2] for k in chain(all_cells, len(right))]
+        kinds, kind = np.unique([right[j] for j in columns], return_inverse=True)
+        of_kind = {x: np.array([weights.get((x, y), 0) for y in kinds.tolist()], np.int64) for x in {left[i] for i in rows}}
+        table = _Rows([of_kind[left[i]] for i in rows], kind)
+        return [(rows[i], columns[j]) for i, j in row_chain(table)]
+
+
+class _Rows:
+    """Rows of weights by column, made when they are asked for from those by kind of column."""
+
+    def __init__(self, by_kind: list[np.ndarray], kind: np.ndarray) -> None:
+        self.by_kind, self.kind = by_kind, kind
+
+    def __len__(self) -> int:
+        return len(self.by_kind)
+
+    def __getitem__(self, i):
+        return [x[self.kind] for x in self.by_kind[i]] if isinstance(i, slice) else self.by_kind[i][self.kind]
+
+
+def match(a: Node, b: Node, shapes: Shapes | None = None) -> tuple[int, list[tuple[Node, Node]]]:
+    """Simple tree matching: the most node pairs that keep names, order and ancestry.
+
+    Of two nodes that are matched, the runs of like siblings at both ends are paired first, and of what
+    differs between the heaviest chain of like runs counts, exactly, whatever its length.
+    """
+    shapes = shapes or Shapes()
+    mine, theirs = shapes.of(a), shapes.of(b)
+    score, _ = shapes.plan(mine[id(a)], theirs[id(b)])
+    out, todo = [], [(a, b)]
     while todo:
-        part = todo.pop()
-        if isinstance(part, tuple):
-            out.append(part)
-        else:
-            todo += reversed(part)
+        x, y = todo.pop()
+        out.append((x, y))
+        _, places = shapes.plan(mine[id(x)], theirs[id(y)])
+        left, right = runs(x), runs(y)
+        todo += reversed([pair for i, j in places for pair in zip(left[i], right[j], strict=False)])
     return score, out
 
 
@@ -429,8 +520,8 @@ def extract_group(sources: list[str], aligned: bool = True) -> list[str]:
         return [extract_group([x])[0] for x in sources]
     # Copies count once, so a page that was stored often is no template by itself.
     pages = {x: Page(x) for x in sources}
-    model, _ = copy_of(next(iter(pages.values())).tree)
-    pairs = {x: grow(match(model, page.tree)[1]) for x, page in pages.items()}
+    model, shapes = copy_of(next(iter(pages.values())).tree)[0], Shapes()
+    pairs = {x: grow(match(model, page.tree, shapes)[1]) for x, page in pages.items()}
     seen = Counter((id(a), page.text[id(b)]) for x, page in pages.items() for a, b in pairs[x] if page.text[id(b)])
     weights: Counter[int] = Counter()
     fixed: dict[str, set[int]] = {}

@@ -5,6 +5,9 @@ import random
 import re
 import time
 
+import numpy as np
+import pytest
+
 from cairnframe.llm import html
 
 PAGE = '<html><head><title>T</title></head><body>{}</body></html>'
@@ -113,3 +116,54 @@ def test_chains_are_the_heaviest():
                 best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight.get((i, j), 0))
         got = [cells[k] for k in html.chain(cells, m)]
         assert sum(w for *_, w in got) == best[n][m] and all(a[0] < b[0] and a[1] < b[1] for a, b in zip(got, got[1:], strict=False))
+
+
+def heaviest(cells, n, m):
+    """By the table of all pairs; of equal chains the one that ends first, backwards."""
+    weight = {(i, j): w for i, j, w in cells}
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n):
+        for j in range(m):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight.get((i, j), 0))
+    out, i, j = [], n, m
+    while best[i][j]:
+        while best[i - 1][j] == best[i][j]:
+            i -= 1
+        while best[i][j - 1] == best[i][j]:
+            j -= 1
+        i, j = i - 1, j - 1
+        out.append((i, j))
+    return out[::-1]
+
+
+def test_both_chains_are_that_of_the_table():
+    r = random.Random(6)
+    for size in [*range(1, 9)] * 12 + [60, 90]:
+        n, m, top = size, r.randint(1, size + 3), r.choice([1, 2, 5])
+        cells = [(i, j, r.randint(1, top)) for i in range(n) for j in reversed(range(m)) if r.random() < 0.6]
+        rows = np.zeros((n, m), np.int64)
+        for i, j, w in cells:
+            rows[i, j] = w
+        want = heaviest(cells, n, m)
+        assert [cells[k][:2] for k in html.chain(cells, m)] == want == html.row_chain(list(rows))
+
+
+@pytest.mark.parametrize("n", [60, 400, 800, 5000])
+def test_long_lists_among_differing_blocks(n, monkeypatch):
+    """A list of 800 entries, near the start of some pages and near the end of others, is template at any length."""
+
+    def page(k):
+        blocks = [f"<div class='{chr(97 + k)}{chr(97 + i % 26)}{'xyz'[i % 3] * (i // 26)}'>w{k}x{i}</div>" if n < 1000 else f"<h2>w{k}x{i}</h2><h3>v{k}x{i}</h3>" for i in range(n if n < 1000 else n // 2)]
+        blocks.insert(10 if k % 2 else len(blocks) - 10, "".join(f"<p>f{q}</p><dl>g{q}</dl>" for q in range(400)))
+        return PAGE.format("".join(blocks))
+
+    pages = [page(k) for k in range(8)]
+    start = time.perf_counter()
+    got = html.extract_group(pages)
+    assert time.perf_counter() - start < 90
+    if n < 1000:
+        assert not any("f7" in x.split() or "g7" in x.split() for x in got) and all(f"w{k}x{n - 1}" in x.split() for k, x in enumerate(got))
+    if n < 5000:
+        for seconds in (0.0, 1.0):  # all chains sparse, all dense
+            monkeypatch.setattr(html, "CELL_SECONDS", seconds)
+            assert html.extract_group(pages) == got

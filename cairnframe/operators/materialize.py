@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,3 +23,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """An eager checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Rows of a few numbers and short names that may be broadcast, when counting has shown that there are no more (some 50 MB).
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_few(rows: DataFrame) -> DataFrame:
+    """`rows` with their lineage cut, marked for a broadcast if they are few; beyond the bound joins with them shuffle."""
+    rows = cut_lineage(rows)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows

@@ -120,6 +120,45 @@ def point_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.join(found, "c_custkey", "left").select("c_custkey", F.coalesce("name", F.lit("outside")).alias("region"), "prefix", status.alias("status"))
 
 
+# A polygon for each order: a star of six points about a place that its key and customer give, a third of them with a hole, of four sizes.
+_PARCELS = """
+SELECT o_orderkey, CAST((o_custkey * 7919 + o_orderkey * 31) % 20000 AS DOUBLE) AS px, CAST((o_orderkey * 104729) % 1600 AS DOUBLE) AS py, CASE o_orderkey % 4 WHEN 0 THEN 3.0 WHEN 1 THEN 11.0 WHEN 2 THEN 45.0 ELSE 170.0 END AS r, o_orderkey % 3 = 0 AS hole FROM orders
+"""
+_STAR = [(1.0, 0.0), (0.25, 0.25), (0.0, 1.0), (-1.0, 0.25), (-0.5, -0.5), (0.25, -1.0)]
+_HOLE = [(0.125, 0.0), (0.0, 0.125), (-0.125, 0.0), (0.0, -0.125)]
+_SIDES = ", ".join(f"({r}, {a[0]!r}, {a[1]!r}, {b[0]!r}, {b[1]!r})" for r, ring in enumerate((_STAR, _HOLE)) for a, b in zip(ring, ring[-1:] + ring[:-1], strict=True))
+
+
+def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").selectExpr("o_orderkey", *(f"{e} AS {n}" for e, n in (
+        ("CAST((o_custkey * 7919 + o_orderkey * 31) % 20000 AS DOUBLE)", "px"), ("CAST((o_orderkey * 104729) % 1600 AS DOUBLE)", "py"),
+        ("CAST(CASE o_orderkey % 4 WHEN 0 THEN 3.0 WHEN 1 THEN 11.0 WHEN 2 THEN 45.0 ELSE 170.0 END AS DOUBLE)", "r"), ("o_orderkey % 3 = 0", "hole"),
+    )))
+    ring = lambda shape: F.array(*(F.struct((F.col("px") + F.col("r") * x).alias("x"), (F.col("py") + F.col("r") * y).alias("y")) for x, y in shape))
+    rings = F.when(F.col("hole"), F.array(ring(_STAR), ring(_HOLE))).otherwise(F.array(ring(_STAR)))
+    px, py, r = F.col("px"), F.col("py"), F.col("r")
+    return rows.select((F.col("o_orderkey") % 2).cast("int").alias("tier"), F.col("o_orderkey").cast("int").alias("ordinal"), F.concat(F.lit("parcel "), F.col("o_orderkey").cast("string")).alias("name"), F.lit("P").alias("prefix"), (px - r).alias("xmin"), (py - r).alias("ymin"), (px + r).alias("xmax"), (py + r).alias("ymax"), rings.alias("rings"))
+
+
+@register(f"""
+WITH q AS ({_PARCELS}), s(ring, ax, ay, bx, by_) AS (VALUES {_SIDES}),
+p AS (SELECT c_custkey, c_acctbal * 2 AS x, CAST(c_custkey % 1600 AS DOUBLE) AS y FROM customer),
+near AS (SELECT c_custkey, x, y, o_orderkey, px, py, r, hole FROM p JOIN q ON x BETWEEN px - r AND px + r AND y BETWEEN py - r AND py + r),
+e AS (SELECT c_custkey, o_orderkey, ring, x, y, px + r * ax AS ax, py + r * ay AS ay, px + r * bx AS bx, py + r * by_ AS by_ FROM near, s WHERE ring = 0 OR hole),
+t AS (
+  SELECT c_custkey, o_orderkey, ring,
+    bool_or(abs((x - ax) * (by_ - ay) - (y - ay) * (bx - ax)) <= 1e-9 AND x >= least(ax, bx) - 1e-9 AND x <= greatest(ax, bx) + 1e-9 AND y >= least(ay, by_) - 1e-9 AND y <= greatest(ay, by_) + 1e-9) AS on_edge,
+    sum(CASE WHEN (ay > y) <> (by_ > y) AND x < (bx - ax) * (y - ay) / nullif(by_ - ay, 0) + ax THEN 1 ELSE 0 END) AS crossings
+  FROM e GROUP BY ALL
+), inside AS (SELECT c_custkey, o_orderkey FROM t GROUP BY ALL HAVING sum(CASE WHEN on_edge OR crossings % 2 = 1 THEN 1 ELSE 0 END) % 2 = 1)
+SELECT c_custkey, 'parcel ' || arg_min(o_orderkey, (o_orderkey % 2) * 1000000000000 + o_orderkey) AS parcel FROM inside GROUP BY 1
+""")
+def point_parcel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers placed among as many polygons as there are orders: by cells, without a nested loop."""
+    points = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_acctbal") * 2).alias("x"), (F.col("c_custkey") % 1600).cast("double").alias("y"))
+    return resolver.first_polygon(points, parcels(spark, sf_dir), "c_custkey", "x", "y").select("c_custkey", F.col("name").alias("parcel"))
+
+
 @register("SELECT s_suppkey, 'POINT(' || CAST(CAST(s_acctbal AS DECIMAL(12, 2)) AS VARCHAR) || ' ' || CAST(s_suppkey AS VARCHAR) || ')' AS wkt FROM supplier")
 def wkt_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", geometry.wkt_point(F.col("s_acctbal").cast("decimal(12,2)"), F.col("s_suppkey")).alias("wkt"))

@@ -25,7 +25,7 @@ from .common import staged, text_batches
 MIN_COUNT, MAX_WORDS, TOP, COVERED_PERCENT = 10, 3, 2000, 50
 NO_LANG = "und"
 #: Bytes of text and words of one suffix array, and rows handed to Spark at once.
-SHARD_BYTES, SHARD_WORDS, OUT_ROWS = 16_000_000, 4_000_000, 100_000
+SHARD_BYTES, SHARD_WORDS, OUT_ROWS = 4_000_000, 1_000_000, 50_000
 #: Parts in which a language's candidates are ranked before the best of each are ranked together.
 RANK_PARTS = 64
 
@@ -182,18 +182,18 @@ def gram_key(lang: Column, phrase: Column) -> Column:
 def _counter(sizes: tuple[int, ...], filter_array=None, shard_bytes: int = SHARD_BYTES, shard_words: int = SHARD_WORDS):
     """The function that counts phrases of `sizes` words; with a filter those whose shorter phrases it lets through."""
 
-    def counted(texts: list[bytes], langs: list[str]) -> Iterator[pa.RecordBatch]:
+    def counted(texts: list[bytes], langs: list[str]) -> Iterator[pa.Table]:
         words = words_of(texts, langs)
-        tables = [] if filter_array is not None or not len(words.word) else [_totals(words)]
+        texts.clear()
+        if filter_array is None and len(words.word):
+            yield _totals(words)
         for part, own in parts(words, max(sizes), shard_words):
             live = None
             if filter_array is not None:
                 possible = bloom.possible_in(filter_array.value, gram_keys(part, max(sizes) - 1))
                 live = part.reaches(max(sizes))
                 live[:-1] &= possible[:-1] & possible[1:]
-            tables.extend(phrase_counts(part, own, sizes, live))
-        for found in tables:
-            yield from found.to_batches(OUT_ROWS)
+            yield from phrase_counts(part, own, sizes, live)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, langs, size = [], [], 0
@@ -203,10 +203,12 @@ def _counter(sizes: tuple[int, ...], filter_array=None, shard_bytes: int = SHARD
                 langs.append(lang)
                 size += len(text)
                 if size >= shard_bytes:
-                    yield from counted(texts, langs)
+                    for table in counted(texts, langs):
+                        yield from table.to_batches(OUT_ROWS)
                     texts, langs, size = [], [], 0
         if texts:
-            yield from counted(texts, langs)
+            for table in counted(texts, langs):
+                yield from table.to_batches(OUT_ROWS)
 
     return run
 

@@ -7,15 +7,14 @@
 3. else by equal name within the radius: one matches, several are ambiguous;
 4. else the row is new.
 
-Rows don't influence each other. Each stage is an equi-join followed by one aggregation, and a row
-decided by a stage takes no part in later ones. Names are joined with the grid cell of the point
-(cells as wide as the radius, the row's and its eight neighbours), so a common name does not bring
-all its candidates together.
+Rows don't influence each other, and a row decided by a stage takes no part in later ones. No stage
+joins the rows of a number or name with all its candidates: candidates are counted once for each
+number, and those within the radius are found through grid cells (`near`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.projection import distance
@@ -23,6 +22,47 @@ from ..functions.projection import distance
 RADIUS_M = 25.0
 
 
+#: Cells of the first step of `near` across a radius, and the cells about a point's own that lie within the radius wherever in it the point is.
+CELLS = 4
+_SURE = [(i, j) for i in range(-CELLS, CELLS + 1) for j in range(-CELLS, CELLS + 1) if (abs(i) + 1) ** 2 + (abs(j) + 1) ** 2 < CELLS**2]
+
+
+def near(rows: DataFrame, candidates: DataFrame, keys: list[str], radius: float) -> DataFrame:
+    """(record_number, n, one) for rows (record_number, keys, x, y) with candidates (candidate_id, keys, cx, cy) of equal keys within the radius.
+
+    n is 1, with the candidate and its distance d in `one`, or 2 for several, without. First, small
+    cells are counted, and rows whose own and adjoining cells hold several candidates are done; so
+    crowds of rows and candidates in one place are never paired. The others meet the candidates of the
+    nine cells of the radius' width about them.
+    """
+    rows = rows.select("record_number", *keys, "x", "y").where("x is not null and y is not null and not isnan(x) and not isnan(y)")
+    candidates = candidates.select("candidate_id", *keys, "cx", "cy").where("cx is not null and cy is not null and not isnan(cx) and not isnan(cy)")
+
+    def cell(c: str, width: float) -> Column:
+        return F.floor(F.col(c) / width).cast("long")
+
+    def around(i: Column, j: Column, offsets: list[tuple[int, int]]) -> Column:
+        return F.explode(F.array(*(F.struct((i + a).alias("i"), (j + b).alias("j")) for a, b in offsets)))
+
+    small = radius / CELLS
+    held = candidates.groupBy(*keys, cell("cx", small).alias("ci"), cell("cy", small).alias("cj")).agg(F.count("*").alias("n"))
+    held = held.select(*keys, "n", around(F.col("ci"), F.col("cj"), _SURE).alias("p"))
+    crowded = held.groupBy(*keys, F.col("p.i").alias("i"), F.col("p.j").alias("j")).agg(F.sum("n").alias("n")).where("n > 1").drop("n").withColumn("crowded", F.lit(True))
+    placed = rows.withColumn("i", cell("x", small)).withColumn("j", cell("y", small)).join(crowded, [*keys, "i", "j"], "left").drop("i", "j")
+    who = F.struct("candidate_id", "d")
+    several = placed.where("crowded").select("record_number", F.lit(2).cast("long").alias("n"), F.lit(None).cast(_who_type(candidates)).alias("one"))
+
+    probes = placed.where("crowded is null").select("record_number", *keys, "x", "y", around(cell("x", radius), cell("y", radius), [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]).alias("p")).select("record_number", *keys, "x", "y", "p.i", "p.j")
+    cells = candidates.withColumn("i", cell("cx", radius)).withColumn("j", cell("cy", radius))
+    met = probes.join(cells, [*keys, "i", "j"]).withColumn("d", distance(F.col("x"), F.col("y"), F.col("cx"), F.col("cy"))).where(F.col("d") <= radius)
+    counted = met.groupBy("record_number").agg(F.count("*").alias("n"), F.min(who).alias("one"))
+    return counted.select("record_number", F.least("n", F.lit(2)).alias("n"), F.when(F.col("n") == 1, F.col("one")).alias("one")).unionByName(several)
+
+
+def _who_type(candidates: DataFrame) -> str:
+    return f"struct<candidate_id:{candidates.schema['candidate_id'].dataType.simpleString()},d:double>"
+
+
 def match_cascade(rows: DataFrame, candidates: DataFrame, radius: float = RADIUS_M, source_counts: DataFrame | None = None) -> DataFrame:
     """`rows` (record_number, globalid, nr, name_norm, x, y) against `candidates` (candidate_id, globalid, nr, name_norm, x, y).
 
@@ -51,16 +91,15 @@ def match_cascade(rows: DataFrame, candidates: DataFrame, radius: float = RADIUS
     )
     rest = rows.join(first, "record_number", "left_anti")
 
-    # Stage 2: all counts that the choice needs in one aggregation.
-    same_nr = rest.where(~blank("nr")).join(cand.where(F.coalesce("c_nr", F.lit("")) != ""), F.col("nr") == F.col("c_nr")).withColumn("d", apart)
-    close = F.coalesce(F.col("d") <= radius, F.lit(False))
-    named = ~blank("name_norm") & F.coalesce(F.col("name_norm") == F.col("c_name"), F.lit(False))
-    who = F.struct("candidate_id", "d")
-    stage = same_nr.groupBy("record_number", "nr").agg(
-        F.count("*").alias("n"), F.min(who).alias("one"),
-        F.count_if(close).alias("n_close"), F.min(F.when(close, who)).alias("one_close"),
-        F.count_if(close & named).alias("n_named"), F.min(F.when(close & named, who)).alias("one_named"),
-    ).join(counted, "nr")
+    # Stage 2: a number's candidates are counted once; who is close, and who of them is named alike, is found through cells.
+    numbered = cand.where(F.coalesce("c_nr", F.lit("")) != "")
+    of_number = numbered.groupBy("c_nr").agg(F.count("*").alias("n"), F.min(F.struct("candidate_id", "cx", "cy")).alias("o"))
+    asked = rest.where(~blank("nr"))
+    close = near(asked, numbered.withColumnRenamed("c_nr", "nr"), ["nr"], radius).select("record_number", F.col("n").alias("n_close"), F.col("one").alias("one_close"))
+    both = numbered.withColumnRenamed("c_nr", "nr").withColumnRenamed("c_name", "name_norm")
+    named = near(asked.where(~blank("name_norm")), both, ["nr", "name_norm"], radius).select("record_number", F.col("n").alias("n_named"), F.col("one").alias("one_named"))
+    stage = asked.join(of_number, F.col("nr") == F.col("c_nr")).join(counted, "nr").join(close, "record_number", "left").join(named, "record_number", "left")
+    stage = stage.withColumn("one", F.struct(F.col("o.candidate_id").alias("candidate_id"), distance(F.col("x"), F.col("y"), F.col("o.cx"), F.col("o.cy")).alias("d")))
     often = F.col("source_nr") > 1
     strategy = (
         F.when(often & (F.col("n_named") == 1), "nr_inwent_name_distance")
@@ -81,13 +120,9 @@ def match_cascade(rows: DataFrame, candidates: DataFrame, radius: float = RADIUS
     )
     rest = rest.join(second, "record_number", "left_anti")
 
-    # Stage 3: name and grid cell.
-    cell = lambda c: F.floor(F.col(c) / radius).cast("long")
-    near = F.array(*(F.struct((cell("x") + i).alias("i"), (cell("y") + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    probes = rest.where(~blank("name_norm") & F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn("p", F.explode(near)).select("record_number", "name_norm", "x", "y", "p.i", "p.j")
-    cells = cand.where("cx is not null and cy is not null").withColumn("i", cell("cx")).withColumn("j", cell("cy")).withColumnRenamed("c_name", "name_norm")
-    found = probes.join(cells, ["name_norm", "i", "j"]).withColumn("d", apart).where(F.col("d") <= radius)
-    third = found.groupBy("record_number").agg(F.count("*").alias("n"), F.min(who).alias("c")).select(
+    # Stage 3: the same by name alone.
+    found = near(rest.where(~blank("name_norm")), cand.where(F.coalesce("c_name", F.lit("")) != "").withColumnRenamed("c_name", "name_norm"), ["name_norm"], radius)
+    third = found.withColumnRenamed("one", "c").select(
         "record_number",
         F.when(F.col("n") == 1, "matched").otherwise("unresolved").alias("status"),
         F.when(F.col("n") == 1, "name_distance").alias("strategy"),

@@ -208,9 +208,8 @@ _PART = "p_partkey, p_brand || '/' || p_type || '/' || CAST(p_size AS VARCHAR) A
 _DISTANCE = "sqrt((s.x - c.x) ** 2 + (s.y - c.y) ** 2)"
 
 
-@register(f"""
-WITH s AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 5 = 0 THEN p_partkey + 1 END AS g, * FROM (SELECT {_PART} FROM part) WHERE p_partkey % 2 = 0),
-c AS (SELECT p_partkey AS k, * FROM (SELECT {_PART} FROM part) WHERE p_partkey % 2 = 1),
+#: The cascade in SQL, given s (source rows) and c (candidates) with k, g, nr, name_norm, x and y.
+_CASCADE = f"""
 counts AS (SELECT nr, count(*) AS source_nr FROM s GROUP BY 1),
 one AS (SELECT s.k, count(*) AS n, min(c.k) AS ck, min({_DISTANCE}) AS d FROM s JOIN c ON s.g = c.k GROUP BY 1),
 r1 AS (SELECT k, CASE n WHEN 1 THEN 'matched' ELSE 'unresolved' END AS status, CASE n WHEN 1 THEN 'globalid' END AS strategy, CASE n WHEN 1 THEN ck END AS ck, CASE n WHEN 1 THEN d END AS d, CASE WHEN n > 1 THEN 'GLOBALID_AMBIGUOUS' END AS issue FROM one),
@@ -229,7 +228,13 @@ three AS (SELECT s.k, count(*) AS n, min(c.k) AS ck, arg_min({_DISTANCE}, c.k) A
 r3 AS (SELECT k, CASE n WHEN 1 THEN 'matched' ELSE 'unresolved' END AS status, CASE n WHEN 1 THEN 'name_distance' END AS strategy, CASE n WHEN 1 THEN ck END AS ck, CASE n WHEN 1 THEN d END AS d, CASE WHEN n > 1 THEN 'NAME_DISTANCE_AMBIGUOUS' END AS issue FROM three),
 r AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3)
 SELECT s.k AS record_number, coalesce(status, 'new') AS status, strategy, ck AS candidate_id, round(d, 3) AS distance_m, issue FROM s LEFT JOIN r ON s.k = r.k
-""")
+"""
+
+
+@register(f"""
+WITH s AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 5 = 0 THEN p_partkey + 1 END AS g, * FROM (SELECT {_PART} FROM part) WHERE p_partkey % 2 = 0),
+c AS (SELECT p_partkey AS k, * FROM (SELECT {_PART} FROM part) WHERE p_partkey % 2 = 1),
+{_CASCADE}""")
 def match_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("/", "p_brand", "p_type", F.col("p_size").cast("string")).alias("nr"), text.normalize_name(F.col("p_name")).alias("name_norm"), F.col("p_retailprice").alias("x"), F.col("p_size").cast("double").alias("y"))
     source = part.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("record_number"), F.when(F.col("p_partkey") % 5 == 0, (F.col("p_partkey") + 1).cast("string")).alias("globalid"), "nr", "name_norm", "x", "y")
@@ -237,6 +242,22 @@ def match_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.match_cascade(source, candidates).withColumn("distance_m", F.round("distance_m", 3))
 
 
+# A third of the orders and of the customers have one number, and most of these one place of some metres.
+_SPOT = "CASE WHEN {k} % 3 = 0 THEN 'HOT' ELSE 'N' || CAST({c} AS {text}) END AS nr, 'name ' || CAST({k} % 7 AS {text}) AS name_norm, CASE WHEN {k} % 21 = 0 THEN CAST({k} % 1000 AS DOUBLE) ELSE CAST({k} % 13 AS DOUBLE) / 4 END AS x, CAST({c} % 11 AS DOUBLE) / 2 AS y"
+_SPOT_S, _SPOT_C = (lambda text: _SPOT.format(k="o_orderkey", c="o_custkey", text=text)), (lambda text: _SPOT.format(k="c_custkey", c="c_custkey", text=text))
+
+
+@register(f"""
+WITH s AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 50 = 0 THEN o_custkey END AS g, {_SPOT_S("VARCHAR")} FROM orders),
+c0 AS (SELECT c_custkey AS k, {_SPOT_C("VARCHAR")} FROM customer), c AS (SELECT k, k AS g, nr, name_norm, x, y FROM c0), {_CASCADE}
+""")
+def match_hot_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cascade where one number and one place hold a third of all rows."""
+    source = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS record_number", "CASE WHEN o_orderkey % 50 = 0 THEN CAST(o_custkey AS STRING) END AS globalid", _SPOT_S("STRING").partition(" AS nr, ")[0] + " AS nr", *_SPOT_S("STRING").partition(" AS nr, ")[2].split(", "))
+    candidates = table(spark, sf_dir, "customer").selectExpr("c_custkey AS candidate_id", "CAST(c_custkey AS STRING) AS globalid", _SPOT_C("STRING").partition(" AS nr, ")[0] + " AS nr", *_SPOT_C("STRING").partition(" AS nr, ")[2].split(", "))
+    return matching.match_cascade(source, candidates).withColumn("distance_m", F.round("distance_m", 3))
+
+
 @register("""
 WITH seed AS (SELECT s_nationkey AS k, count(*) AS seed FROM supplier GROUP BY 1)
 SELECT c_custkey, upper(left(n_name, 3)) || '-' || lpad(CAST(coalesce(seed, 0) + row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) AS VARCHAR), CAST(greatest(4, length(CAST(coalesce(seed, 0) + row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) AS VARCHAR))) AS INT), '0') AS new_id

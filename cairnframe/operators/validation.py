@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from ..functions.projection import MAX_ERROR_M, to_plane
 from ..functions.text import is_http_url, is_url_like
 from ..sources.catalog import Catalog
 from .best import best_measurement_id, declared_measurement, only_rejected
-from .json_schema import schema_issues
+from .json_schema import USUAL_FORMATS, schema_issues
 from .materialize import cut_lineage
 from .resolver import Resolver
 
@@ -21,15 +22,17 @@ ERROR, WARNING = "error", "warning"
 MAX_DISTANCE_M = 100.0
 #: Paths that the text of an issue names.
 SHOWN_PATHS = 20
+#: Parts of a key's rows of which each finds its first paths, and errors that a refusal to publish brings to the driver.
+PARTS, SHOWN_ERRORS = 128, 100
 ISSUE = ["family", "code", "severity", "path", "description"]
 
 
 class CatalogInvalidError(ValueError):
-    """Raised where errors forbid publishing; holds the issues."""
+    """Raised where errors forbid publishing; holds their number and the first of them."""
 
-    def __init__(self, issues: list) -> None:
-        super().__init__(f"{len(issues)} errors, first: {issues[0].code if issues else ''}")
-        self.issues = issues
+    def __init__(self, issues: list, total: int) -> None:
+        super().__init__(f"{total} errors, first: {issues[0].code if issues else ''}")
+        self.issues, self.total = issues, total
 
 
 def issue(rows: DataFrame, family: int, code: str, severity: str, description: Column, where: Column | None = None) -> DataFrame:
@@ -58,17 +61,26 @@ def with_planes(objects: DataFrame) -> DataFrame:
     return objects.withColumn("planes", F.transform("measurements", plane))
 
 
+def least_of_each(rows: DataFrame, key: str, value: str, k: int) -> DataFrame:
+    """(key, value, turn) of the k least values of each key.
+
+    A key's rows are dealt to parts, each part hands on its k least, and only these meet: a key that
+    very many rows share comes to PARTS times k rows in one task.
+    """
+    turn = lambda *keys: F.row_number().over(W.partitionBy(*keys).orderBy(value))
+    some = rows.select(key, value, F.pmod(F.xxhash64(value), F.lit(PARTS)).alias("part")).withColumn("turn", turn(key, "part")).where(F.col("turn") <= k)
+    return some.select(key, value).withColumn("turn", turn(key)).where(F.col("turn") <= k)
+
+
 def shared_paths(rows: DataFrame, key: str) -> DataFrame:
     """(key, paths) of keys in several rows: how many, and the first `SHOWN_PATHS` paths, so that no cell grows with a key's rows."""
     n = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-    turn = F.row_number().over(W.partitionBy(key).orderBy("path"))
-    first = rows.join(n.select(key), key, "left_semi").withColumn("turn", turn).where(F.col("turn") <= SHOWN_PATHS)
-    first = first.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("path")), ", ").alias("paths"))
+    first = least_of_each(rows, key, "path", SHOWN_PATHS).groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("path")), ", ").alias("paths"))
     more = F.when(F.col("n") > SHOWN_PATHS, F.concat(F.lit(" and "), (F.col("n") - SHOWN_PATHS).cast("string"), F.lit(" more"))).otherwise("")
     return n.join(first, key).select(key, F.concat("paths", more).alias("paths"))
 
 
-def record_issues(catalog: Catalog, schemas: dict[str, dict] | None) -> list[DataFrame]:
+def record_issues(catalog: Catalog, schemas: dict[str, dict] | None, formats: Collection[str] = USUAL_FORMATS) -> list[DataFrame]:
     """Reading, schema version, schema, and file name."""
     out = [issue(catalog.issues_of_reading(), 0, "YAML_INVALID", ERROR, F.col("parse_error"))]
     for kind, df in (("object", catalog.objects), ("cave", catalog.caves), ("relation", catalog.relations)):
@@ -76,7 +88,7 @@ def record_issues(catalog: Catalog, schemas: dict[str, dict] | None) -> list[Dat
         version = F.get_json_object("raw", "$.schema_version")
         out.append(issue(good, 1, "SCHEMA_VERSION_INVALID", ERROR, F.concat(F.lit("schema_version is "), F.coalesce(version, F.lit("missing"))), ~F.coalesce(version.isin("1", "1.0"), F.lit(False))))
         if schemas and kind in schemas:
-            out.append(issue(schema_issues(good, schemas[kind]), 1, "SCHEMA_VALIDATION", ERROR, F.col("description")))
+            out.append(issue(schema_issues(good, schemas[kind], formats), 1, "SCHEMA_VALIDATION", ERROR, F.col("description")))
         out.append(issue(good, 2, "FILE_ID_MISMATCH", ERROR, F.concat(F.lit(f"the path does not fit {kind} "), F.col("id")), F.col("id").isNotNull() & ~path_matches(F.lit(kind), F.col("path"), F.col("id"))))
     return out
 
@@ -151,17 +163,17 @@ def measurement_issues(catalog: Catalog, resolver: Resolver | None) -> list[Data
     return out
 
 
-def validate(catalog: Catalog, resolver: Resolver | None = None, schemas: dict[str, dict] | None = None, files: DataFrame | None = None) -> DataFrame:
+def validate(catalog: Catalog, resolver: Resolver | None = None, schemas: dict[str, dict] | None = None, files: DataFrame | None = None, formats: Collection[str] = USUAL_FORMATS) -> DataFrame:
     """All issues (family, code, severity, path, description); families are in the order of reporting.
 
     Without a resolver the rules that need polygons are left out, without `files` (a column `file`)
-    the rule for local attachments. If any record can't be read, only that is reported. Records are
+    the rule for local attachments; `formats` names the formats of the schemas that are enforced. If any record can't be read, only that is reported. Records are
     read once, into a checkpoint that all rules share.
     """
     catalog = Catalog(*map(cut_lineage, (with_planes(catalog.objects), catalog.caves, catalog.relations)))
     if catalog.issues_of_reading().limit(1).count():
         return record_issues(catalog, None)[0]
-    return reduce(DataFrame.unionByName, [*record_issues(catalog, schemas), *reference_issues(catalog), *object_issues(catalog, files), *measurement_issues(catalog, resolver)])
+    return reduce(DataFrame.unionByName, [*record_issues(catalog, schemas, formats), *reference_issues(catalog), *object_issues(catalog, files), *measurement_issues(catalog, resolver)])
 
 
 def has_errors(issues: DataFrame) -> bool:
@@ -169,9 +181,10 @@ def has_errors(issues: DataFrame) -> bool:
 
 
 def require_valid(issues: DataFrame) -> DataFrame:
-    """The issues, or an exception with the errors among them."""
+    """The issues, or an exception with the number of errors and the first of them."""
     if has_errors(issues):
-        raise CatalogInvalidError(issues.where(F.col("severity") == ERROR).orderBy("family", "path", "code").collect())
+        errors = issues.where(F.col("severity") == ERROR)
+        raise CatalogInvalidError(errors.orderBy("family", "path", "code").limit(SHOWN_ERRORS).collect(), errors.count())
     return issues
 
 

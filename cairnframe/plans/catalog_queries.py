@@ -6,14 +6,12 @@ They run over `sample_catalog`; the SQL derives the same rows from the flat tabl
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import validation
-from ..operators.json_schema import schema_issues
-from ..operators.materialize import cut_lineage
+from ..operators.json_schema import FORMATS, schema_issues
 from ..sinks import export, snapshot
 from .sample_catalog import AREAS, FLAT_SQL, WHEN, sample_catalog, sample_files, sample_resolver
 
@@ -80,12 +78,6 @@ def all_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.validate(sample_catalog(spark, sf_dir), sample_resolver(spark), None, sample_files(spark, sf_dir))
 
 
-@lru_cache(maxsize=2)
-def known_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, written down once in a session for the queries that show them in other forms."""
-    return cut_lineage(all_issues(spark, sf_dir))
-
-
 @register(f"{FLAT_SQL} {RULES} SELECT * FROM issues")
 def validate_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules but those of reading and of JSON schemas, which have queries of their own."""
@@ -94,7 +86,7 @@ def validate_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"{FLAT_SQL} {RULES} SELECT concat_ws(chr(9), code, severity, path, description) AS line FROM issues")
 def issue_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validation.formatted(known_issues(spark, sf_dir))
+    return validation.formatted(all_issues(spark, sf_dir))
 
 
 @register(f"{FLAT_SQL} SELECT 0 AS family, 'YAML_INVALID' AS code, 'error' AS severity, path, 'the root is no mapping' AS description FROM c WHERE lists_lost")
@@ -124,6 +116,38 @@ def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_issues(relations.withColumn("raw", written), SCHEMA)
 
 
+# Schemas of the sample's three kinds of records; an object's `raw` has its version only.
+OBJECT_SCHEMA = {"type": "object", "required": ["schema_version"], "properties": {"schema_version": {"type": "integer", "minimum": 1, "maximum": 1}}}
+CAVE_SCHEMA = {
+    "allOf": [{"$ref": "#/$defs/record"}, {"if": {"properties": {"object_ids": {"minItems": 2}}}, "then": {"properties": {"id": {"pattern": "[02468]$"}}}}],
+    "$defs": {"record": {"type": "object", "properties": {"id": {"type": "string"}, "created_at": {"type": "string", "format": "date-time"}, "updated_at": {"format": "date-time"}, "object_ids": {"type": "array", "minItems": 1, "items": {"type": "string", "pattern": "^[A-Z]+-[0-9]+$"}}, "link": {"type": "string", "format": "uri"}}}},
+}
+SCHEMA_ROWS = """
+SELECT 1 AS family, 'SCHEMA_VALIDATION' AS code, 'error' AS severity, path, 'relation_type: ''' || kind || ''' is not one of [''BUILDING'', ''HOUSEHOLD'', ''AUTOMOBILE'']' AS description FROM rp WHERE kind NOT IN ('BUILDING', 'HOUSEHOLD', 'AUTOMOBILE')
+UNION ALL SELECT 1, 'SCHEMA_VALIDATION', 'error', path, 'to_object_id: ''' || to_id || ''' does not match ''^[A-Z]+-[0-9]+$''' FROM rp WHERE to_id = 'KSW-none'
+UNION ALL SELECT 1, 'SCHEMA_VALIDATION', 'error', path, 'id: ''' || id || ''' is too short' FROM rp WHERE length(id) < 4
+UNION ALL SELECT 1, 'SCHEMA_VALIDATION', 'error', path, '<root>: ''schema_version'' is unexpected' FROM rp
+UNION ALL SELECT 1, 'SCHEMA_VALIDATION', 'error', path, CASE WHEN raw = '{"other": 1}' THEN '<root>: ''schema_version'' is required' ELSE 'schema_version: 2 is more than 1' END FROM o WHERE raw <> '{"schema_version": 1}'
+UNION ALL SELECT 1, 'SCHEMA_VALIDATION', 'error', path, 'object_ids.1: ''KSW-lost'' does not match ''^[A-Z]+-[0-9]+$''' FROM c WHERE lists_lost
+UNION ALL SELECT 1, 'SCHEMA_VALIDATION', 'error', path, 'link: ''not a link'' is not a URI' FROM c WHERE k % 5 = 0
+UNION ALL SELECT 1, 'SCHEMA_VALIDATION', 'error', path, 'updated_at: ''2024-05-01'' is not a date and time' FROM c WHERE k % 7 = 0
+"""
+
+
+@register(f"{FLAT_SQL} {RULES}, rp AS (SELECT 'relations/' || id || '.yml' AS path, * FROM r) SELECT * FROM issues UNION ALL {SCHEMA_ROWS}")
+def validate_with_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules over records with their JSON texts, schemas of all kinds and all formats included; no Python runs in it."""
+    catalog = sample_catalog(spark, sf_dir)
+    relations = catalog.relations.withColumn("raw", F.to_json(F.struct("schema_version", "id", "from_object_id", "to_object_id", "relation_type")))
+    number = F.regexp_extract("id", "[0-9]+", 0).cast("long")
+    link = F.when(number % 5 == 0, "not a link").otherwise("https://host/x").alias("link")
+    updated = F.when(number % 7 == 0, "2024-05-01").otherwise(F.col("updated_at")).alias("updated_at")
+    caves = catalog.caves.withColumn("raw", F.to_json(F.struct("schema_version", "id", "name", "object_ids", "created_at", updated, link)))
+    schemas = {"object": OBJECT_SCHEMA, "cave": CAVE_SCHEMA, "relation": SCHEMA}
+    issues = validation.validate(type(catalog)(catalog.objects, caves, relations), sample_resolver(spark), schemas, sample_files(spark, sf_dir), FORMATS)
+    return issues.select(*validation.ISSUE)
+
+
 # Snapshot and release ---------------------------------------------------------------------------
 
 _AT = f"CAST(NULL AS VARCHAR) AS notes, '{WHEN}' AS created_at, 'sample' AS created_by, '{WHEN}' AS updated_at, 'sample' AS updated_by"
@@ -165,12 +189,12 @@ for _name, _text in SNAPSHOT_SQL.items():
 SELECT unnest(['cave_count', 'generated_at', 'measurement_count', 'object_count', 'relation_count', 'schema_version', 'validation_error_count', 'validation_warning_count']) AS key, unnest([c::VARCHAR, '{WHEN}', m::VARCHAR, o::VARCHAR, r::VARCHAR, '{snapshot.SNAPSHOT_VERSION}', e::VARCHAR, w::VARCHAR]) AS value FROM n
 """)
 def snapshot_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), known_issues(spark, sf_dir), WHEN)["metadata"].select("key", "value")
+    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), all_issues(spark, sf_dir), WHEN)["metadata"].select("key", "value")
 
 
 @register(f"{FLAT_SQL} {RULES} SELECT code, severity, path, description FROM issues")
 def snapshot_validation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), known_issues(spark, sf_dir), WHEN)["validation_flags"].select(*snapshot.columns_of("validation_flags"))
+    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), all_issues(spark, sf_dir), WHEN)["validation_flags"].select(*snapshot.columns_of("validation_flags"))
 
 
 @register(f"""{FLAT_SQL}, src AS (SELECT k, string_agg(g, ';' ORDER BY n) AS gs FROM (SELECT k, n, regexp_extract(source_ref, '^TPN:(\\{{.*\\}})$', 1) AS g FROM m) WHERE g <> '' GROUP BY 1),

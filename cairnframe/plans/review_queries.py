@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +41,6 @@ def register(sql: str):  # noqa: ANN201
     return add
 
 
-@lru_cache(maxsize=2)
 def sample_review(spark: SparkSession, sf_dir: str) -> review.Review:
     """The log, with reports in which some proposals and updates are missing."""
     log, c = _sql(spark, sf_dir, "part", _log("STRING")), F.col

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +64,6 @@ p AS (SELECT p4.*, CASE WHEN accepted THEN p4.prefix || '-' || printf('%04d', co
 """
 
 
-@lru_cache(maxsize=2)
 def pig(spark: SparkSession, sf_dir: str) -> staging.Staging:
     return staging.build_pig_staging(pig_table(spark, sf_dir), clean_catalog(spark, sf_dir), sample_resolver(spark), WHEN)
 
@@ -147,7 +144,6 @@ fresh AS (SELECT *, 'C-' || printf('%04d', (SELECT max(x) FROM (SELECT max(k) AS
 """
 
 
-@lru_cache(maxsize=2)
 def tpn(spark: SparkSession, sf_dir: str) -> staging.Staging:
     rows = _sql(spark, sf_dir, "customer", ROWS.format(text="STRING"))
     m = flat_points(spark, sf_dir).groupBy("k").agg(F.min_by(F.struct("x", "y"), "n").alias("p"))

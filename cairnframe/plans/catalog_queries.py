@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import validation
 from ..operators.json_schema import FORMATS, schema_issues
+from ..operators.materialize import cut_lineage
 from ..sinks import export, snapshot
 from .sample_catalog import AREAS, FLAT_SQL, WHEN, sample_catalog, sample_files, sample_resolver
 
@@ -116,6 +117,17 @@ def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_issues(relations.withColumn("raw", written), SCHEMA)
 
 
+@register(f"{FLAT_SQL} {RULES} SELECT (SELECT count(*) FROM issues WHERE severity = 'error') AS errors, family, path, code FROM issues WHERE severity = 'error' ORDER BY family, path, code LIMIT {validation.SHOWN_ERRORS}")
+def refused_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a refusal to publish tells: the number of errors and the first of them."""
+    try:
+        validation.require_valid(cut_lineage(all_issues(spark, sf_dir)))
+        told = []
+    except validation.CatalogInvalidError as e:
+        told = [(e.total, r.family, r.path, r.code) for r in e.issues]
+    return spark.createDataFrame(told, "errors long, family int, path string, code string")
+
+
 # Schemas of the sample's three kinds of records; an object's `raw` has its version only.
 OBJECT_SCHEMA = {"type": "object", "required": ["schema_version"], "properties": {"schema_version": {"type": "integer", "minimum": 1, "maximum": 1}}}
 CAVE_SCHEMA = {

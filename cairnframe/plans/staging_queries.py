@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.projection import plane_sql, to_plane
+from ..operators.candidates import staged_candidates
 from ..sources.catalog import Catalog
 from . import staging
 from .catalog_queries import _PREFIX, _ZONE, Query
@@ -106,6 +107,14 @@ def pig_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects.select("record_number", "id", "category", "name_local", "cave_id", "id_assignment.assigned_prefix", *(m[c].alias(c) for c in ("lat", "lon", "x_1992", "y_1992", "elevation_m", "observed_date", "source_ref")), m["notes"].alias("measurement_notes"), "notes", F.col("best_measurement.measurement_id").alias("best"))
 
 
+@register(f"""{PIG_SQL} SELECT object_id, cave_id, trim(nr_inwent) AS nr, name, trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')) AS name_norm, 0 AS n_globalids, 'm-002' AS next_measurement_id, x, y FROM p WHERE accepted""")
+def staged_candidate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proposals of the first registry as candidates for matching the second."""
+    found = pig(spark, sf_dir)
+    rows = staged_candidates(found.rows, found.objects)
+    return rows.select("object_id", "cave_id", "nr", "name", "name_norm", F.size("globalids").alias("n_globalids"), "next_measurement_id", "x", "y")
+
+
 # The second registry: customers -------------------------------------------------------------------
 
 ROWS = """

@@ -16,7 +16,6 @@ from pathlib import Path
 
 import yaml
 from pyspark.sql import Column, DataFrame, Row, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, positive_int
@@ -148,6 +147,18 @@ def field_names(schema: str) -> list[str]:
     return names
 
 
+def with_first(rows: DataFrame, keys: list[str], where: Column) -> DataFrame:
+    """`rows` with `is_first`: whether a row is the first decision of its keys among those that `where` holds for.
+
+    The least index of each key is aggregated and joined, so that very many decisions on one record are
+    never sorted in one task.
+    """
+    least = rows.where(where).groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.min("decision_index").alias("__least"))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+    joined = rows.join(least, same, "left").withColumn("is_first", F.coalesce(F.col("decision_index") == F.col("__least"), F.lit(False)))
+    return joined.drop("__least", *(f"__{k}" for k in keys))
+
+
 def problem(rows: DataFrame, code: str, where: Column, text: Column | str, severity: str = "error") -> DataFrame:
     text = F.lit(text) if isinstance(text, str) else text
     return rows.where(where).select("decision_index", F.lit(code).alias("code"), F.lit(severity).alias("severity"), text.alias("description"))
@@ -175,8 +186,8 @@ def apply_review(spark: SparkSession, catalog: Catalog, decisions: list | DataFr
         own = log.where(F.col("action") == f"create_{kind}").withColumn("wanted", F.coalesce(F.col(f"{kind}_id"), F.col(row_id)))
         own = own.join(proposals, (own.source == proposals.source) & (F.col("wanted") == F.col(key)), "left").drop(proposals.source)
         own = own.join(final.distinct(), F.col("wanted") == F.col("k"), "left")
-        turn = F.row_number().over(W.partitionBy("wanted").orderBy(F.col(body).isNull(), "decision_index"))
-        own = cut_lineage(own.withColumn("ok", F.col(body).isNotNull() & F.col("k").isNull() & (turn == 1)).drop("k", "since"))
+        own = with_first(own, ["wanted"], F.col(body).isNotNull())
+        own = cut_lineage(own.withColumn("ok", F.col(body).isNotNull() & F.col("k").isNull() & F.col("is_first")).drop("k", "since", "is_first"))
         since = final.unionByName(own.where("ok").select(F.col("wanted").alias("k"), F.col("decision_index").alias("since")))
         return own, since.groupBy("k").agg(F.min("since").alias("since"))
 
@@ -199,8 +210,8 @@ def apply_review(spark: SparkSession, catalog: Catalog, decisions: list | DataFr
     )
     adds = adds.withColumn("mid", mid).join(bases.distinct().withColumn("taken", F.lit(True)), ["object_key", "mid"], "left")
     able = found & there & whole & F.col("taken").isNull()
-    turn = F.row_number().over(W.partitionBy("object_key", "mid").orderBy((~able).cast("int"), "decision_index"))
-    adds = cut_lineage(adds.withColumn("able", able).withColumn("ok", F.col("able") & (turn == 1)))
+    adds = with_first(adds.withColumn("able", able), ["object_key", "mid"], F.col("able"))
+    adds = cut_lineage(adds.withColumn("ok", F.col("able") & F.col("is_first")).drop("is_first"))
     issues += [
         problem(adds, "STAGING_MEASUREMENT_UPDATE_MISSING", ~found, F.concat(F.lit("no update in row "), F.col("record_number").cast("string"))),
         problem(adds, "TARGET_OBJECT_MISSING", found & ~there, F.concat(F.lit("no object "), F.coalesce("object_key", F.lit("(none)")))),

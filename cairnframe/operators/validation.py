@@ -1,4 +1,8 @@
-"""The catalogue's rules as data: each is a filter with a code, a severity and a text; the validator is their union."""
+"""The catalogue's rules as data: each is a condition with a code, a severity and a text.
+
+All that a record's own row decides is found in one pass over it; rules about references, files and
+polygons are joins. The validator is the union of both.
+"""
 
 from __future__ import annotations
 
@@ -45,12 +49,6 @@ def falsy(value: Column) -> Column:
     return F.coalesce(value, F.lit("")) == ""
 
 
-def measurement_rows(objects: DataFrame) -> DataFrame:
-    """A row for each measurement `m`, with its plane coordinates `p` (see `with_planes`)."""
-    rows = objects.select("path", F.col("id").alias("object_id"), F.posexplode(F.arrays_zip("measurements", "planes")).alias("pos", "z"))
-    return rows.select("path", "object_id", "pos", F.col("z.measurements").alias("m"), F.col("z.planes").alias("p"))
-
-
 def with_planes(objects: DataFrame) -> DataFrame:
     """`planes`: north and east of each measurement, which several rules need."""
 
@@ -80,16 +78,35 @@ def shared_paths(rows: DataFrame, key: str) -> DataFrame:
     return n.join(first, key).select(key, F.concat("paths", more).alias("paths"))
 
 
+def told(family: int, code: str, severity: str, description: Column, where: Column) -> Column:
+    """An issue of a row as a struct, null where the condition does not hold."""
+    return F.when(where, F.struct(F.lit(family).alias("family"), F.lit(code).alias("code"), F.lit(severity).alias("severity"), description.alias("description")))
+
+
+_TOLD = "array<struct<family:int,code:string,severity:string,description:string>>"
+
+
+def within_rows(rows: DataFrame, single: list[Column], lists: list[Column]) -> DataFrame:
+    """The issues that rows tell of themselves, in one pass: `single` are structs, `lists` arrays of structs."""
+    found = F.concat(F.array(*single), *(F.coalesce(x, F.array().cast(_TOLD)) for x in lists)).cast(_TOLD)
+    return rows.select("path", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x")).select("x.family", "x.code", "x.severity", "path", "x.description")
+
+
+def record_rules(kind: str) -> list[Column]:
+    """Schema version and file name."""
+    version = F.get_json_object("raw", "$.schema_version")
+    return [
+        told(1, "SCHEMA_VERSION_INVALID", ERROR, F.concat(F.lit("schema_version is "), F.coalesce(version, F.lit("missing"))), ~F.coalesce(version.isin("1", "1.0"), F.lit(False))),
+        told(2, "FILE_ID_MISMATCH", ERROR, F.concat(F.lit(f"the path does not fit {kind} "), F.col("id")), F.col("id").isNotNull() & ~path_matches(F.lit(kind), F.col("path"), F.col("id"))),
+    ]
+
+
 def record_issues(catalog: Catalog, schemas: dict[str, dict] | None, formats: Collection[str] = USUAL_FORMATS) -> list[DataFrame]:
-    """Reading, schema version, schema, and file name."""
-    out = [issue(catalog.issues_of_reading(), 0, "YAML_INVALID", ERROR, F.col("parse_error"))]
+    """What caves and relations tell of themselves, and the schemas of all kinds."""
+    out = [within_rows(df.where("parse_error is null"), record_rules(kind), []) for kind, df in (("cave", catalog.caves), ("relation", catalog.relations))]
     for kind, df in (("object", catalog.objects), ("cave", catalog.caves), ("relation", catalog.relations)):
-        good = df.where("parse_error is null")
-        version = F.get_json_object("raw", "$.schema_version")
-        out.append(issue(good, 1, "SCHEMA_VERSION_INVALID", ERROR, F.concat(F.lit("schema_version is "), F.coalesce(version, F.lit("missing"))), ~F.coalesce(version.isin("1", "1.0"), F.lit(False))))
         if schemas and kind in schemas:
-            out.append(issue(schema_issues(good, schemas[kind], formats), 1, "SCHEMA_VALIDATION", ERROR, F.col("description")))
-        out.append(issue(good, 2, "FILE_ID_MISMATCH", ERROR, F.concat(F.lit(f"the path does not fit {kind} "), F.col("id")), F.col("id").isNotNull() & ~path_matches(F.lit(kind), F.col("path"), F.col("id"))))
+            out.append(issue(schema_issues(df.where("parse_error is null"), schemas[kind], formats), 1, "SCHEMA_VALIDATION", ERROR, F.col("description")))
     return out
 
 
@@ -102,12 +119,6 @@ def reference_issues(catalog: Catalog) -> list[DataFrame]:
     cave_ids = caves.select(F.col("id").alias("ref")).where("ref is not null").distinct()
     lost = objects.where(~falsy(F.col("cave_id"))).select("path", F.col("cave_id").alias("ref")).join(cave_ids, "ref", "left_anti")
     out.append(issue(lost, 4, "CAVE_REFERENCE_MISSING", ERROR, F.concat(F.lit("no cave "), F.col("ref"))))
-    own = F.transform("measurements", lambda m: m["id"])
-    best = F.col("best_measurement")
-    out.append(issue(objects, 4, "BEST_MEASUREMENT_MISSING", ERROR, F.concat(F.lit("no measurement "), best["measurement_id"]), best["measurement_id"].isNotNull() & ~F.coalesce(F.array_contains(own, best["measurement_id"]), F.lit(False))))
-    out.append(issue(objects, 4, "BEST_MEASUREMENT_MANUAL_REASON_REQUIRED", ERROR, F.lit("a manual choice needs a reason"), (best["mode"] == "manual") & falsy(best["reason"])))
-    attached = objects.select("path", own.alias("own"), F.explode("attachments").alias("a")).where(~falsy(F.col("a.measurement_id")))
-    out.append(issue(attached, 4, "ATTACHMENT_MEASUREMENT_MISSING", ERROR, F.concat(F.lit("no measurement "), F.col("a.measurement_id")), ~F.coalesce(F.array_contains("own", F.col("a.measurement_id")), F.lit(False))))
     listed = caves.select("path", F.explode("object_ids").alias("ref")).join(object_ids, "ref", "left_anti")
     out.append(issue(listed, 4, "CAVE_OBJECT_REFERENCE_MISSING", ERROR, F.concat(F.lit("no object "), F.col("ref"))))
     ends = relations.select("path", F.explode(F.array("from_object_id", "to_object_id")).alias("ref")).where("ref is not null").join(object_ids, "ref", "left_anti")
@@ -117,49 +128,73 @@ def reference_issues(catalog: Catalog) -> list[DataFrame]:
     return out
 
 
-def object_issues(catalog: Catalog, files: DataFrame | None) -> list[DataFrame]:
-    """Warnings of one object's own fields, and its attachments."""
+def object_rules() -> tuple[list[Column], list[Column]]:
+    """Rules that an object's own row decides: single issues, and lists over its attachments, references and measurements."""
+    best, own = F.col("best_measurement"), F.transform("measurements", lambda m: m["id"])
+    among = lambda i: F.coalesce(F.array_contains(own, i), F.lit(False))
+    auto, computed = best["mode"] == "auto", best_measurement_id(F.col("measurements"))
+    single = record_rules("object") + [
+        told(4, "BEST_MEASUREMENT_MISSING", ERROR, F.concat(F.lit("no measurement "), best["measurement_id"]), best["measurement_id"].isNotNull() & ~among(best["measurement_id"])),
+        told(4, "BEST_MEASUREMENT_MANUAL_REASON_REQUIRED", ERROR, F.lit("a manual choice needs a reason"), (best["mode"] == "manual") & falsy(best["reason"])),
+        told(5, "CAVE_ID_MISSING_FOR_CAVE_OPENING", WARNING, F.lit("an opening without a cave"), (F.col("category") == "jaskinia_otwor") & falsy(F.col("cave_id"))),
+        told(8, "BEST_MEASUREMENT_AUTO_MISMATCH", WARNING, F.concat_ws(" ", best["measurement_id"], computed), auto & computed.isNotNull() & ~computed.eqNullSafe(best["measurement_id"])),
+        told(8, "BEST_MEASUREMENT_REJECTED_FALLBACK", WARNING, F.lit("all measurements are rejected"), auto & only_rejected(F.col("measurements"))),
+    ]
+
+    def of_reference(r: Column) -> Column:
+        return F.array(
+            told(5, "NR_INWENT_ON_OBJECT_REFERENCE", WARNING, F.lit("inventory numbers belong to caves"), r["system"] == "NR_INWENT"),
+            told(5, "PIG_CATALOG_REFERENCE_ON_OBJECT", WARNING, F.lit("PIG records belong to caves"), (r["system"] == "PIG") & r["ref_type"].isin("catalog_id", "url")),
+        )
+
+    def of_attachment(a: Column) -> Column:
+        return F.array(
+            told(4, "ATTACHMENT_MEASUREMENT_MISSING", ERROR, F.concat(F.lit("no measurement "), a["measurement_id"]), ~falsy(a["measurement_id"]) & ~among(a["measurement_id"])),
+            told(6, "ATTACHMENT_URL_INVALID", ERROR, a["path"], is_url_like(a["path"]) & ~is_http_url(a["path"])),
+        )
+
+    def of_measurement(z: Column) -> Column:
+        m, p = z["measurements"], z["planes"]
+        error = F.hypot(p["n"] - m["x_1992"], p["e"] - m["y_1992"])
+        return F.array(
+            told(7, "MISSING_HORIZONTAL_ACCURACY", WARNING, m["id"], m["horizontal_accuracy_m"].isNull()),
+            told(7, "MISSING_SOURCE_REF", WARNING, m["id"], falsy(m["source_ref"])),
+            told(7, "COORDINATE_MISMATCH", ERROR, F.concat(m["id"], F.format_string(": %.2f m", error)), error > MAX_ERROR_M),
+        )
+
+    def far(points: Column) -> Column:
+        """Pairs of a record's measurements that lie too far apart."""
+        def others(a: Column, i: Column) -> Column:
+            apart = F.transform(F.slice(points, i + 2, F.size(points)), lambda b: F.struct(b["id"].alias("id"), F.hypot(a["n"] - b["n"], a["e"] - b["e"]).alias("d")))
+            return F.transform(F.filter(apart, lambda p: p["d"] > MAX_DISTANCE_M), lambda p: told(7, "MEASUREMENT_DISTANCE_OUTLIER", WARNING, F.concat_ws(" ", a["id"], p["id"], F.format_string("%.2f m", p["d"])), F.lit(True)))
+
+        return F.flatten(F.transform(points, others))
+
+    placed = F.filter(F.transform(F.arrays_zip("measurements", "planes"), lambda z: F.struct(z["measurements"]["id"].alias("id"), z["planes"]["n"].alias("n"), z["planes"]["e"].alias("e"))), lambda p: p["n"].isNotNull() & p["e"].isNotNull())
+    lists = [F.flatten(F.transform("external_refs", of_reference)), F.flatten(F.transform("attachments", of_attachment)), F.flatten(F.transform(F.arrays_zip("measurements", "planes"), of_measurement)), F.flatten(F.transform(F.array(placed), far))]
+    return single, lists
+
+
+def object_issues(catalog: Catalog, resolver: Resolver | None, files: DataFrame | None) -> list[DataFrame]:
+    """Rules of objects: all that a row decides in one pass, then those that need files or polygons."""
     objects = catalog.objects.where("parse_error is null")
-    out = [issue(objects, 5, "CAVE_ID_MISSING_FOR_CAVE_OPENING", WARNING, F.lit("an opening without a cave"), (F.col("category") == "jaskinia_otwor") & falsy(F.col("cave_id")))]
-    refs = objects.select("path", F.explode("external_refs").alias("r"))
-    out.append(issue(refs, 5, "NR_INWENT_ON_OBJECT_REFERENCE", WARNING, F.lit("inventory numbers belong to caves"), F.col("r.system") == "NR_INWENT"))
-    out.append(issue(refs, 5, "PIG_CATALOG_REFERENCE_ON_OBJECT", WARNING, F.lit("PIG records belong to caves"), (F.col("r.system") == "PIG") & F.col("r.ref_type").isin("catalog_id", "url")))
-    places = objects.select("path", F.explode("attachments").alias("a")).select("path", F.col("a.path").alias("file")).where("file is not null")
-    out.append(issue(places, 6, "ATTACHMENT_URL_INVALID", ERROR, F.col("file"), is_url_like(F.col("file")) & ~is_http_url(F.col("file"))))
+    out = [within_rows(objects, *object_rules())]
     if files is not None:
+        places = objects.select("path", F.explode("attachments").alias("a")).select("path", F.col("a.path").alias("file")).where("file is not null")
         local = places.where(~is_url_like(F.col("file"))).join(files.select(F.col("file")).distinct(), "file", "left_anti")
         out.append(issue(local, 6, "ATTACHMENT_PATH_MISSING", ERROR, F.col("file")))
-    return out
-
-
-def measurement_issues(catalog: Catalog, resolver: Resolver | None) -> list[DataFrame]:
-    objects = catalog.objects.where("parse_error is null")
-    rows = measurement_rows(objects)
-    out = [issue(rows, 7, "MISSING_HORIZONTAL_ACCURACY", WARNING, F.col("m.id"), F.col("m.horizontal_accuracy_m").isNull())]
-    out.append(issue(rows, 7, "MISSING_SOURCE_REF", WARNING, F.col("m.id"), falsy(F.col("m.source_ref"))))
-    error = F.hypot(F.col("p.n") - F.col("m.x_1992"), F.col("p.e") - F.col("m.y_1992"))
-    out.append(issue(rows.withColumn("e", error), 7, "COORDINATE_MISMATCH", ERROR, F.concat(F.col("m.id"), F.format_string(": %.2f m", "e")), F.col("e") > MAX_ERROR_M))
-    # Pairs within a record: the array stays in its row.
-    def far(a: Column, i: Column) -> Column:
-        others = F.transform(F.slice("points", i + 2, F.size("points")), lambda b: F.struct(a["id"].alias("a"), b["id"].alias("b"), F.hypot(a["n"] - b["n"], a["e"] - b["e"]).alias("d")))
-        return F.filter(others, lambda p: p["d"] > MAX_DISTANCE_M)
-
-    named = F.transform(F.arrays_zip("measurements", "planes"), lambda z: F.struct(z["measurements"]["id"].alias("id"), z["planes"]["n"].alias("n"), z["planes"]["e"].alias("e")))
-    points = objects.select("path", F.filter(named, lambda p: p["n"].isNotNull() & p["e"].isNotNull()).alias("points"))
-    pairs = points.select("path", F.explode(F.flatten(F.transform("points", far))).alias("p"))
-    out.append(issue(pairs, 7, "MEASUREMENT_DISTANCE_OUTLIER", WARNING, F.concat_ws(" ", "p.a", "p.b", F.format_string("%.2f m", "p.d"))))
     if resolver is not None:
-        asked = rows.select(F.concat_ws("#", "path", F.col("pos").cast("string")).alias("point_id"), "path", F.col("m.id").alias("mid"), F.col("m.lat").alias("lat"), F.col("m.lon").alias("lon")).where("lat is not null and lon is not null")
-        placed = resolver(asked)
-        out.append(issue(placed, 7, "MEASUREMENT_OUTSIDE_PL_SK", ERROR, F.col("mid"), F.col("status") == "error"))
-        out.append(issue(placed, 7, "MEASUREMENT_OUTSIDE_VALLEYS", WARNING, F.col("mid"), F.col("status") == "warning"))
-        chosen = objects.select("path", "id", declared_measurement(F.col("measurements"), F.col("best_measurement.measurement_id")).alias("m"))
-        chosen = resolver(chosen.select(F.col("path").alias("point_id"), "path", "id", F.col("m.lat").alias("lat"), F.col("m.lon").alias("lon")).where("lat is not null and lon is not null"))
+        # The declared measurement is asked with the others, so points are placed once.
+        declared = declared_measurement(F.col("measurements"), F.col("best_measurement.measurement_id"))
+        asked = F.concat(
+            F.transform("measurements", lambda m: F.struct(F.lit(False).alias("chosen"), m["id"].alias("mid"), m["lat"].alias("lat"), m["lon"].alias("lon"))),
+            F.array(F.struct(F.lit(True).alias("chosen"), declared["id"].alias("mid"), declared["lat"].alias("lat"), declared["lon"].alias("lon"))),
+        )
+        points = objects.select("path", "id", F.posexplode(asked).alias("pos", "a")).select(F.concat_ws("#", "path", F.col("pos").cast("string")).alias("point_id"), "path", "id", "a.*").where("lat is not null and lon is not null")
         own = F.regexp_extract("id", r"^([^-]*)-", 1)
-        out.append(issue(chosen, 7, "OBJECT_PREFIX_MISMATCH", WARNING, F.concat_ws(" ", "id", "prefix"), F.col("id").contains("-") & F.col("prefix").isNotNull() & (own != F.col("prefix"))))
-    auto = objects.where("best_measurement.mode = 'auto'").withColumn("computed", best_measurement_id(F.col("measurements")))
-    out.append(issue(auto, 8, "BEST_MEASUREMENT_AUTO_MISMATCH", WARNING, F.concat_ws(" ", F.col("best_measurement.measurement_id"), "computed"), F.col("computed").isNotNull() & ~F.col("computed").eqNullSafe(F.col("best_measurement.measurement_id"))))
-    out.append(issue(auto, 8, "BEST_MEASUREMENT_REJECTED_FALLBACK", WARNING, F.lit("all measurements are rejected"), only_rejected(F.col("measurements"))))
+        outside = lambda code, severity, status: told(7, code, severity, F.col("mid"), ~F.col("chosen") & (F.col("status") == status))
+        prefix = told(7, "OBJECT_PREFIX_MISMATCH", WARNING, F.concat_ws(" ", "id", "prefix"), F.col("chosen") & F.col("id").contains("-") & F.col("prefix").isNotNull() & (own != F.col("prefix")))
+        out.append(within_rows(resolver(points), [outside("MEASUREMENT_OUTSIDE_PL_SK", ERROR, "error"), outside("MEASUREMENT_OUTSIDE_VALLEYS", WARNING, "warning"), prefix], []))
     return out
 
 
@@ -172,8 +207,8 @@ def validate(catalog: Catalog, resolver: Resolver | None = None, schemas: dict[s
     """
     catalog = Catalog(*map(cut_lineage, (with_planes(catalog.objects), catalog.caves, catalog.relations)))
     if catalog.issues_of_reading().limit(1).count():
-        return record_issues(catalog, None)[0]
-    return reduce(DataFrame.unionByName, [*record_issues(catalog, schemas, formats), *reference_issues(catalog), *object_issues(catalog, files), *measurement_issues(catalog, resolver)])
+        return issue(catalog.issues_of_reading(), 0, "YAML_INVALID", ERROR, F.col("parse_error"))
+    return reduce(DataFrame.unionByName, [*record_issues(catalog, schemas, formats), *reference_issues(catalog), *object_issues(catalog, resolver, files)])
 
 
 def has_errors(issues: DataFrame) -> bool:

@@ -44,6 +44,8 @@ def _foldings() -> tuple[dict[str, str], dict[str, str]]:
 
 _SINGLE, _SEVERAL = _foldings()
 _MARKS = "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x300, 0x36F), (0x483, 0x487), (0x1AB0, 0x1ACE), (0x1DC0, 0x1DFF), (0x20D0, 0x20DC))) + "]"
+#: As one text, which is parsed at once; a Column for each entry would take seconds.
+_SEVERAL_SQL = f"map({', '.join(f"'{k}', '{v}'" for k, v in sorted(_SEVERAL.items()))})"
 #: Stands for a character of several letters in the first pass; a text that holds it anyhow is only looked at more closely.
 _MARKER = "\ue000"
 
@@ -57,7 +59,7 @@ def normalize_name(value: Column) -> Column:
     single, letters = "".join(_SINGLE), "".join(_SINGLE.values())
     # Most texts are ASCII. One pass over the others folds single letters and marks ligatures and the like, which few texts have.
     marked = F.translate(lower, single + "".join(_SEVERAL), letters + _MARKER * len(_SEVERAL))
-    several = F.create_map(*(F.lit(x) for kv in sorted(_SEVERAL.items()) for x in kv))
+    several = F.expr(_SEVERAL_SQL)
     spelled = F.array_join(F.transform(F.split(lower, ""), lambda c: F.when(c > "\x7f", F.coalesce(several[c], c)).otherwise(c)), "")
     # The lambda's variable is computed once, though it is used twice.
     once = F.get(F.transform(F.array(marked), lambda m: F.when(m.contains(_MARKER), F.translate(spelled, single, letters)).otherwise(m)), F.lit(0))

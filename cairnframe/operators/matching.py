@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.projection import distance
+from .materialize import cut_lineage
 
 RADIUS_M = 25.0
 
@@ -41,26 +42,25 @@ def near(rows: DataFrame, candidates: DataFrame, keys: list[str], radius: float)
     def cell(c: str, width: float) -> Column:
         return F.floor(F.col(c) / width).cast("long")
 
-    def around(i: Column, j: Column, offsets: list[tuple[int, int]]) -> Column:
-        return F.explode(F.array(*(F.struct((i + a).alias("i"), (j + b).alias("j")) for a, b in offsets)))
+    def around(i: str, j: str, offsets: list[tuple[int, int]]) -> Column:
+        """Cells at the offsets about a cell; as text, which is one expression to build instead of hundreds."""
+        return F.expr(f"transform(array({', '.join(f'named_struct(\'a\', {a}L, \'b\', {b}L)' for a, b in offsets)}), o -> named_struct('i', {i} + o.a, 'j', {j} + o.b))")
 
     small = radius / CELLS
     held = candidates.groupBy(*keys, cell("cx", small).alias("ci"), cell("cy", small).alias("cj")).agg(F.count("*").alias("n"))
-    held = held.select(*keys, "n", around(F.col("ci"), F.col("cj"), _SURE).alias("p"))
+    held = held.select(*keys, "n", F.explode(around("ci", "cj", _SURE)).alias("p"))
     crowded = held.groupBy(*keys, F.col("p.i").alias("i"), F.col("p.j").alias("j")).agg(F.sum("n").alias("n")).where("n > 1").drop("n").withColumn("crowded", F.lit(True))
     placed = rows.withColumn("i", cell("x", small)).withColumn("j", cell("y", small)).join(crowded, [*keys, "i", "j"], "left").drop("i", "j")
-    who = F.struct("candidate_id", "d")
-    several = placed.where("crowded").select("record_number", F.lit(2).cast("long").alias("n"), F.lit(None).cast(_who_type(candidates)).alias("one"))
-
-    probes = placed.where("crowded is null").select("record_number", *keys, "x", "y", around(cell("x", radius), cell("y", radius), [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]).alias("p")).select("record_number", *keys, "x", "y", "p.i", "p.j")
+    placed = placed.withColumn("ri", cell("x", radius)).withColumn("rj", cell("y", radius))
+    nine = around("ri", "rj", [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    # Rows in a crowd go on with one probe that meets nothing.
+    nowhere = F.array(F.struct(F.lit(None).cast("long").alias("i"), F.lit(None).cast("long").alias("j")))
+    probes = placed.select("record_number", *keys, "x", "y", "crowded", F.explode(F.when(F.col("crowded"), nowhere).otherwise(nine)).alias("p")).select("record_number", *keys, "x", "y", "crowded", "p.i", "p.j")
     cells = candidates.withColumn("i", cell("cx", radius)).withColumn("j", cell("cy", radius))
-    met = probes.join(cells, [*keys, "i", "j"]).withColumn("d", distance(F.col("x"), F.col("y"), F.col("cx"), F.col("cy"))).where(F.col("d") <= radius)
-    counted = met.groupBy("record_number").agg(F.count("*").alias("n"), F.min(who).alias("one"))
-    return counted.select("record_number", F.least("n", F.lit(2)).alias("n"), F.when(F.col("n") == 1, F.col("one")).alias("one")).unionByName(several)
-
-
-def _who_type(candidates: DataFrame) -> str:
-    return f"struct<candidate_id:{candidates.schema['candidate_id'].dataType.simpleString()},d:double>"
+    met = probes.join(cells, [*keys, "i", "j"], "left").withColumn("d", distance(F.col("x"), F.col("y"), F.col("cx"), F.col("cy")))
+    close = F.col("d") <= radius
+    counted = met.groupBy("record_number").agg(F.count_if(close).alias("n"), F.min(F.when(close, F.struct("candidate_id", "d"))).alias("one"), F.max("crowded").alias("crowded")).where("n > 0 or crowded")
+    return counted.select("record_number", F.when(F.col("crowded"), F.lit(2)).otherwise(F.least("n", F.lit(2))).alias("n"), F.when(F.col("n") == 1, F.col("one")).alias("one"))
 
 
 def match_cascade(rows: DataFrame, candidates: DataFrame, radius: float = RADIUS_M, source_counts: DataFrame | None = None) -> DataFrame:
@@ -71,8 +71,10 @@ def match_cascade(rows: DataFrame, candidates: DataFrame, radius: float = RADIUS
     `source_counts` (nr, source_nr) tells how often the source has a number; without it `rows` are counted.
     """
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    # Both sides are asked many times; what they are made of is computed once.
+    rows = cut_lineage(rows.select("record_number", "globalid", "nr", "name_norm", "x", "y"))
+    candidates = cut_lineage(candidates.select("candidate_id", "globalid", "nr", "name_norm", "x", "y"))
     counted = source_counts if source_counts is not None else rows.where(~blank("nr")).groupBy("nr").agg(F.count("*").alias("source_nr"))
-    rows = rows.select("record_number", "globalid", "nr", "name_norm", "x", "y")
     people = candidates.select("candidate_id", "nr", "name_norm", "x", "y").distinct()
     cand = people.select("candidate_id", F.col("nr").alias("c_nr"), F.col("name_norm").alias("c_name"), F.col("x").alias("cx"), F.col("y").alias("cy"))
     apart = distance(F.col("x"), F.col("y"), F.col("cx"), F.col("cy"))
@@ -89,16 +91,21 @@ def match_cascade(rows: DataFrame, candidates: DataFrame, radius: float = RADIUS
         F.when(F.col("n") == 1, F.col("c.d")).alias("distance_m"),
         F.when(F.col("n") > 1, "GLOBALID_AMBIGUOUS").alias("issue"),
     )
+    # What a stage decides is written down, as all later ones ask for it.
+    first = cut_lineage(first)
     rest = rows.join(first, "record_number", "left_anti")
 
     # Stage 2: a number's candidates are counted once; who is close, and who of them is named alike, is found through cells.
     numbered = cand.where(F.coalesce("c_nr", F.lit("")) != "")
     of_number = numbered.groupBy("c_nr").agg(F.count("*").alias("n"), F.min(F.struct("candidate_id", "cx", "cy")).alias("o"))
     asked = rest.where(~blank("nr"))
-    close = near(asked, numbered.withColumnRenamed("c_nr", "nr"), ["nr"], radius).select("record_number", F.col("n").alias("n_close"), F.col("one").alias("one_close"))
+    stage = cut_lineage(asked.join(of_number, F.col("nr") == F.col("c_nr")).join(counted, "nr"))
+    # A source's only row with a number that one candidate has matches it at any distance; names and distances decide for the others.
+    open_ = stage.where("source_nr > 1 or n > 1")
     both = numbered.withColumnRenamed("c_nr", "nr").withColumnRenamed("c_name", "name_norm")
-    named = near(asked.where(~blank("name_norm")), both, ["nr", "name_norm"], radius).select("record_number", F.col("n").alias("n_named"), F.col("one").alias("one_named"))
-    stage = asked.join(of_number, F.col("nr") == F.col("c_nr")).join(counted, "nr").join(close, "record_number", "left").join(named, "record_number", "left")
+    close = near(open_.where("source_nr = 1"), numbered.withColumnRenamed("c_nr", "nr"), ["nr"], radius).select("record_number", F.col("n").alias("n_close"), F.col("one").alias("one_close"))
+    named = near(open_.where(~blank("name_norm")), both, ["nr", "name_norm"], radius).select("record_number", F.col("n").alias("n_named"), F.col("one").alias("one_named"))
+    stage = stage.join(close, "record_number", "left").join(named, "record_number", "left")
     stage = stage.withColumn("one", F.struct(F.col("o.candidate_id").alias("candidate_id"), distance(F.col("x"), F.col("y"), F.col("o.cx"), F.col("o.cy")).alias("d")))
     often = F.col("source_nr") > 1
     strategy = (
@@ -118,6 +125,7 @@ def match_cascade(rows: DataFrame, candidates: DataFrame, radius: float = RADIUS
         F.col("c.d").alias("distance_m"),
         F.when(F.col("strategy").isNull(), "NR_INWENT_AMBIGUOUS").alias("issue"),
     )
+    second = cut_lineage(second)
     rest = rest.join(second, "record_number", "left_anti")
 
     # Stage 3: the same by name alone.

@@ -19,6 +19,7 @@ from .operators.validation import CatalogInvalidError, formatted, has_errors, re
 from .plans import profiling, staging
 from .session import build_session
 from .sinks import release
+from .sinks.staging_file import write_report
 from .sources.catalog import CatalogLoadError, load_catalog
 from .sources.shapes import load_polygons
 from .sources.tables import read_source_table
@@ -126,13 +127,13 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         return int(row.prefix is None)
     table = read_source_table(spark, a.source)
     if a.command == "import-pig":
-        data = staging.report(staging.build_pig_staging(table, catalog, resolver, a.generated_at), "pig", a.source, a.generated_at)
-        print(*staging.write_report(data, a.output, "pig-staging", "PIG staging"), sep="\n")
+        found = staging.build_pig_staging(table, catalog, resolver, a.generated_at)
+        print(*write_report(found, "pig", a.source, a.generated_at, a.output, "pig-staging", "PIG staging"), sep="\n")
         return 0
     stored = staging.read_report(spark, a.pig_staging) if a.pig_staging else None
     candidates = staged_candidates(stored["rows"], stored["proposed_objects"]) if stored else None
-    data = staging.report(staging.build_tpn_staging(table, catalog, resolver, a.generated_at, candidates), "tpn", a.source, a.generated_at)
-    print(*staging.write_report(data, a.output, "tpn-staging", "TPN staging"), sep="\n")
+    found = staging.build_tpn_staging(table, catalog, resolver, a.generated_at, candidates)
+    print(*write_report(found, "tpn", a.source, a.generated_at, a.output, "tpn-staging", "TPN staging"), sep="\n")
     return 0
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 from functools import reduce
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_part, source_date, source_year_end
@@ -237,55 +235,20 @@ def build_tpn_staging(table: DataFrame, catalog: Catalog, resolver: Resolver, ge
     return Staging(summary, reduce(DataFrame.unionByName, issues), caves.select("record_number", "r.*"), objects.select("record_number", "r.*"), updates)
 
 
-def plain(value: object) -> object:
-    """Rows as mappings."""
-    if isinstance(value, Row):
-        return {k: plain(v) for k, v in value.asDict().items()}
-    return [plain(v) for v in value] if isinstance(value, list) else value
-
-
-def report(staging: Staging, source: str, source_path: str, generated_at: str) -> dict:
-    """The staging file's content; it is read by people, so a source's rows fit on the driver."""
-    rows = plain(staging.rows.orderBy("record_number").collect())
-    hidden = {"position", "source_id"} | ({"nr_inwent"} if source == "pig" else set())
-    key = "pig_id" if source == "pig" else "globalid"
-    issues = [{"code": r.code, "severity": r.severity, "record_number": r.record_number, key: r.source_id} | {k: v for k, v in r.asDict().items() if k not in hidden | {"code", "severity", "record_number"}} for r in staging.issues.orderBy("record_number", "position").collect()]
-    caves, objects = (plain(d.orderBy("record_number").drop("record_number").collect()) for d in (staging.caves, staging.objects))
-    out = {"generated_at": generated_at, "source_path": source_path, "record_count": len(rows)}
-    if source == "pig":
-        out |= {"proposed_cave_count": len(caves), "proposed_object_count": len(objects), "cave_only_count": len(rows) - len(objects)}
-    else:
-        out |= {f"{s}_count": sum(r["status"] == s for r in rows) for s in ("matched", "new", "unresolved", "rejected")}
-    out |= {"issue_count": len(issues), "rows": rows, "issues": issues}
-    if staging.updates is not None:
-        out["matched_measurements"] = plain(staging.updates.orderBy("record_number").collect())
-    return out | {"proposed_caves": caves, "proposed_objects": objects}
-
-
 def cell(value: object) -> str:
     return ("" if value is None else str(value)).strip().replace("|", "\\|").replace("\n", "<br>") or "-"
 
 
-def markdown_table(rows: list[dict], columns: list[str]) -> list[str]:
-    return ["| " + " | ".join(columns) + " |", "|" + " --- |" * len(columns), *("| " + " | ".join(cell(r.get(c)) for c in columns) + " |" for r in rows)]
+def table_head(columns: list[str]) -> list[str]:
+    return ["| " + " | ".join(columns) + " |", "|" + " --- |" * len(columns)]
 
 
-def markdown_report(data: dict, title: str) -> str:
-    counts = [f"- {k}: {v}" for k, v in data.items() if k.endswith("_count")]
-    lines = [f"# {title}", "", f"Generated at {data['generated_at']} from {cell(data['source_path'])}.", "", *counts]
-    for name in ("rows", "issues"):
-        lines += ["", f"## {name.capitalize()}", ""]
-        lines += markdown_table(data[name], list(data[name][0])) if data[name] else ["None."]
-    return "\n".join(lines) + "\n"
+def table_line(row: dict, columns: list[str]) -> str:
+    return "| " + " | ".join(cell(row.get(c)) for c in columns) + " |"
 
 
-def write_report(data: dict, folder: str, name: str, title: str) -> list[Path]:
-    out = Path(folder)
-    out.mkdir(parents=True, exist_ok=True)
-    paths = [out / f"{name}.json", out / f"{name}.md"]
-    paths[0].write_text(json.dumps(data, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
-    paths[1].write_text(markdown_report(data, title), encoding="utf-8")
-    return paths
+def markdown_table(rows: list[dict], columns: list[str]) -> list[str]:
+    return [*table_head(columns), *(table_line(r, columns) for r in rows)]
 
 
 STAGING_ROW = "struct<record_number:long,pig_id:string,globalid:string,nr_inwent:string,name:string,cave_id:string,object_id:string,status:string>"

@@ -1,11 +1,14 @@
 """Staging of both sources on hand-made rows."""
 
+import json
+
 import pytest
 import yaml
 
 from cairnframe.operators.candidates import staged_candidates
 from cairnframe.operators.resolver import constant_resolver
 from cairnframe.plans import staging
+from cairnframe.sinks.staging_file import write_report
 from cairnframe.sources.catalog import load_catalog
 from cairnframe.sources.tables import read_source_table
 
@@ -39,7 +42,8 @@ def empty(spark, tmp_path):
 def test_pig(spark, tmp_path, empty):
     path = write_csv(tmp_path / "p.csv", PIG_HEAD, [pig_row(), pig_row(ID="12", **{"X 1992": "1", "Y 1992": "2"}), pig_row(ID="", Link="", B="bad", **{"Stan na rok": "x"}), pig_row(ID="14", **{"Stan na rok": "?"})])
     found = staging.build_pig_staging(read_source_table(spark, path), empty, constant_resolver(), NOW)
-    data = staging.report(found, "pig", path, NOW)
+    written = write_report(found, "pig", path, NOW, str(tmp_path / "out"), "pig-staging", "PIG staging")
+    data = json.loads(written[0].read_text(encoding="utf-8"))
     assert [(r["cave_id"], r["object_id"], r["status"]) for r in data["rows"]] == [("C-0001", "KSW-0001", "object_proposed"), ("C-0002", None, "cave_only"), ("C-0003", None, "cave_only"), ("C-0004", "KSW-0002", "object_proposed")]
     assert [(i["record_number"], i["code"]) for i in data["issues"]] == [(2, "PIG_COORDINATE_MISMATCH"), (3, "PIG_POINT_COORDINATES_INVALID"), (4, "PIG_SOURCE_YEAR_INVALID")]
     first = data["proposed_objects"][0]
@@ -48,19 +52,18 @@ def test_pig(spark, tmp_path, empty):
     assert m["notes"].endswith("Source: https://example.org/11") and data["proposed_objects"][1]["measurements"][0]["observed_date"] == "2026-01-02"
     assert [r["ref_type"] for r in data["proposed_caves"][0]["external_refs"]] == ["inventory_number", "catalog_id", "url"]
     assert data["proposed_caves"][0]["notes"] == "PIG morphometry: length_m=14\nPIG source state year: 2010"
-    written = staging.write_report(data, str(tmp_path / "out"), "pig-staging", "PIG staging")
     assert "| 2 |" in written[1].read_text() and data["cave_only_count"] == 2
 
 
 def test_tpn(spark, tmp_path, empty):
     pig = staging.build_pig_staging(read_source_table(spark, write_csv(tmp_path / "p.csv", PIG_HEAD, [pig_row()])), empty, constant_resolver(), NOW)
-    [json_path, _] = staging.write_report(staging.report(pig, "pig", "p", NOW), str(tmp_path), "pig-staging", "t")
+    [json_path, _] = write_report(pig, "pig", "p", NOW, str(tmp_path), "pig-staging", "t")
     stored = staging.read_report(spark, str(json_path))
     candidates = staged_candidates(stored["rows"], stored["proposed_objects"])
     rows = [tpn_row(), tpn_row(NR_INWENT="Z-1", NAZWA="Sztolnia B", GLOBALID="{BBBB}", GENEZA="sztolnia", X1992="150000"), tpn_row(GLOBALID="", NR_INWENT=""), tpn_row(X1992="bad", GLOBALID="{CC}", NR_INWENT="")]
     path = write_csv(tmp_path / "t.csv", TPN_HEAD, rows)
     found = staging.build_tpn_staging(read_source_table(spark, path), empty, constant_resolver(), NOW, candidates)
-    data = staging.report(found, "tpn", path, NOW)
+    data = json.loads(write_report(found, "tpn", path, NOW, str(tmp_path), "tpn-staging", "t")[0].read_text(encoding="utf-8"))
     assert [(r["status"], r["match_strategy"], r["object_id"]) for r in data["rows"]] == [("matched", "nr_inwent", "KSW-0001"), ("new", None, "KSW-0002"), ("rejected", None, None), ("rejected", None, None)]
     assert (data["matched_count"], data["new_count"], data["rejected_count"]) == (1, 1, 2)
     update = data["matched_measurements"][0]

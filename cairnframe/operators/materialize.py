@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 BROADCAST_ROWS = 500_000
 
 
-def broadcast_if_few(rows: DataFrame) -> DataFrame:
+def broadcast_if_few(rows: DataFrame, otherwise: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """`rows` with their lineage cut, marked for a broadcast if they are few; beyond the bound joins with them shuffle."""
     rows = cut_lineage(rows)
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else otherwise(rows)

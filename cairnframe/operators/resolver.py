@@ -61,8 +61,13 @@ def index_polygons(polygons: DataFrame, few: int = FEW_POLYGONS) -> PolygonIndex
     size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("points"), F.lit(0)).alias("points"), F.collect_set("level").alias("levels"), F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")).first()
     if not size.n or size.n <= few and size.points <= FEW_POINTS:
         return PolygonIndex(rows)
-    kept = rows if size.points > BROADCAST_POINTS else F.broadcast(rows)
-    return PolygonIndex(kept, broadcast_if_few(cell_cover(rows)), tuple(sorted(size.levels)), tuple(size[3:7]))
+    kept = shuffled(rows) if size.points > BROADCAST_POINTS else F.broadcast(rows)
+    return PolygonIndex(kept, broadcast_if_few(cell_cover(rows), shuffled), tuple(sorted(size.levels)), tuple(size[3:7]))
+
+
+def shuffled(rows: DataFrame) -> DataFrame:
+    """For joins that must not broadcast these rows: sizes that Spark derives from files know nothing of rings and cells made since."""
+    return rows.hint("merge")
 
 
 def cell_cover(polygons: DataFrame) -> DataFrame:
@@ -96,13 +101,13 @@ def cell_cover(polygons: DataFrame) -> DataFrame:
     crossing = spans.withColumn("j", F.explode(F.sequence("ej0", "ej1"))).where((F.col("y") > at) != (F.col("y2") > at))
     crossing = crossing.select("pid", "j", ((F.col("x2") - F.col("x")) * (at - F.col("y")) / (F.col("y2") - F.col("y")) + F.col("x")).alias("cross"))
     keep = ["pid", "i", "j", "level", *ORDER, "within"]
-    free = cells.withColumn("within", within).withColumn("centre", left + F.col("side") / 2).select(*keep, "centre").join(touched, ["pid", "i", "j"], "left_anti")
-    inside = free.join(crossing, ["pid", "j"]).groupBy(*keep).agg(F.count_if(F.col("cross") > F.col("centre")).alias("n")).where("n % 2 = 1")
+    free = cells.withColumn("within", within).withColumn("centre", left + F.col("side") / 2).select(*keep, "centre").join(shuffled(touched), ["pid", "i", "j"], "left_anti")
+    inside = shuffled(free).join(crossing, ["pid", "j"]).groupBy(*keep).agg(F.count_if(F.col("cross") > F.col("centre")).alias("n")).where("n % 2 = 1")
     whole = inside.select("level", "i", "j", "pid", *ORDER, F.col("within").alias("whole"))
-    partly = polygons.select("pid", "level", *ORDER).join(touched, "pid").select("level", "i", "j", "pid", *ORDER, F.lit(False).alias("whole"))
+    partly = shuffled(polygons.select("pid", "level", *ORDER)).join(touched, "pid").select("level", "i", "j", "pid", *ORDER, F.lit(False).alias("whole"))
     cover = cut_lineage(whole.unionByName(partly))
     first = cover.where("whole").groupBy("level", "i", "j").agg(F.min(F.struct(*ORDER)).alias("first"))
-    asked = cover.where("not whole").join(first, ["level", "i", "j"], "left").where(F.col("first").isNull() | (F.struct(*ORDER) < F.col("first"))).drop("first")
+    asked = cover.where("not whole").join(shuffled(first), ["level", "i", "j"], "left").where(F.col("first").isNull() | (F.struct(*ORDER) < F.col("first"))).drop("first")
     return asked.unionByName(first.select("level", "i", "j", F.lit(None).cast("long").alias("pid"), "first.*", F.lit(True).alias("whole")))
 
 

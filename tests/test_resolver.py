@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cairnframe.operators import resolver
+from cairnframe.operators import materialize, resolver
 
 
 def star(r, x, y, size, spikes):
@@ -68,3 +68,13 @@ def test_empty_tables(spark, case):
     assert resolver.first_polygon(points.where("key < 0"), polygons, "key", "px", "py").count() == 0
     assert resolver.first_polygon(points, polygons.where("tier < 0"), "key", "px", "py").count() == 0
     assert resolver.first_polygon(points, resolver.index_polygons(polygons.where("tier < 0"), few=-1), "key", "px", "py").count() == 0
+
+
+def test_no_join_broadcasts_polygons_by_the_size_of_their_files(spark, case, tmp_path, monkeypatch):
+    monkeypatch.setattr(resolver, "BROADCAST_POINTS", 0)
+    monkeypatch.setattr(materialize, "BROADCAST_ROWS", 0)
+    points, polygons = case
+    polygons.write.parquet(str(tmp_path / "p"))
+    found = resolver.first_polygon(points, resolver.index_polygons(spark.read.parquet(str(tmp_path / "p")), few=0), "key", "px", "py")
+    assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+    assert found.count() > 0

@@ -1,4 +1,4 @@
-"""Transverse Mercator for EPSG:2180 as column expressions: no UDF, so it stays in generated code.
+"""Transverse Mercator for EPSG:2180 as column expressions: no UDF, so it stays in the engine.
 
 Krueger series to the sixth order in the third flattening, on GRS80 (public geodesy literature).
 Following the catalogue's axis order, x is the northing and y the easting.
@@ -7,9 +7,10 @@ Following the catalogue's axis order, x is the northing and y the easting.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from fractions import Fraction as R
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # GRS80 and the parameters of EPSG:2180.
@@ -50,16 +51,91 @@ def series(rows: list[list[R]]) -> list[float]:
     return [sum(float(c) * N ** (j + k) for k, c in enumerate(row)) for j, row in enumerate(rows, 1)]
 
 
+def atanh(x: Column) -> Column:
+    """The inverse hyperbolic tangent by one logarithm, as C libraries compute it; Spark's difference of two loses the last digits."""
+    a = F.abs(x)
+    u = a + a
+    return F.signum(x) * 0.5 * F.log1p(F.when(a < 0.5, u + u * a / (1.0 - a)).otherwise(u / (1.0 - a)))
+
+
+#: Quarter of a half turn, as a double and what it lacks; z up to which a series gives the rest of an angle.
+QUARTER, QUARTER_REST, NEAR = math.pi / 4, 3.061616997868383e-17, 0.1
+#: Splits a double into two of 26 bits, whose products are exact.
+SPLIT = 134217729.0
+
+
+def _angle(v: dict[str, Column]) -> Column:
+    """atan2(t, c); about the latitudes 39 to 51, where northings leave no digit to spare, right to the last bit but for near ties.
+
+    There it is a quarter and the angle of z = (t - c) / (t + c), with what quotient and sums leave over.
+    """
+    z, z2, whole = v["z"], v["z2"], v["whole"]
+    over = ((v["zh"] * v["sh"] - v["p"]) + v["zh"] * v["sl"] + v["zl"] * v["sh"]) + v["zl"] * v["sl"]
+    low = ((v["d"] - v["p"]) - over - z * v["rest"]) / v["sum"]
+    tail = F.lit(1 / 17)
+    for k in range(15, 1, -2):
+        tail = (1 / k if k % 4 == 1 else -1 / k) + z2 * tail
+    near = whole + ((z - (whole - QUARTER)) + (QUARTER_REST + low + z * z2 * tail))
+    return F.when((v["c"] > 0) & (v["t"] > 0) & (F.abs(z) < NEAR), near).otherwise(F.atan2(v["t"], v["c"]))
+
+
+def _sums(v: dict[str, Column]) -> dict[str, Column]:
+    north, east = v["xi"], v["eta"]
+    for j, a in enumerate(series(FORWARD), 1):
+        north = north + a * F.sin(2 * j * v["xi"]) * F.cosh(2 * j * v["eta"])
+        east = east + a * F.cos(2 * j * v["xi"]) * F.sinh(2 * j * v["eta"])
+    return {"n": FALSE_NORTHING + RADIUS * north, "e": FALSE_EASTING + RADIUS * east}
+
+
+#: The steps from lat and lon to n and e; each gives the values that later ones may use, so that none is written out twice.
+STEPS: list[Callable[[dict[str, Column]], dict[str, Column]]] = [
+    lambda v: {"s": F.sin(F.radians(v["lat"])), "dl": F.radians(v["lon"] - ORIGIN_LON)},
+    lambda v: {"t": F.sinh(atanh(v["s"]) - ECC * atanh(ECC * v["s"])), "c": F.cos(v["dl"])},
+    lambda v: {"d": v["t"] - v["c"], "sum": v["t"] + v["c"], "w": F.sin(v["dl"]) / F.sqrt(1 + v["t"] * v["t"])},
+    lambda v: {"z": v["d"] / F.nullif(v["sum"], F.lit(0.0)), "back": v["sum"] - v["t"], "eta": atanh(v["w"])},
+    lambda v: {"rest": (v["t"] - (v["sum"] - v["back"])) + (v["c"] - v["back"]), "z2": v["z"] * v["z"], "p": v["z"] * v["sum"], "zh": v["z"] * SPLIT - (v["z"] * SPLIT - v["z"]), "sh": v["sum"] * SPLIT - (v["sum"] * SPLIT - v["sum"]), "whole": QUARTER + v["z"]},
+    lambda v: {"zl": v["z"] - v["zh"], "sl": v["sum"] - v["sh"]},
+    lambda v: {"xi": _angle(v)},
+    _sums,
+]
+
+
+def _as_lists(k: int, v: dict[str, Column]) -> Column:
+    """struct<n, e> from step k on, each step's values in a list of one."""
+    new = STEPS[k](v)
+    if k == len(STEPS) - 1:
+        return F.struct(*(c.alias(name) for name, c in new.items()))
+    kept = v | new
+    one = F.array(F.struct(*(c.alias(name) for name, c in kept.items())))
+    return F.get(F.transform(one, lambda s: _as_lists(k + 1, {name: s[name] for name in kept})), F.lit(0))
+
+
+def plane(lat: Column, lon: Column) -> Column:
+    """struct<n, e>: northing and easting of degrees, null where a coordinate is null; for lambdas."""
+    return _as_lists(0, {"lat": lat, "lon": lon})
+
+
+def with_plane(rows: DataFrame, lat: str, lon: str, north: str, east: str) -> DataFrame:
+    """Rows with two more columns, northing and easting.
+
+    The steps are columns, so they are generated code; the last one is a list's, as all of them make a
+    method that is too large to be compiled.
+    """
+    v = {"lat": F.col(lat), "lon": F.col(lon)}
+    out = rows
+    for step in STEPS[:-1]:
+        new = step(v)
+        out = out.withColumns({f"__plane_{name}": c for name, c in new.items()})
+        v |= {name: F.col(f"__plane_{name}") for name in new}
+    angles = F.array(F.struct(v["xi"].alias("xi"), v["eta"].alias("eta")))
+    out = out.select(*(F.col(f"`{name}`") for name in rows.columns), F.get(F.transform(angles, lambda s: _as_lists(len(STEPS) - 1, {"xi": s["xi"], "eta": s["eta"]})), F.lit(0)).alias("__plane"))
+    return out.select(*(F.col(f"`{name}`") for name in rows.columns), F.col("__plane.n").alias(north), F.col("__plane.e").alias(east))
+
+
 def to_plane(lat: Column, lon: Column) -> tuple[Column, Column]:
     """(x_1992 northing, y_1992 easting) of degrees; null where a coordinate is null."""
-    s, dl = F.sin(F.radians(lat)), F.radians(lon - ORIGIN_LON)
-    t = F.sinh(F.atanh(s) - ECC * F.atanh(ECC * s))
-    xi, eta = F.atan2(t, F.cos(dl)), F.atanh(F.sin(dl) / F.sqrt(1 + t * t))
-    north, east = xi, eta
-    for j, a in enumerate(series(FORWARD), 1):
-        north = north + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    return FALSE_NORTHING + RADIUS * north, FALSE_EASTING + RADIUS * east
+    p = plane(lat, lon)
+    return p["n"], p["e"]
 
 
 def to_degrees(x: Column, y: Column) -> tuple[Column, Column]:

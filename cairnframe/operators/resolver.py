@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import rings_contain
-from ..functions.projection import to_plane
+from ..functions.projection import with_plane
 from .materialize import broadcast_if_few, cut_lineage
 
 Resolver = Callable[[DataFrame], DataFrame]
@@ -141,8 +141,7 @@ def polygon_resolver(polygons: DataFrame) -> Resolver:
     known: list[PolygonIndex] = []
 
     def resolve(points: DataFrame) -> DataFrame:
-        x, y = to_plane(F.col("lat"), F.col("lon"))
-        placed = points.withColumn("x_1992", x).withColumn("y_1992", y)
+        placed = with_plane(points, "lat", "lon", "x_1992", "y_1992")
         if not known:
             known.append(index_polygons(polygons))
         found = first_polygon(placed, known[0], "point_id", "y_1992", "x_1992")
@@ -165,8 +164,7 @@ def constant_resolver(prefix: str = "KSW", valley: str = "Test") -> Resolver:
     """Puts every point into one valley; for tests and for data without polygons."""
 
     def resolve(points: DataFrame) -> DataFrame:
-        x, y = to_plane(F.col("lat"), F.col("lon"))
         none = F.lit(None).cast("string")
-        return points.select("*", x.alias("x_1992"), y.alias("y_1992"), F.lit("ok").alias("status"), F.lit("valley").alias("area"), F.lit(prefix).alias("prefix"), none.alias("code"), none.alias("message"), F.lit(valley).alias("valley"))
+        return with_plane(points, "lat", "lon", "x_1992", "y_1992").select("*", F.lit("ok").alias("status"), F.lit("valley").alias("area"), F.lit(prefix).alias("prefix"), none.alias("code"), none.alias("message"), F.lit(valley).alias("valley"))
 
     return resolve

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ids import path_matches
-from ..functions.projection import MAX_ERROR_M, to_plane
+from ..functions.projection import MAX_ERROR_M, plane
 from ..functions.text import is_http_url, is_url_like
 from ..sources.catalog import Catalog
 from .best import best_measurement_id, declared_measurement, only_rejected
@@ -51,12 +51,7 @@ def falsy(value: Column) -> Column:
 
 def with_planes(objects: DataFrame) -> DataFrame:
     """`planes`: north and east of each measurement, which several rules need."""
-
-    def plane(m: Column) -> Column:
-        north, east = to_plane(m["lat"], m["lon"])
-        return F.struct(north.alias("n"), east.alias("e"))
-
-    return objects.withColumn("planes", F.transform("measurements", plane))
+    return objects.withColumn("planes", F.transform("measurements", lambda m: plane(m["lat"], m["lon"])))
 
 
 def least_of_each(rows: DataFrame, key: str, value: str, k: int) -> DataFrame:

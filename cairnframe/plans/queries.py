@@ -59,8 +59,7 @@ _LAT, _LON = projection.degrees_sql("x", "y")
 
 @register(f"{POINTS_CTE} SELECT c_custkey, round({_X}, 3) AS x_1992, round({_Y}, 3) AS y_1992 FROM p")
 def project_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x, y = projection.to_plane(F.col("lat"), F.col("lon"))
-    return customer_points(spark, sf_dir).select("c_custkey", F.round(x, 3).alias("x_1992"), F.round(y, 3).alias("y_1992"))
+    return projection.with_plane(customer_points(spark, sf_dir), "lat", "lon", "x", "y").select("c_custkey", F.round("x", 3).alias("x_1992"), F.round("y", 3).alias("y_1992"))
 
 
 @register(f"""

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.projection import plane_sql, to_plane
+from ..functions.projection import plane_sql, with_plane
 from ..operators.resolver import POLYGON_SCHEMA, Resolver, polygon_resolver
 from ..sources.catalog import Catalog
 from ..sources.schemas import ATTACHMENT, BEST, CAVE, MEASUREMENT, OBJECT, REF, RELATION
@@ -101,8 +101,7 @@ def split_columns(text: str) -> list[str]:
 def flat_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measurements with plane coordinates as they are and as they are stored."""
     m = _sql(spark, sf_dir, "orders", _filled(POINTS, "STRING"))
-    x, y = to_plane(F.col("lat"), F.col("lon"))
-    m = m.withColumn("px", x).withColumn("py", y)
+    m = with_plane(m, "lat", "lon", "px", "py")
     return m.withColumn("x", F.round(F.col("px") + F.when(F.col("shifted"), 25.0).otherwise(0.0), 3)).withColumn("y", F.round("py", 3))
 
 

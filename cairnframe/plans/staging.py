@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_part, source_date, source_year_end
 from ..functions.ids import id_number, numbered_id
-from ..functions.projection import MAX_ERROR_M, consistency_error, to_degrees
+from ..functions.projection import MAX_ERROR_M, to_degrees, with_plane
 from ..functions.text import clean, normalize_name, parse_decimal
 from ..operators.allocation import allocate_by_prefix, max_existing_number, running_number
 from ..operators.candidates import COLUMNS, final_candidates
@@ -148,7 +148,7 @@ def build_pig_staging(table: DataFrame, catalog: Catalog, resolver: Resolver, ge
     today = date_part(F.lit(generated_at), F.current_date().cast("string"))
     rows = rows.withColumn("year_day", source_year_end(F.col("year"))).withColumn("day", F.coalesce("year_day", today))
     rows = rows.withColumn("complete", F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
-    rows = rows.withColumn("error_m", F.when(F.col("complete"), consistency_error(F.col("lat"), F.col("lon"), F.col("x"), F.col("y"))))
+    rows = with_plane(rows, "lat", "lon", "north", "east").withColumn("error_m", F.when(F.col("complete"), F.hypot(F.col("north") - F.col("x"), F.col("east") - F.col("y")))).drop("north", "east")
     rows = cave_numbers(rows, seeds_of(catalog.caves.select("path")))
     consistent = F.coalesce(F.col("error_m") <= MAX_ERROR_M, F.lit(False))
     placed = cut_lineage(resolved(rows, resolver).withColumn("accepted", consistent & F.coalesce((F.col("zone") != "error") & F.col("prefix").isNotNull(), F.lit(False))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.projection import plane_sql, to_plane
+from ..functions.projection import plane_sql, with_plane
 from ..operators.candidates import staged_candidates
 from ..sources.catalog import Catalog
 from . import staging
@@ -46,12 +46,12 @@ FROM part
 def pig_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source table of texts, with decimal commas, blanks, shifted and lost coordinates."""
     rows = _sql(spark, sf_dir, "part", PARTS.format(text="STRING"))
-    x, y = to_plane(F.col("lat"), F.col("lon"))
+    rows = with_plane(rows, "lat", "lon", "x", "y")
     comma = lambda c, d: F.replace(F.round(c, d).cast(f"decimal(14,{d})").cast("string"), F.lit("."), F.lit(","))
     named = {"ID": "pig_id", "Nazwa": "name", "Inne nazwy": "aliases", "Nr inw.": "nr_inwent", "Sektor (nazwa)": "sector", "Stan na rok": "year", "Link": "link", "Długość [m]": "length_m", "Głębokość [m]": "depth_m"}
     return rows.select(
         "record_number", *(F.col(c).alias(n) for n, c in named.items()), F.when(F.col("lost"), "").otherwise(comma(F.col("lat"), 6)).alias("B"), comma(F.col("lon"), 6).alias("L"),
-        comma(x + F.col("shift"), 2).alias("X 1992"), comma(y, 2).alias("Y 1992"), F.lit("1 234,5").alias("H (wg PIG)"),
+        comma(F.col("x") + F.col("shift"), 2).alias("X 1992"), comma(F.col("y"), 2).alias("Y 1992"), F.lit("1 234,5").alias("H (wg PIG)"),
     )
 
 

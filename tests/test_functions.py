@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +132,16 @@ def test_profiles(spark):
     assert [(r.value, r.n, r.first_rows) for r in profile.duplicate_groups(table, "key", "record_number").collect()] == [("a", 2, [1, 2])]
     assert tuple(profile.numeric_profile(table, ["num"]).first()) == ("num", 2, 1, 1, 1.5, 2.0)
     assert tuple(profile.duplicate_summary(table, ["key"]).first()) == ("key", 1, 2, 1)
+
+
+def test_projection_gives_the_digits_of_the_sql(spark):
+    """Northings differ in the last bit at most for a few in a thousand points, so texts and roundings agree; as columns and inside of lambdas."""
+    x, y = projection.plane_sql("lat", "lon")
+    con = duckdb.connect()
+    points = con.execute(f"SELECT lat, lon, {x} AS x, {y} AS y FROM (SELECT (49180000 + (i * 7919) % 112000)::DOUBLE / 1000000::DOUBLE AS lat, (19750000 + (i * 104729) % 352000)::DOUBLE / 1000000::DOUBLE AS lon FROM range(20000) r(i) UNION ALL SELECT 49.1816, 19.77635)").fetchall()
+    rows = spark.createDataFrame(points, "lat double, lon double, x double, y double")
+    found = projection.with_plane(rows, "lat", "lon", "a", "b").withColumn("p", F.get(F.transform(F.array("lat"), lambda v: projection.plane(v, F.col("lon"))), F.lit(0)))
+    got = found.agg(F.count_if(F.expr("x <> a")).alias("north"), F.count_if(F.expr("y <> b")).alias("east"), F.count_if(F.expr("p.n <> a or p.e <> b")).alias("lambdas"), F.count_if(F.round("x", 3) != F.round("a", 3)).alias("rounded"), F.max(F.abs(F.expr("x - a"))).alias("most")).first()
+    assert got.north < 200 and got.east < 200 and got.lambdas == 0 and got.rounded == 0 and got.most < 1e-8
+    far = projection.with_plane(spark.sql("select * from values (0D, 19D), (-33D, 19D), (89.9D, 25D), (cast(null as double), 19D) t(lat, lon)"), "lat", "lon", "n", "e").orderBy("lat").collect()
+    assert far[0].n is None and [round(r.n + 5300000) for r in far[1:]] == [-3650191, 0, 9983864]

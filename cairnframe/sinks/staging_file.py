@@ -1,7 +1,7 @@
 """Staging files: a JSON file with a source's rows, issues and proposals, and its Markdown form for people.
 
 Tasks turn ordered rows into the texts that they add to both files and write these down in the shared
-folder; the driver knows the counts and lets the texts stream past it into the two files.
+folder, and tasks copy them to their places in the two files; the driver knows the counts only.
 """
 
 from __future__ import annotations
@@ -9,44 +9,47 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from pathlib import Path
-from typing import TextIO
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from ..operators.materialize import cut_lineage
+from ..operators.materialize import mounted_folder
 from ..plans.staging import Staging, cell, table_head, table_line
+from .joined import Parts, join_files, part_path
 
 #: Rows that tasks turn into one text.
 BLOCK_ROWS = 1000
-_BLOCK = pa.schema([("place", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("elements", pa.string()), ("lines", pa.string())])
 
 
-def texts(rows: DataFrame, order: list[str], shown: list[str], with_lines: bool) -> DataFrame:
-    """(place, at, n, elements, lines): JSON elements and table lines of successive rows, in the order of place and at."""
+def texts(rows: DataFrame, order: list[str], shown: list[str], with_lines: bool) -> list[Row]:
+    """(place, attempt, n, folder) of the tasks that wrote JSON elements and table lines of successive rows, in order."""
+    folder = mounted_folder(rows.sparkSession, "texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, at = TaskContext.get().partitionId(), 0
+        parts, n = Parts(folder), 0
         for b in batches:
             for first in range(0, b.num_rows, BLOCK_ROWS):
                 found = b.slice(first, BLOCK_ROWS).to_pylist()
                 elements = ",".join("\n    " + json.dumps(r, ensure_ascii=False, indent=2).replace("\n", "\n    ") for r in found)
-                lines = "".join(table_line(r, shown) + "\n" for r in found) if with_lines else None
-                yield pa.RecordBatch.from_pylist([{"place": place, "at": at, "n": len(found), "elements": elements, "lines": lines}], schema=_BLOCK)
-                at += 1
+                parts.add("json", (("," if n else "") + elements).encode())
+                if with_lines:
+                    parts.add("md", "".join(table_line(r, shown) + "\n" for r in found).encode())
+                n += len(found)
+        parts.close()
+        if n:
+            yield pa.RecordBatch.from_pydict({"place": [parts.place], "attempt": [parts.attempt], "n": [n], "folder": [str(folder)]})
 
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*shown)
-    return cut_lineage(ranged.mapInArrow(run, "place long, at long, n long, elements string, lines string"))
+    return sorted(ranged.mapInArrow(run, "place long, attempt long, n long, folder string").collect())
 
 
-def streamed(found: DataFrame, column: str) -> Iterator[str]:
-    return (r[0] for r in found.orderBy("place", "at").select(column).toLocalIterator())
+def written(found: list[Row], suffix: str) -> list[Path]:
+    return [part_path(Path(r.folder), r.place, r.attempt, suffix) for r in found]
 
 
-def sections(staging: Staging, source: str) -> dict[str, tuple[DataFrame, list[str]]]:
-    """Texts and columns of each list of the file, in its order."""
+def sections(staging: Staging, source: str) -> dict[str, tuple[list[Row], list[str]]]:
+    """Parts and columns of each list of the file, in its order."""
     key, hidden = ("pig_id", {"position", "source_id", "nr_inwent"}) if source == "pig" else ("globalid", {"position", "source_id"})
     issues = staging.issues.withColumn(key, F.col("source_id"))
     told = ["code", "severity", "record_number", key]
@@ -59,8 +62,8 @@ def sections(staging: Staging, source: str) -> dict[str, tuple[DataFrame, list[s
     return out
 
 
-def counts_of(staging: Staging, source: str, found: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, int]:
-    n = {name: d.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for name, (d, _) in found.items()}
+def counts_of(staging: Staging, source: str, found: dict[str, tuple[list[Row], list[str]]]) -> dict[str, int]:
+    n = {name: sum(r.n for r in parts) for name, (parts, _) in found.items()}
     out = {"record_count": n["rows"]}
     if source == "pig":
         out |= {"proposed_cave_count": n["proposed_caves"], "proposed_object_count": n["proposed_objects"], "cave_only_count": n["rows"] - n["proposed_objects"]}
@@ -77,35 +80,26 @@ def write_report(staging: Staging, source: str, source_path: str, generated_at:
     found = sections(staging, source)
     counts = counts_of(staging, source, found)
     paths = [out / f"{name}.json", out / f"{name}.md"]
-    for path, write in zip(paths, (_write_json, _write_markdown), strict=True):
-        draft = path.with_name(path.name + ".tmp")
-        with draft.open("w", encoding="utf-8") as f:
-            write(f, found, {"generated_at": generated_at, "source_path": source_path} | counts, title)
-        draft.replace(path)
+    for path, pieces in zip(paths, (_json_pieces, _markdown_pieces), strict=True):
+        join_files(staging.rows.sparkSession, path, pieces(found, {"generated_at": generated_at, "source_path": source_path} | counts, title))
     return paths
 
 
-def _write_json(f: TextIO, found: dict[str, tuple[DataFrame, list[str]]], head: dict, _: str) -> None:
-    f.write(json.dumps(head, ensure_ascii=False, indent=2).removesuffix("\n}"))
-    for name, (d, _columns) in found.items():
-        f.write(f',\n  "{name}": [')
-        before = ""
-        for text in streamed(d, "elements"):
-            f.write(before + text)
-            before = ","
-        f.write("\n  ]" if before else "]")
-    f.write("\n}\n")
+def _json_pieces(found: dict[str, tuple[list[Row], list[str]]], head: dict, _: str) -> list[bytes | Path]:
+    out: list[bytes | Path] = [json.dumps(head, ensure_ascii=False, indent=2).removesuffix("\n}").encode()]
+    for name, (parts, _columns) in found.items():
+        out.append(f',\n  "{name}": ['.encode())
+        for k, part in enumerate(written(parts, "json")):
+            out += [b",", part] if k else [part]
+        out.append(b"\n  ]" if parts else b"]")
+    return [*out, b"\n}\n"]
 
 
-def _write_markdown(f: TextIO, found: dict[str, tuple[DataFrame, list[str]]], head: dict, title: str) -> None:
+def _markdown_pieces(found: dict[str, tuple[list[Row], list[str]]], head: dict, title: str) -> list[bytes | Path]:
     shown = "\n".join(f"- {k}: {v}" for k, v in head.items() if k.endswith("_count"))
-    f.write(f"# {title}\n\nGenerated at {head['generated_at']} from {cell(head['source_path'])}.\n\n{shown}\n")
+    out: list[bytes | Path] = [f"# {title}\n\nGenerated at {head['generated_at']} from {cell(head['source_path'])}.\n\n{shown}\n".encode()]
     for name in ("rows", "issues"):
-        d, columns = found[name]
-        f.write(f"\n## {name.capitalize()}\n\n")
-        empty = True
-        for text in streamed(d, "lines"):
-            f.write("\n".join(table_head(columns)) + "\n" + text if empty else text)
-            empty = False
-        if empty:
-            f.write("None.\n")
+        parts, columns = found[name]
+        out.append(f"\n## {name.capitalize()}\n\n".encode())
+        out += [("\n".join(table_head(columns)) + "\n").encode(), *written(parts, "md")] if parts else [b"None.\n"]
+    return out

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnframe.sinks import joined, release, snapshot
+from cairnframe.plans import staging
+from cairnframe.sinks import joined, release, snapshot, staging_file
 
 from .test_release import rows
 
@@ -46,3 +47,15 @@ def test_snapshot_and_its_zip_do_not_pass_the_driver(spark, tmp_path, monkeypatc
     joined.zip_file(spark, tmp_path / "c.sqlite", tmp_path / "c.zip")
     with zipfile.ZipFile(tmp_path / "c.zip") as z:
         assert z.testzip() is None and z.read("c.sqlite") == (tmp_path / "c.sqlite").read_bytes()
+
+
+def test_staging_files_do_not_pass_the_driver(spark, tmp_path, monkeypatch, no_stream):
+    monkeypatch.setattr(staging_file, "BLOCK_ROWS", 9)
+    found = spark.range(1, 301).repartition(5).select(F.col("id").alias("record_number"), F.concat(F.lit("ż|"), F.col("id").cast("string")).alias("name"))
+    issues = spark.createDataFrame([], ", ".join(f"{c} {'long' if c in ('record_number', 'position') else 'string'}" for c in staging.ISSUE))
+    paths = staging_file.write_report(staging.Staging(found, issues, found, found.where("record_number > 300")), "pig", "p.csv", "now", str(tmp_path), "a", "A")
+    data = json.loads(paths[0].read_text(encoding="utf-8"))
+    assert [r["record_number"] for r in data["rows"]] == list(range(1, 301)) and len(data["proposed_caves"]) == 300 and data["proposed_objects"] == data["issues"] == []
+    assert paths[0].read_text(encoding="utf-8") == json.dumps(data, ensure_ascii=False, indent=2) + "\n"
+    lines = paths[1].read_text(encoding="utf-8").splitlines()
+    assert [x for x in lines if x.startswith("| ")][2:] == [f"| {k} | ż\\|{k} |" for k in range(1, 301)] and lines[-1] == "None."

@@ -1,5 +1,6 @@
 """Files that tasks write in parts: nothing of their content passes the driver."""
 
+import csv
 import json
 import sqlite3
 import zipfile
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnframe.plans import staging
+from cairnframe.plans import file_queries, staging
 from cairnframe.sinks import joined, release, snapshot, staging_file
 
 from .test_release import rows
@@ -59,3 +60,18 @@ def test_staging_files_do_not_pass_the_driver(spark, tmp_path, monkeypatch, no_s
     assert paths[0].read_text(encoding="utf-8") == json.dumps(data, ensure_ascii=False, indent=2) + "\n"
     lines = paths[1].read_text(encoding="utf-8").splitlines()
     assert [x for x in lines if x.startswith("| ")][2:] == [f"| {k} | ż\\|{k} |" for k in range(1, 301)] and lines[-1] == "None."
+
+
+def test_csv_of_many_tasks_is_in_order(spark, monkeypatch):
+    """No task sorts the whole file: its parts come from several."""
+    found = []
+    monkeypatch.setattr(joined, "join_files", lambda s, path, pieces, real=joined.join_files: (found.extend(pieces), real(s, path, pieces)))
+    table = spark.range(20_000).repartition(5).select(F.col("id").alias("K"), F.concat(F.lit(' "a"\n'), F.col("id").cast("string")).alias(" N "))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = file_queries.written_csv(table, "K")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(found) > 3
+    with open(path.removeprefix("file://"), newline="") as f:
+        assert list(csv.reader(f)) == [["K", " N "], *([str(k), f' "a"\n{k}'] for k in range(20_000))]

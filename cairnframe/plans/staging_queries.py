@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.projection import plane_sql, with_plane
 from ..operators.candidates import staged_candidates
+from ..operators.materialize import cut_lineage, spread
 from ..sources.catalog import Catalog
 from . import staging
 from .catalog_queries import _PREFIX, _ZONE, Query
@@ -45,14 +46,15 @@ FROM part
 
 def pig_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source table of texts, with decimal commas, blanks, shifted and lost coordinates."""
-    rows = _sql(spark, sf_dir, "part", PARTS.format(text="STRING"))
+    rows = spread(_sql(spark, sf_dir, "part", PARTS.format(text="STRING")), "record_number")
     rows = with_plane(rows, "lat", "lon", "x", "y")
     comma = lambda c, d: F.replace(F.round(c, d).cast(f"decimal(14,{d})").cast("string"), F.lit("."), F.lit(","))
     named = {"ID": "pig_id", "Nazwa": "name", "Inne nazwy": "aliases", "Nr inw.": "nr_inwent", "Sektor (nazwa)": "sector", "Stan na rok": "year", "Link": "link", "Długość [m]": "length_m", "Głębokość [m]": "depth_m"}
-    return rows.select(
+    table = rows.select(
         "record_number", *(F.col(c).alias(n) for n, c in named.items()), F.when(F.col("lost"), "").otherwise(comma(F.col("lat"), 6)).alias("B"), comma(F.col("lon"), 6).alias("L"),
         comma(F.col("x") + F.col("shift"), 2).alias("X 1992"), comma(F.col("y"), 2).alias("Y 1992"), F.lit("1 234,5").alias("H (wg PIG)"),
     )
+    return cut_lineage(table)  # a source table is texts that lie ready
 
 
 _X, _Y = plane_sql("lat", "lon")
@@ -159,7 +161,7 @@ def tpn(spark: SparkSession, sf_dir: str) -> staging.Staging:
     text = lambda c: F.when(F.col("lost"), "brak").otherwise(F.replace(F.round(c, 3).cast("decimal(14,3)").cast("string"), F.lit("."), F.lit(",")))
     named = {"GLOBALID": "globalid", "NR_INWENT": "nr_inwent", "NAZWA": "name", "UWAGI": "remarks"}
     table = rows.join(m, "k", "left").select("record_number", *(F.col(c).alias(n) for n, c in named.items()), text(F.col("p.x") + F.col("off")).alias("X1992"), text(F.col("p.y")).alias("Y1992"), F.lit("900").alias("Z"), F.lit("2.3.2021").alias("CREATED_DA"))
-    return staging.build_tpn_staging(table, clean_catalog(spark, sf_dir), sample_resolver(spark), WHEN)
+    return staging.build_tpn_staging(cut_lineage(table), clean_catalog(spark, sf_dir), sample_resolver(spark), WHEN)
 
 
 @register(f"""{TPN_SQL}

@@ -252,7 +252,10 @@ def sorted_shards(pieces: DataFrame, length: int, window: int, k: int, shard_byt
 
 
 def fetched(docs: DataFrame, classes: DataFrame, join: bool) -> DataFrame:
-    """The bytes of one member of each class, as rows of PIECES; with `join` successive segments of a key make one row."""
+    """The bytes of one member of each class, as rows of PIECES; with `join` successive segments of a key make one row.
+
+    All columns of `docs` go along: so this join deals the same rows as the one that cuts the texts, and Spark deals them once.
+    """
     fields = [F.col("at.start").alias("start"), F.col("at.start").alias("at"), *(F.col(c).alias(c) for c in ("a", "s", "n", "size", "place", "k1", "k2", "k3")), (F.col("times") > 1).alias("sure")]
     wanted = classes.groupBy(F.col("at.r1").alias("r1"), F.col("at.r2").alias("r2")).agg(F.collect_list(F.struct(*fields)).alias("want"))
 
@@ -278,7 +281,7 @@ def fetched(docs: DataFrame, classes: DataFrame, join: bool) -> DataFrame:
                     arrays += [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(lists[c][at])) for c in _LISTS]
                     yield pa.RecordBatch.from_arrays(arrays, names=["k1", "k2", "k3", "piece", *_LISTS])
 
-    return docs.select("r1", "r2", "text").join(wanted, ["r1", "r2"]).select("text", "want").mapInArrow(take, PIECES)
+    return docs.join(wanted, ["r1", "r2"]).mapInArrow(take, PIECES)
 
 
 def split_hot(pieces: DataFrame, length: int, window: int, k: int, shard_bytes: int, hot_bytes: int) -> DataFrame:
@@ -348,7 +351,7 @@ def split_places(members: DataFrame, length: int, window: int) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, passage: int | None = None, k: int = K, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
-    """(r1, r2, covered, short): for each row of `docs` (r1 long, r2 long, text) with repeats, byte ranges as [from, to, ...] in no order.
+    """(r1, r2, covered, short): for each row of `docs` (r1 long, r2 long, text, any others) with repeats, byte ranges as [from, to, ...] in no order.
 
     `covered` is what repeated strings of `length` bytes cover, `short` what those of `passage` bytes cover.
     """
@@ -368,7 +371,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, passage: int | None =
                 arrays = [pa.array(np.concatenate(x)) for x in (r1, r2)] + [pa.array(a), pa.array(s), *(pa.array(x, pa.int64()) for x in (start, n, size, place))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["r1", "r2", "a", "s", "start", "n", "size", "place"])
 
-    places = staged(docs.mapInArrow(cut, "r1 long, r2 long, a long, s long, start long, n long, size long, place long"), "segments")
+    places = staged(docs.select("r1", "r2", "text").mapInArrow(cut, "r1 long, r2 long, a long, s long, start long, n long, size long, place long"), "segments")
     twice = places.groupBy("a").agg(F.count("*").alias("c"), F.min("place").alias("p")).where("c > 1 or p < 0").select("a")
     places = staged(places.join(broadcast_if_small(twice), "a", "left_semi"), "repeated")
     classes = places.groupBy("a", "s").agg(F.count("*").alias("times"), F.min(F.struct("r1", "r2", "start")).alias("at"), *(F.first(c).alias(c) for c in ("n", "size", "place")))
@@ -385,7 +388,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, passage: int | None =
     covered = covered.unionByName(sorted_shards(fetched(docs, classes.where("not hot"), True), length, window, k, shard_bytes))
     hot = classes.where("hot").withColumns({"k1": F.col("a"), "k2": F.col("s"), "k3": F.lit(0).cast("long")})
     if hot.limit(1).count():
-        covered = covered.unionByName(split_hot(fetched(docs, hot, False), length, window, k, shard_bytes, hot_bytes))
+        # Few documents hold a first member of these classes, and only their texts are shuffled.
+        holders = broadcast_if_small(hot.select(F.col("at.r1").alias("r1"), F.col("at.r2").alias("r2")).distinct())
+        few = docs.select("r1", "r2", "text").join(holders, ["r1", "r2"], "left_semi")
+        covered = covered.unionByName(split_hot(fetched(few, hot, False), length, window, k, shard_bytes, hot_bytes))
     spans = places.select("r1", "r2", "a", "s", "start").join(covered, ["a", "s"])
     shift = lambda c, n: F.flatten(F.collect_list(F.transform(c, lambda x, i: F.col("start") + x + F.when(i % 2 == 1, n - 1).otherwise(0))))
     return spans.groupBy("r1", "r2").agg(shift("runs", length).alias("covered"), shift("short", window).alias("short"))
@@ -419,7 +425,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None
     text_batches(spark)
     names = [f"__keep_{k}" for k in range(len(keep))]
     rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("r1"), F.xxhash64("text").alias("r2"))
-    covered = repeated_ranges(rows.select("r1", "r2", "text"), length, passage, **limits)
+    covered = repeated_ranges(rows, length, passage, **limits)
     extra = ["n_passages"] * bool(passage) + ["kept_text"] * with_text
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -90,3 +90,23 @@ def test_kept_text_and_empty_table(spark):
     got = {r.doc_id: r.kept_text for r in repeats.remove_repeats(df, length=20, k=4, with_text=True).collect()}
     assert got == {1: "-abc", 2: "+"}
     assert repeats.remove_repeats(df.where("doc_id > 5")).count() == 0
+
+
+def test_texts_are_dealt_once(spark):
+    """Also with minimizers that are split; a shuffle hardly compresses random digits."""
+    r = random.Random(1)
+    passage = r.randbytes(60).hex()
+    rows = [(i, r.randbytes(20_000).hex() + (passage + str(i) * 20 if i < 30 else "")) for i in range(150)] + [(999, "")]
+    rows += [(1000 + i, r.randbytes(300).hex() + rows[i][1][:300] + r.randbytes(300).hex()) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).localCheckpoint()
+    status, bus = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+    written = lambda: (bus.waitUntilEmpty(), status.executorSummary("driver").totalShuffleWrite())[1]
+    before = written()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, -1)  # as for large tables
+    try:
+        got = repeats.remove_repeats(df, length=200, hot_bytes=1800).collect()
+    finally:
+        spark.conf.unset(key)
+    assert written() - before < 1.6 * sum(len(t) for _, t in rows)
+    assert sorted((tuple(x) for x in got), key=str) == brute(rows, 200)

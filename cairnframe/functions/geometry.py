@@ -18,8 +18,7 @@ def ring_contains(ring: Column, x: Column, y: Column) -> Column:
     """Whether a ring, array<struct<x, y>>, holds a point: on an edge counts as inside, else by parity of crossings."""
     n = F.size(ring)
 
-    def edge(k: Column) -> Column:
-        a, b = F.get(ring, k), F.get(ring, F.when(k == 0, n - 1).otherwise(k - 1))
+    def edge(a: Column, b: Column) -> Column:
         ax, ay, bx, by = a["x"], a["y"], b["x"], b["y"]
         cross = (x - ax) * (by - ay) - (y - ay) * (bx - ax)
         on = (F.abs(cross) <= EDGE) & (x >= F.least(ax, bx) - EDGE) & (x <= F.greatest(ax, bx) + EDGE) & (y >= F.least(ay, by) - EDGE) & (y <= F.greatest(ay, by) + EDGE)
@@ -27,8 +26,10 @@ def ring_contains(ring: Column, x: Column, y: Column) -> Column:
         crosses = ((ay > y) != (by > y)) & F.coalesce(x < (bx - ax) * (y - ay) / span + ax, F.lit(False))
         return F.when(on, F.lit(1000000)).otherwise(crosses.cast("int"))
 
-    total = F.aggregate(F.transform(F.sequence(F.lit(0), n - 1), edge), F.lit(0), lambda s, v: s + v)
-    return F.when(n < 3, F.lit(False)).otherwise((total >= 1000000) | (total % 2 == 1))
+    # Each point meets the one before it; values that a lambda names are computed once, not once a use.
+    before = F.concat(F.slice(ring, -1, 1), F.slice(ring, F.lit(1), F.greatest(n - 1, F.lit(0))))
+    inside = F.aggregate(F.zip_with(ring, before, edge), F.lit(0), lambda s, v: s + v, lambda t: (t >= 1000000) | (t % 2 == 1))
+    return F.when(n < 3, F.lit(False)).otherwise(inside)
 
 
 def rings_contain(rings: Column, x: Column, y: Column) -> Column:

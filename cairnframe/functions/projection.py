@@ -115,12 +115,20 @@ def plane(lat: Column, lon: Column) -> Column:
 
 
 def with_plane(rows: DataFrame, lat: str, lon: str, north: str, east: str) -> DataFrame:
-    """Rows with two more columns, northing and easting.
+    """Rows with two more columns, northing and easting; the steps are columns, so they are generated code.
 
-    Steps as columns of their own would be written out once a use where Spark pushes a filter below them.
+    They end in a generator of one row, below which no filter on the coordinates is pushed: Spark would
+    write the steps out in it, and place each point once more for each coordinate.
     """
-    out = rows.withColumn("__plane", plane(F.col(lat), F.col(lon)))
-    return out.select(*(F.col(f"`{name}`") for name in rows.columns), F.col("__plane.n").alias(north), F.col("__plane.e").alias(east))
+    own = [F.col(f"`{name}`") for name in rows.columns]
+    v = {"lat": F.col(f"`{lat}`"), "lon": F.col(f"`{lon}`")}
+    out = rows
+    for step in STEPS[:-1]:
+        new = step(v)
+        out = out.withColumns({f"__plane_{name}": c for name, c in new.items()})
+        v |= {name: F.col(f"__plane_{name}") for name in new}
+    last = STEPS[-1](v)
+    return out.select(*own, F.inline(F.array(F.struct(last["n"], last["e"]))).alias(north, east))
 
 
 def to_plane(lat: Column, lon: Column) -> tuple[Column, Column]:

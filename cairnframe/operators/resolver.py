@@ -133,22 +133,27 @@ def first_polygon(points: DataFrame, polygons: DataFrame | PolygonIndex, key: st
     return best.select(key, "p.tier", "p.ordinal", "p.name", "p.prefix")
 
 
+def on_plane(points: DataFrame) -> DataFrame:
+    """Points with x_1992 and y_1992, which they may have already."""
+    return points if {"x_1992", "y_1992"} <= set(points.columns) else with_plane(points, "lat", "lon", "x_1992", "y_1992")
+
+
 def polygon_resolver(polygons: DataFrame) -> Resolver:
     """Resolves (point_id, lat, lon) to the same rows with status, area, prefix, code, message, x_1992, y_1992 and valley.
 
-    The polygons are indexed once, when they are first asked for.
+    Points that come with x_1992 and y_1992 are not placed again. The polygons are indexed once, when they are first asked for.
     """
     known: list[PolygonIndex] = []
 
     def resolve(points: DataFrame) -> DataFrame:
-        placed = with_plane(points, "lat", "lon", "x_1992", "y_1992")
+        placed = on_plane(points)
         if not known:
             known.append(index_polygons(polygons))
         found = first_polygon(placed, known[0], "point_id", "y_1992", "x_1992")
         out = placed.join(found.select("point_id", "tier", "name", F.col("prefix").alias("__prefix")), "point_id", "left")
         tier = F.col("tier")
         return out.select(
-            *points.columns, "x_1992", "y_1992",
+            *placed.columns,
             F.when(tier == VALLEY, "ok").when(tier.isNotNull(), "warning").otherwise("error").alias("status"),
             F.when(tier == VALLEY, "valley").when(tier == POLAND, "poland").when(tier == SLOVAKIA, "slovakia").otherwise("outside_pl_sk").alias("area"),
             F.col("__prefix").alias("prefix"),
@@ -165,6 +170,6 @@ def constant_resolver(prefix: str = "KSW", valley: str = "Test") -> Resolver:
 
     def resolve(points: DataFrame) -> DataFrame:
         none = F.lit(None).cast("string")
-        return with_plane(points, "lat", "lon", "x_1992", "y_1992").select("*", F.lit("ok").alias("status"), F.lit("valley").alias("area"), F.lit(prefix).alias("prefix"), none.alias("code"), none.alias("message"), F.lit(valley).alias("valley"))
+        return on_plane(points).select("*", F.lit("ok").alias("status"), F.lit("valley").alias("area"), F.lit(prefix).alias("prefix"), none.alias("code"), none.alias("message"), F.lit(valley).alias("valley"))
 
     return resolve

@@ -17,7 +17,7 @@ from ..functions.ids import path_matches
 from ..functions.projection import MAX_ERROR_M, plane
 from ..functions.text import is_http_url, is_url_like
 from ..sources.catalog import Catalog
-from .best import best_measurement_id, declared_measurement, only_rejected
+from .best import best_measurement_id, only_rejected
 from .json_schema import USUAL_FORMATS, schema_issues
 from .materialize import cut_lineage
 from .resolver import Resolver
@@ -170,6 +170,11 @@ def object_rules() -> tuple[list[Column], list[Column]]:
     return single, lists
 
 
+def point_asked(m: Column, p: Column) -> Column:
+    """A measurement as the resolver is asked for it."""
+    return F.struct(F.lit(False).alias("chosen"), m["id"].alias("mid"), m["lat"].alias("lat"), m["lon"].alias("lon"), p["n"].alias("x_1992"), p["e"].alias("y_1992"))
+
+
 def object_issues(catalog: Catalog, resolver: Resolver | None, files: DataFrame | None) -> list[DataFrame]:
     """Rules of objects: all that a row decides in one pass, then those that need files or polygons."""
     objects = catalog.objects.where("parse_error is null")
@@ -180,11 +185,9 @@ def object_issues(catalog: Catalog, resolver: Resolver | None, files: DataFrame
         out.append(issue(local, 6, "ATTACHMENT_PATH_MISSING", ERROR, F.col("file")))
     if resolver is not None:
         # The declared measurement is asked with the others, so points are placed once.
-        declared = declared_measurement(F.col("measurements"), F.col("best_measurement.measurement_id"))
-        asked = F.concat(
-            F.transform("measurements", lambda m: F.struct(F.lit(False).alias("chosen"), m["id"].alias("mid"), m["lat"].alias("lat"), m["lon"].alias("lon"))),
-            F.array(F.struct(F.lit(True).alias("chosen"), declared["id"].alias("mid"), declared["lat"].alias("lat"), declared["lon"].alias("lon"))),
-        )
+        placed = F.transform(F.arrays_zip("measurements", "planes"), lambda z: point_asked(z["measurements"], z["planes"]))
+        declared = F.get(F.filter(placed, lambda p: p["mid"] == F.col("best_measurement.measurement_id")), 0)
+        asked = F.concat(placed, F.array(declared.withField("chosen", F.lit(True))))
         points = objects.select("path", "id", F.posexplode(asked).alias("pos", "a")).select(F.concat_ws("#", "path", F.col("pos").cast("string")).alias("point_id"), "path", "id", "a.*").where("lat is not null and lon is not null")
         own = F.regexp_extract("id", r"^([^-]*)-", 1)
         outside = lambda code, severity, status: told(7, code, severity, F.col("mid"), ~F.col("chosen") & (F.col("status") == status))
@@ -193,14 +196,19 @@ def object_issues(catalog: Catalog, resolver: Resolver | None, files: DataFrame
     return out
 
 
+def prepared(catalog: Catalog) -> Catalog:
+    """Records in a checkpoint, with `planes`: for callers that need them beside the rules."""
+    return catalog if "planes" in catalog.objects.columns else Catalog(*map(cut_lineage, (with_planes(catalog.objects), catalog.caves, catalog.relations)))
+
+
 def validate(catalog: Catalog, resolver: Resolver | None = None, schemas: dict[str, dict] | None = None, files: DataFrame | None = None, formats: Collection[str] = USUAL_FORMATS) -> DataFrame:
     """All issues (family, code, severity, path, description); families are in the order of reporting.
 
     Without a resolver the rules that need polygons are left out, without `files` (a column `file`)
     the rule for local attachments; `formats` names the formats of the schemas that are enforced. If any record can't be read, only that is reported. Records are
-    read once, into a checkpoint that all rules share.
+    read once, into a checkpoint that all rules share, unless the catalogue is `prepared` already.
     """
-    catalog = Catalog(*map(cut_lineage, (with_planes(catalog.objects), catalog.caves, catalog.relations)))
+    catalog = prepared(catalog)
     if catalog.issues_of_reading().limit(1).count():
         return issue(catalog.issues_of_reading(), 0, "YAML_INVALID", ERROR, F.col("parse_error"))
     return reduce(DataFrame.unionByName, [*record_issues(catalog, schemas, formats), *reference_issues(catalog), *object_issues(catalog, resolver, files)])

@@ -201,12 +201,16 @@ for _name, _text in SNAPSHOT_SQL.items():
 SELECT unnest(['cave_count', 'generated_at', 'measurement_count', 'object_count', 'relation_count', 'schema_version', 'validation_error_count', 'validation_warning_count']) AS key, unnest([c::VARCHAR, '{WHEN}', m::VARCHAR, o::VARCHAR, r::VARCHAR, '{snapshot.SNAPSHOT_VERSION}', e::VARCHAR, w::VARCHAR]) AS value FROM n
 """)
 def snapshot_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), all_issues(spark, sf_dir), WHEN)["metadata"].select("key", "value")
+    catalog = validation.prepared(sample_catalog(spark, sf_dir))  # the counts need the records that the rules read
+    issues = validation.validate(catalog, sample_resolver(spark), None, sample_files(spark, sf_dir))
+    return snapshot.snapshot_tables(spark, catalog, issues, WHEN)["metadata"].select("key", "value")
 
 
 @register(f"{FLAT_SQL} {RULES} SELECT code, severity, path, description FROM issues")
 def snapshot_validation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot.snapshot_tables(spark, sample_catalog(spark, sf_dir), all_issues(spark, sf_dir), WHEN)["validation_flags"].select(*snapshot.columns_of("validation_flags"))
+    catalog = validation.prepared(sample_catalog(spark, sf_dir))
+    issues = validation.validate(catalog, sample_resolver(spark), None, sample_files(spark, sf_dir))
+    return snapshot.snapshot_tables(spark, catalog, issues, WHEN)["validation_flags"].select(*snapshot.columns_of("validation_flags"))
 
 
 @register(f"""{FLAT_SQL}, src AS (SELECT k, string_agg(g, ';' ORDER BY n) AS gs FROM (SELECT k, n, regexp_extract(source_ref, '^TPN:(\\{{.*\\}})$', 1) AS g FROM m) WHERE g <> '' GROUP BY 1),

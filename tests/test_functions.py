@@ -145,3 +145,10 @@ def test_projection_gives_the_digits_of_the_sql(spark):
     assert got.north < 200 and got.east < 200 and got.lambdas == 0 and got.rounded == 0 and got.most < 1e-8
     far = projection.with_plane(spark.sql("select * from values (0D, 19D), (-33D, 19D), (89.9D, 25D), (cast(null as double), 19D) t(lat, lon)"), "lat", "lon", "n", "e").orderBy("lat").collect()
     assert far[0].n is None and [round(r.n + 5300000) for r in far[1:]] == [-3650191, 0, 9983864]
+
+
+def test_filters_place_no_point_again(spark):
+    """A filter on the coordinates stays above the steps, so none of them is written out in it."""
+    placed = projection.with_plane(spark.range(9).select((F.col("id") + 49.0).alias("lat"), F.lit(19.5).alias("lon")), "lat", "lon", "a", "b")
+    steps = lambda df: df._jdf.queryExecution().optimizedPlan().toString().upper().count("COSH(")
+    assert steps(placed.where("a is not null and b > 0 and a < 1e9")) == steps(placed) > 0

@@ -78,3 +78,12 @@ def test_no_join_broadcasts_polygons_by_the_size_of_their_files(spark, case, tmp
     found = resolver.first_polygon(points, resolver.index_polygons(spark.read.parquet(str(tmp_path / "p")), few=0), "key", "px", "py")
     assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
     assert found.count() > 0
+
+
+def test_points_with_plane_coordinates_are_not_placed_again(spark):
+    ring = [[(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 9.0)]]
+    polygons = spark.createDataFrame([(0, 0, "v", "P", 0.0, 0.0, 9.0, 9.0, ring)], resolver.POLYGON_SCHEMA)
+    points = spark.createDataFrame([("a", 49.2, 19.9, 4.0, 5.0), ("b", 49.2, 19.9, 40.0, 5.0)], "point_id string, lat double, lon double, x_1992 double, y_1992 double")
+    for resolve, status in ((resolver.polygon_resolver(polygons), ["ok", "error"]), (resolver.constant_resolver(), ["ok", "ok"])):
+        got = sorted(resolve(points).select("point_id", "x_1992", "y_1992", "status").collect())
+        assert [tuple(r) for r in got] == [("a", 4.0, 5.0, status[0]), ("b", 40.0, 5.0, status[1])]

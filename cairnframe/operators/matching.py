@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.projection import distance
-from .materialize import cut_lineage
+from .materialize import cut_lineage, spread
 
 RADIUS_M = 25.0
 
@@ -48,7 +48,8 @@ def near(rows: DataFrame, candidates: DataFrame, keys: list[str], radius: float)
 
     small = radius / CELLS
     held = candidates.groupBy(*keys, cell("cx", small).alias("ci"), cell("cy", small).alias("cj")).agg(F.count("*").alias("n"))
-    held = held.select(*keys, "n", F.explode(around("ci", "cj", _SURE)).alias("p"))
+    # A few numbers a cell fill no partition by their size, but each makes many rows.
+    held = spread(held, *keys, "ci", "cj").select(*keys, "n", F.explode(around("ci", "cj", _SURE)).alias("p"))
     crowded = held.groupBy(*keys, F.col("p.i").alias("i"), F.col("p.j").alias("j")).agg(F.sum("n").alias("n")).where("n > 1").drop("n").withColumn("crowded", F.lit(True))
     placed = rows.withColumn("i", cell("x", small)).withColumn("j", cell("y", small)).join(crowded, [*keys, "i", "j"], "left").drop("i", "j")
     placed = placed.withColumn("ri", cell("x", radius)).withColumn("rj", cell("y", radius))

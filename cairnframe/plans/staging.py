@@ -184,7 +184,8 @@ def build_tpn_staging(table: DataFrame, catalog: Catalog, resolver: Resolver, ge
     """Rows are rejected, matched with a candidate (final, or of the other staging), new, or left unresolved."""
     col = lambda n: column(table, n)
     texts = {"DLUGOSC": "length", "GLEBOKOSC": "depth", "DENIWELACJ": "denivelation", "WER_LOK": "place_note", "UWAGI": "remarks", "OTWÓR": "opening", "GENEZA": "genesis"}
-    rows = table.select(
+    # Rows are dealt before their numbers are read and placed: a table of few bytes lies in few partitions.
+    rows = spread(table, "record_number").select(
         "record_number", col("GLOBALID").alias("globalid"), col("NR_INWENT").alias("nr_inwent"), col("NAZWA").alias("name"), *(col(c).alias(a) for c, a in texts.items()),
         parse_decimal(col("X1992")).alias("x"), parse_decimal(col("Y1992")).alias("y"), parse_decimal(col("Z")).alias("elevation"),
         F.coalesce(source_date(col("LAST_EDI_1"), col("CREATED_DA")).cast("string"), date_part(F.lit(generated_at), F.current_date().cast("string"))).alias("day"),

@@ -63,6 +63,32 @@ def test_hot_cells_hold_few_polygons(spark):
     assert {(x.id, x.ordinal) for x in resolver.first_polygon(points, index, "id", "x", "y").collect()} == {(k, 0) for k in range(17)}
 
 
+@pytest.mark.parametrize("few_rows", [0, 500_000])
+def test_rounds_give_what_all_pairs_give(case, monkeypatch, few_rows):
+    monkeypatch.setattr(resolver, "ROUND_POLYGONS", 20, raising=False)
+    monkeypatch.setattr(resolver, "ROUND_GROWTH", 3, raising=False)
+    monkeypatch.setattr(resolver, "FEW_POLYGONS", 5)
+    monkeypatch.setattr(materialize, "BROADCAST_ROWS", few_rows)
+    points, polygons = case
+    polygons = polygons.withColumn("tier", F.when(F.col("ordinal") != 7, F.col("tier"))).withColumn("ordinal", F.when(F.col("ordinal") != 9, F.col("ordinal")))
+    points = points.unionByName(points.where("key % 9 = 0").withColumn("px", F.col("px") + 40)).withColumn("key", F.when(F.col("key") != 500, F.col("key")))
+    rounds = resolver.first_polygon(points, polygons, "key", "px", "py").collect()
+    all_pairs = resolver.first_polygon(points, resolver.index_polygons(polygons, few=10**6), "key", "px", "py").collect()
+    assert sorted(map(tuple, rounds), key=str) == sorted(map(tuple, all_pairs), key=str) and len(rounds) > 1000
+
+
+def test_polygons_behind_others_are_not_written_down(spark, monkeypatch):
+    """Three thousand polygons over one place: the first hundred take all its points, so no other is checkpointed or covered."""
+    monkeypatch.setattr(resolver, "ROUND_POLYGONS", 100, raising=False)
+    rows, cut = [], resolver.cut_lineage
+    monkeypatch.setattr(resolver, "cut_lineage", lambda d: (lambda out: rows.append(out.count()) or out)(cut(d)))
+    square = F.array(F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (64, 0), (64, 64), (0, 64)))))
+    polygons = spark.range(3000).select(F.lit(0).alias("tier"), F.col("id").cast("int").alias("ordinal"), F.lit("n").alias("name"), F.lit("p").alias("prefix"), F.lit(0.0).alias("xmin"), F.lit(0.0).alias("ymin"), F.lit(64.0).alias("xmax"), F.lit(64.0).alias("ymax"), square.alias("rings"))
+    points = spark.range(17).select("id", F.lit(10.0).alias("x"), (F.col("id") * 4.0).alias("y"))
+    assert {(x.id, x.ordinal) for x in resolver.first_polygon(points, polygons, "id", "x", "y").collect()} == {(k, 0) for k in range(17)}
+    assert max(rows) < 3000
+
+
 def test_empty_tables(spark, case):
     points, polygons = case
     assert resolver.first_polygon(points.where("key < 0"), polygons, "key", "px", "py").count() == 0
